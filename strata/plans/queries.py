@@ -1,26 +1,73 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver tables under ``sf_dir`` (or data Spark derives
-from them) in full, so its work grows with the tables.
+from them) in full, so its work grows with the tables. Queries that exercise
+sinks write to fresh folders under the shared checkpoint folder and return a
+read of what they wrote.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.config import LayerConfig, preset
 from strata.operators import (
+    add_audit_columns,
     clean_orders,
     daily_country_sales,
+    deduplicate_latest,
     derive_amount,
     normalise_orders,
     valid_orders,
 )
-from strata.sources.feeds import orders_feed
+from strata.operators import quality as Q
+from strata.operators import text as T
+from strata.plans import medallion as M
+from strata.schemas import RAW_COLUMNS
+from strata.session import scratch_path
+from strata.sources.feeds import load, log_lines, orders_feed
+from strata.sources.files import read_raw_csv, write_raw_csv
+from strata.sources.tables import ensure_schemas, read_layer, write_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BATCH_ID = "B-001"
+LINEITEM_KEYS = ("l_orderkey", "l_linenumber")
+LINEITEM_TIES = (
+    "l_partkey",
+    "l_suppkey",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+)
+# Rule set of the corpus scan: the two workflow line rules plus the
+# key/value credential pattern, which the prose corpus does contain.
+CORPUS_RULES = T.LINE_RULES + (
+    ("credential_assignment", T.REDACTION_PATTERNS[3][1], "credential assigned in plain text"),
+)
+
+
+def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_orders(orders_feed(spark, sf_dir))
+
+
+def _gold(spark: SparkSession, sf_dir: str, sort: bool = True) -> DataFrame:
+    return daily_country_sales(_clean(spark, sf_dir), sort=sort)
+
+
+def _unique(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+# --------------------------------------------------------------------------- silver / gold
+
 
 def q_normalise_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise_orders(orders_feed(spark, sf_dir))
@@ -35,11 +82,166 @@ def q_derive_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_orders(orders_feed(spark, sf_dir))
+    return _clean(spark, sf_dir)
 
 
 def q_daily_country_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_country_sales(clean_orders(orders_feed(spark, sf_dir)))
+    return _gold(spark, sf_dir)
+
+
+def q_dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lineitem = load(spark, sf_dir, "lineitem")
+    return deduplicate_latest(lineitem, keys=list(LINEITEM_KEYS), order_by="l_shipdate", tie_breakers=LINEITEM_TIES)
+
+
+# --------------------------------------------------------------------------- quality
+
+
+def q_quality_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = orders_feed(spark, sf_dir)
+    return Q.profile(feed, clean_orders(feed))
+
+
+def q_quality_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = q_quality_profile(spark, sf_dir)
+    verdicts = [
+        Q.verdict(report, cfg.max_rejection_rate, cfg.fail_on_violation, cfg.env)
+        for cfg in (preset("qa"), preset("prod"))
+    ]
+    return verdicts[0].unionByName(verdicts[1])
+
+
+def q_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.duplicate_keys(load(spark, sf_dir, "lineitem"), LINEITEM_KEYS)
+
+
+def q_table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = orders_feed(spark, sf_dir)
+    normalised = normalise_orders(feed).select(*RAW_COLUMNS)
+    cleaned = clean_orders(feed).select(*RAW_COLUMNS)
+    return Q.multiset_difference(normalised, cleaned)
+
+
+def q_table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = preset("qa")
+    feed = orders_feed(spark, sf_dir)
+    clean = clean_orders(feed)
+    return Q.table_row_counts(
+        {
+            cfg.table("bronze", M.BRONZE_TABLE): feed,
+            cfg.table("silver", M.SILVER_TABLE): clean,
+            cfg.table("gold", M.GOLD_TABLE): daily_country_sales(clean, sort=False),
+        }
+    )
+
+
+def q_min_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.minimum_check(_gold(spark, sf_dir, sort=False), "gross_revenue", 0.0, name="revenue")
+
+
+# --------------------------------------------------------------------------- sources / sinks / steps
+
+
+def q_bronze_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lineitem = load(spark, sf_dir, "lineitem")
+    return add_audit_columns(lineitem, BATCH_ID, source_detail="name").drop("_ingested_at")
+
+
+def q_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = write_raw_csv(orders_feed(spark, sf_dir), f"{scratch_path(spark, 'landing')}/orders")
+    raw = read_raw_csv(spark, landing)
+    return raw.withColumn("order_ts", F.col("order_ts").cast("timestamp_ntz"))
+
+
+def q_layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = LayerConfig(env="qa").with_prefix(_unique("rt"))
+    ensure_schemas(spark, cfg, scratch_path(spark, "layers"))
+    write_layer(_clean(spark, sf_dir), cfg, "silver", M.SILVER_TABLE, partition_by=["order_date"])
+    return read_layer(spark, cfg, "silver", M.SILVER_TABLE)
+
+
+def q_medallion_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "e2e")
+    landing = write_raw_csv(orders_feed(spark, sf_dir), f"{root}/landing/orders")
+    cfg = preset("qa", catalog=None).with_prefix(_unique("e2e"))
+    M.run_all(spark, cfg, BATCH_ID, source_path=landing, location_root=root)
+    return read_layer(spark, cfg, "gold", M.GOLD_TABLE)
+
+
+def q_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = preset("qa")
+    feed = orders_feed(spark, sf_dir)
+    clean = clean_orders(feed)
+    batch = F.lit(BATCH_ID).alias("batch_id")
+
+    def counted(df: DataFrame) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("rows"))
+
+    bronze = M.metrics_frame(
+        counted(feed), "bronze", [F.lit(cfg.table("bronze", M.BRONZE_TABLE)).alias("table"), F.col("rows"), batch]
+    )
+    report = Q.profile(feed, clean)
+    silver = M.metrics_frame(
+        report,
+        "silver",
+        [F.lit(cfg.table("silver", M.SILVER_TABLE)).alias("table"), batch, *[F.col(c) for c in report.columns]],
+    )
+    gold = M.metrics_frame(
+        counted(daily_country_sales(clean, sort=False)),
+        "gold",
+        [F.lit(cfg.table("gold", M.GOLD_TABLE)).alias("table"), F.col("rows"), batch],
+    )
+    return bronze.unionByName(silver).unionByName(gold)
+
+
+# --------------------------------------------------------------------------- text and logs
+
+
+def q_redact_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.redact_text(load(spark, sf_dir, "documents"))
+
+
+def q_redaction_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.redaction_counts(load(spark, sf_dir, "documents"))
+
+
+def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.extract_metrics(log_lines(spark, sf_dir))
+
+
+def q_extract_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = _metrics(spark, sf_dir)
+    return m.select(
+        "line_id",
+        "payload",
+        F.col("metrics")["stage"].alias("stage"),
+        F.size("metrics").cast("bigint").alias("n_keys"),
+    )
+
+
+def q_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.metrics_long(_metrics(spark, sf_dir))
+
+
+def q_metrics_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.metrics_wide(_metrics(spark, sf_dir))
+
+
+def q_rule_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.rule_scan(load(spark, sf_dir, "documents"), CORPUS_RULES)
+
+
+def q_required_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.required_markers(load(spark, sf_dir, "documents"))
+
+
+def q_rule_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return T.rule_findings(T.rule_scan(docs, CORPUS_RULES), T.required_markers(docs))
+
+
+def q_clip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.clip_text(load(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
@@ -48,4 +250,25 @@ QUERIES: dict[str, Query] = {
     "valid_orders": q_valid_orders,
     "derive_amount": q_derive_amount,
     "clean_orders": q_clean_orders,
+    "dedupe_latest": q_dedupe_latest,
+    "quality_profile": q_quality_profile,
+    "quality_verdict": q_quality_verdict,
+    "duplicate_keys": q_duplicate_keys,
+    "table_diff": q_table_diff,
+    "table_row_counts": q_table_row_counts,
+    "min_revenue": q_min_revenue,
+    "bronze_audit": q_bronze_audit,
+    "csv_ingest": q_csv_ingest,
+    "layer_roundtrip": q_layer_roundtrip,
+    "medallion_e2e": q_medallion_e2e,
+    "stage_metrics": q_stage_metrics,
+    "redact_text": q_redact_text,
+    "redaction_counts": q_redaction_counts,
+    "extract_metrics": q_extract_metrics,
+    "metrics_long": q_metrics_long,
+    "metrics_wide": q_metrics_wide,
+    "rule_scan": q_rule_scan,
+    "required_markers": q_required_markers,
+    "rule_findings": q_rule_findings,
+    "clip_text": q_clip_text,
 }
