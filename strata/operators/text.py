@@ -118,18 +118,25 @@ def extract_metrics(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Lines carrying ``ETL_METRICS {json object}`` with the parsed ``metrics`` map.
 
     The payload is the text after the first marker, stripped. Payloads that
-    are not one JSON object are dropped (malformed lines are skipped, not
-    fatal). Values are kept as JSON text (``map<string,string>``); for a
-    repeated key the last value wins.
+    are not exactly one JSON object are dropped (malformed lines are
+    skipped, not fatal). Values are kept as JSON text
+    (``map<string,string>``); for a repeated key the last value wins.
+
+    The payload is parsed inside ``[...]``: a lone JSON reader stops after
+    the first value and would accept ``{"a": 1} junk``, while inside an
+    array trailing text is a syntax error, as it is for a strict parser.
     """
     lines.sparkSession.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     line = F.col(line_col)
     parsed = lines.filter(line.contains(METRICS_MARKER)).withColumn(
         "payload", strip_whitespace(_after_marker(line))
     )
-    metrics = F.from_json(F.col("payload"), "map<string,string>")
-    return parsed.withColumn("metrics", metrics).filter(
-        F.col("metrics").isNotNull() & F.col("payload").startswith("{") & F.col("payload").endswith("}")
+    payload = F.col("payload")
+    wrapped = F.from_json(F.concat(F.lit("["), payload, F.lit("]")), "array<map<string,string>>")
+    one_object = payload.startswith("{") & (F.size(wrapped) == F.lit(1))
+    return (
+        parsed.withColumn("metrics", F.when(one_object, wrapped[0]))
+        .filter(F.col("metrics").isNotNull())
     )
 
 

@@ -40,7 +40,7 @@ def read_text_corpus(spark: SparkSession, path: str, glob: str = "*.{yml,yaml}")
 
     ``doc_id`` is the full file path, so it is unique across folders.
     """
-    raw = spark.read.option("wholetext", "true").option("pathGlobFilter", glob).text(path)
+    raw = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
     return raw.select(
         F.col("_metadata.file_path").alias("doc_id"),
         F.col("_metadata.file_name").alias("file_name"),
@@ -54,7 +54,7 @@ def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
     Each file is read whole so that line numbers follow the file order; lines
     are split like Python's ``str.splitlines()``.
     """
-    files = spark.read.option("wholetext", "true").text(path).select(
+    files = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("text")
     )
     return files.select(
