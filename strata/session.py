@@ -17,16 +17,26 @@ _CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "strata") -> SparkSession:
-    """A ``local[cores]`` session with UTC time, AQE on and no web UI."""
+    """A ``local[cores]`` session with UTC time, AQE on and no web UI.
+
+    Two settings only make sense on one machine with small data: file
+    listing stays on the driver (a listing job only pays off on remote
+    storage), and AQE may coalesce down to 64 KB partitions, so that a
+    rebalanced partitioned write of a few MB still uses every core. At
+    cluster scale partitions are far above either floor.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
         .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
