@@ -198,11 +198,11 @@ def q_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_redact_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.redact_text(load(spark, sf_dir, "documents"))
+    return T.redact_text(load(spark, sf_dir, "documents", spread=True))
 
 
 def q_redaction_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.redaction_counts(load(spark, sf_dir, "documents"))
+    return T.redaction_counts(load(spark, sf_dir, "documents", spread=True))
 
 
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,20 +228,20 @@ def q_metrics_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rule_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.rule_scan(load(spark, sf_dir, "documents"), CORPUS_RULES)
+    return T.rule_scan(load(spark, sf_dir, "documents", spread=True), CORPUS_RULES)
 
 
 def q_required_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.required_markers(load(spark, sf_dir, "documents"))
+    return T.required_markers(load(spark, sf_dir, "documents", spread=True))
 
 
 def q_rule_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents")
+    docs = load(spark, sf_dir, "documents", spread=True)
     return T.rule_findings(T.rule_scan(docs, CORPUS_RULES), T.required_markers(docs))
 
 
 def q_clip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.clip_text(load(spark, sf_dir, "documents"))
+    return T.clip_text(load(spark, sf_dir, "documents", spread=True))
 
 
 QUERIES: dict[str, Query] = {

@@ -15,9 +15,33 @@ from pyspark.sql import functions as F
 BROADCAST_ROW_LIMIT = 100_000
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table, ``<sf_dir>/<name>.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One driver table, ``<sf_dir>/<name>.parquet``.
+
+    ``spread=True`` is for tables whose per-row work is heavy (regex over
+    whole texts): see ``spread_scan``.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_scan(df) if spread else df
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Rebalance a scan that yields fewer input splits than the session has cores.
+
+    A file that cannot be split (one parquet row group, a gzip file) is read
+    by a single task, and so is all per-row work stacked on it. In that case
+    only, the rows are rebalanced round-robin right after the scan, and AQE
+    sizes the resulting partitions; filters and column pruning still reach
+    the reader. A large input already has more splits than cores and is
+    returned unchanged, without a shuffle.
+    """
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a client without RDD access: leave the plan alone
+        return df
+    if splits >= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.hint("rebalance")
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
@@ -55,7 +79,10 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     order_dim = orders.join(customer_nation, orders.o_custkey == customer_nation.c_custkey, "inner").select(
         "o_orderkey", "o_custkey", "n_name"
     )
-    joined = lineitem.join(order_dim, lineitem.l_orderkey == order_dim.o_orderkey, "inner")
+    # Both sides grow with the data, so this is a shuffle join at any scale;
+    # "merge" keeps the planner from broadcasting the fact side when a
+    # filtered scan happens to look small, and AQE still splits skewed keys.
+    joined = lineitem.join(order_dim.hint("merge"), lineitem.l_orderkey == order_dim.o_orderkey, "inner")
 
     part = F.col("l_partkey")
     # The dirt pattern of the feed (moduli of l_partkey).
@@ -104,7 +131,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Most lines carry an ``ETL_METRICS {json}`` payload; every 7th event is a
     plain text line and every 11th a marker with a malformed payload.
     """
-    events = load(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    events = load(spark, sf_dir, "events", spread=True).select("event_id", "event_type", "props")
     event_id = F.col("event_id")
     # The shape of the log lines.
     line = (

@@ -55,7 +55,25 @@ def test_filters_reach_the_parquet_scan(spark):
     assert "Scan parquet" in plan and "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in plan
 
 
-def test_text_jobs_do_not_shuffle(spark):
+def test_text_jobs_do_not_shuffle_by_key(spark):
+    # Only the conditional round-robin rebalance of an unsplittable scan may appear.
     for name in ("redact_text", "clip_text", "required_markers", "rule_scan", "extract_metrics"):
         plan = _formatted(queries()[name](spark, SF_SMALL))
-        assert "Exchange" not in plan, name
+        assert "hashpartitioning" not in plan and "rangepartitioning" not in plan, name
+
+
+def test_spread_scan_is_a_no_op_for_split_inputs(spark, tmp_path):
+    from strata.sources.feeds import spread_scan
+
+    path = str(tmp_path / "many")
+    spark.range(0, 1000, 1, 32).write.parquet(path)
+    df = spark.read.parquet(path)
+    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        assert "Exchange" not in _formatted(spread_scan(df))
+    one = spark.read.parquet(SF_SMALL + "/documents.parquet")
+    assert "RoundRobinPartitioning" in _formatted(spread_scan(one))
+
+
+def test_fact_join_is_a_shuffle_join(spark):
+    plan = _formatted(queries()["clean_orders"](spark, SF_SMALL))
+    assert "SortMergeJoin" in plan
