@@ -16,7 +16,11 @@ LINE_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 # The characters Python's str.strip() removes (str.isspace()):
 # \t \n \x0b \x0c \r 0x1c-0x1f space 0x85 0xa0 U+1680 U+2000-U+200A U+2028
 # U+2029 U+202F U+205F U+3000.
-_PY_SPACE = r"[\t\n\x0b\x0c\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+PY_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Amounts at or beyond this magnitude (or NaN) are not summed in exact cents.
 _MONEY_LIMIT = 1e16
@@ -28,8 +32,12 @@ def is_blank(column: Column) -> Column:
 
 
 def strip_whitespace(column: Column) -> Column:
-    """Remove leading and trailing whitespace like Python's ``str.strip()``."""
-    return F.regexp_replace(column, rf"^{_PY_SPACE}+|{_PY_SPACE}+$", "")
+    """Remove leading and trailing whitespace like Python's ``str.strip()``.
+
+    ``trim`` with an explicit character set strips any mix of those
+    characters from both ends, with no regex.
+    """
+    return F.trim(column, F.lit(PY_WHITESPACE))
 
 
 def python_lines(text: Column) -> Column:

@@ -175,7 +175,7 @@ def test_clip_text(spark):
 
 
 @settings(max_examples=80, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.text(alphabet=st.sampled_from(list("ab \t\r\n\x0b\x0c\x1c\x85  ")), max_size=12))
+@given(st.text(alphabet=st.sampled_from(list("ab \t\r\n\x0b\x0c\x1c\x1f\x85\xa0\u2028\u2029\u3000")), max_size=12))
 def test_python_lines_and_strip_match_python(spark, text):
     row = spark.createDataFrame([(text,)], "t string").select(
         python_lines(F.col("t")).alias("lines"), strip_whitespace(F.col("t")).alias("s")
@@ -184,6 +184,12 @@ def test_python_lines_and_strip_match_python(spark, text):
     assert row.s == text.strip()
 
 
+def test_whitespace_set_is_pythons():
+    from strata.functions.columns import PY_WHITESPACE
+
+    assert set(PY_WHITESPACE) == {chr(c) for c in range(0x110000) if chr(c).isspace()}
+
+
 # ----------------------------------------------------------------------------- sources
 
 
