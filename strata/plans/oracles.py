@@ -324,6 +324,7 @@ def all_oracles() -> dict[str, str]:
             "csv_ingest": FEED,
             "layer_roundtrip": CLEAN,
             "medallion_e2e": GOLD,
+            "stream_ingest": FEED,
             "stage_metrics": STAGE_METRICS,
             "redact_text": _redact_text(),
             "redaction_counts": _redaction_counts(),

@@ -32,6 +32,7 @@ from strata.session import scratch_path
 from strata.sources.feeds import load, log_lines, orders_feed
 from strata.sources.files import read_raw_csv, write_raw_csv
 from strata.sources.tables import ensure_schemas, read_layer, write_layer
+from strata.streaming.landing import ingest_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -168,6 +169,15 @@ def q_medallion_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, cfg, "gold", M.GOLD_TABLE)
 
 
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "stream")
+    write_raw_csv(orders_feed(spark, sf_dir), f"{root}/landing/orders")
+    cfg = LayerConfig(env="qa").with_prefix(_unique("st"))
+    ingest_bronze(spark, cfg, BATCH_ID, f"{root}/landing/orders", f"{root}/checkpoint", root)
+    bronze = read_layer(spark, cfg, "bronze", M.BRONZE_TABLE)
+    return bronze.select(*RAW_COLUMNS).withColumn("order_ts", F.col("order_ts").cast("timestamp_ntz"))
+
+
 def q_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = preset("qa")
     feed = orders_feed(spark, sf_dir)
@@ -261,6 +271,7 @@ QUERIES: dict[str, Query] = {
     "csv_ingest": q_csv_ingest,
     "layer_roundtrip": q_layer_roundtrip,
     "medallion_e2e": q_medallion_e2e,
+    "stream_ingest": q_stream_ingest,
     "stage_metrics": q_stage_metrics,
     "redact_text": q_redact_text,
     "redaction_counts": q_redaction_counts,

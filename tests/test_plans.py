@@ -10,7 +10,7 @@ from __spark_entry__ import queries
 from tests.conftest import SF_SMALL
 
 # Queries with eager side effects (they write tables/files when built).
-WRITES = {"csv_ingest", "layer_roundtrip", "medallion_e2e"}
+WRITES = {"csv_ingest", "layer_roundtrip", "medallion_e2e", "stream_ingest"}
 
 
 def _plan(df) -> str:
