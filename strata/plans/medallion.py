@@ -55,14 +55,18 @@ class StepResult:
         return metrics_line(self.metrics.get("stage", ""), {k: v for k, v in self.metrics.items() if k != "stage"})
 
 
-def metrics_frame(one_row: DataFrame, stage: str, payload: list) -> DataFrame:
-    """``(stage, line)`` built on the executors from a one-row aggregate.
+def metric_record(stage: str, payload: list):
+    """``struct(stage, line)``: the ``ETL_METRICS {json}`` line as a column (compact JSON).
 
-    ``payload`` holds aliased columns in output order; the line is the same
-    ``ETL_METRICS {json}`` record the steps print (compact JSON).
+    ``payload`` holds aliased columns in output order.
     """
     record = F.to_json(F.struct(F.lit(stage).alias("stage"), *payload))
-    return one_row.select(F.lit(stage).alias("stage"), F.concat(F.lit(METRICS_MARKER), record).alias("line"))
+    return F.struct(F.lit(stage).alias("stage"), F.concat(F.lit(METRICS_MARKER), record).alias("line"))
+
+
+def metrics_frame(one_row: DataFrame, stage: str, payload: list) -> DataFrame:
+    """``(stage, line)`` built on the executors from a one-row aggregate."""
+    return one_row.select(metric_record(stage, payload).alias("m")).select("m.*")
 
 
 def _emit(stage: str, payload: dict, log: Callable[[str], None]) -> dict:

@@ -104,12 +104,8 @@ def q_quality_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_quality_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = q_quality_profile(spark, sf_dir)
-    verdicts = [
-        Q.verdict(report, cfg.max_rejection_rate, cfg.fail_on_violation, cfg.env)
-        for cfg in (preset("qa"), preset("prod"))
-    ]
-    return verdicts[0].unionByName(verdicts[1])
+    settings = [(c.env, c.max_rejection_rate, c.fail_on_violation) for c in (preset("qa"), preset("prod"))]
+    return Q.verdicts(q_quality_profile(spark, sf_dir), settings)
 
 
 def q_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,29 +175,30 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three step metric lines, from one profile and one gold count.
+
+    Bronze rows equal the profile's ``input_rows``, so the bronze and silver
+    lines come from the same one-row profile.
+    """
     cfg = preset("qa")
     feed = orders_feed(spark, sf_dir)
     clean = clean_orders(feed)
     batch = F.lit(BATCH_ID).alias("batch_id")
-
-    def counted(df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("rows"))
-
-    bronze = M.metrics_frame(
-        counted(feed), "bronze", [F.lit(cfg.table("bronze", M.BRONZE_TABLE)).alias("table"), F.col("rows"), batch]
-    )
     report = Q.profile(feed, clean)
-    silver = M.metrics_frame(
-        report,
+    bronze_line = M.metric_record(
+        "bronze", [F.lit(cfg.table("bronze", M.BRONZE_TABLE)).alias("table"), F.col("input_rows").alias("rows"), batch]
+    )
+    silver_line = M.metric_record(
         "silver",
         [F.lit(cfg.table("silver", M.SILVER_TABLE)).alias("table"), batch, *[F.col(c) for c in report.columns]],
     )
+    layers = report.select(F.explode(F.array(bronze_line, silver_line)).alias("m")).select("m.*")
     gold = M.metrics_frame(
-        counted(daily_country_sales(clean, sort=False)),
+        daily_country_sales(clean, sort=False).agg(F.count(F.lit(1)).alias("rows")),
         "gold",
         [F.lit(cfg.table("gold", M.GOLD_TABLE)).alias("table"), F.col("rows"), batch],
     )
-    return bronze.unionByName(silver).unionByName(gold)
+    return layers.unionByName(gold)
 
 
 # --------------------------------------------------------------------------- text and logs
