@@ -132,7 +132,11 @@ def extract_metrics(lines: DataFrame, line_col: str = "line") -> DataFrame:
         "payload", strip_whitespace(_after_marker(line))
     )
     payload = F.col("payload")
-    wrapped = F.from_json(F.concat(F.lit("["), payload, F.lit("]")), "array<map<string,string>>")
+    wrapped = F.from_json(
+        F.concat(F.lit("["), payload, F.lit("]")),
+        "array<map<string,string>>",
+        {"allowSingleQuotes": "false"},  # strict JSON: single-quoted strings are errors
+    )
     one_object = payload.startswith("{") & (F.size(wrapped) == F.lit(1))
     return (
         parsed.withColumn("metrics", F.when(one_object, wrapped[0]))

@@ -88,6 +88,20 @@ def test_extract_metrics_parses_structured_lines(spark):
     assert out[0].metrics["input_rows"] == "10"
 
 
+@pytest.mark.parametrize(
+    "payload",
+    ["{'stage': 'x'}", '{"stage": "x"} tail', '[{"stage": "x"}]', "5", '"text"', '{"stage": "x",}', "{stage: 1}"],
+)
+def test_extract_metrics_skips_what_strict_json_rejects(spark, payload):
+    df = spark.createDataFrame([(1, "ETL_METRICS " + payload)], "line_id long, line string")
+    assert T.extract_metrics(df).count() == 0
+
+
+def test_extract_metrics_last_duplicate_key_wins(spark):
+    df = spark.createDataFrame([(1, 'ETL_METRICS  {"a": 1, "a": 2}  ')], "line_id long, line string")
+    assert T.extract_metrics(df).first().metrics == {"a": "2"}
+
+
 def test_metrics_long_and_wide(spark):
     m = T.extract_metrics(_log_df(spark))
     long = {(r.line_id, r.key): r.value for r in T.metrics_long(m).collect()}
