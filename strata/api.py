@@ -1,0 +1,84 @@
+"""Step-by-step API of the medallion job, for callers moving existing jobs over.
+
+Same names and call shapes as the usual bronze/silver/gold job modules
+(``transforms``, ``quality``, ``storage``), mapped onto strata's operators.
+Everything here is a thin alias; the operators hold the logic.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from strata.config import ConfigError, LayerConfig, preset
+from strata.operators.cleanse import add_audit_columns, clean_orders
+from strata.operators.dedupe import deduplicate_latest
+from strata.operators.marts import daily_country_sales
+from strata.operators.quality import DataQualityError, QualityReport, collect_report, enforce
+from strata.operators.quality import profile as profile_frame
+from strata.operators.text import extract_metrics, redact
+from strata.plans.medallion import default_batch_id, metrics_line, run_bronze, run_gold, run_silver
+from strata.schemas import AUDIT_COLUMNS, RAW_ORDERS
+from strata.sources.files import read_raw_csv
+from strata.sources.tables import ensure_schemas, read_layer, write_layer
+
+BRONZE_AUDIT_COLUMNS = AUDIT_COLUMNS
+RAW_ORDERS_SCHEMA = RAW_ORDERS
+
+
+def add_bronze_audit_columns(df: DataFrame, batch_id: str) -> DataFrame:
+    return add_audit_columns(df, batch_id)
+
+
+def build_daily_country_sales(df: DataFrame) -> DataFrame:
+    return daily_country_sales(df)
+
+
+def profile(source: DataFrame, result: DataFrame, key: str = "order_id") -> QualityReport:
+    """The four counts as a driver-side report (one Spark job)."""
+    return collect_report(profile_frame(source, result, key))
+
+
+def load_config(env: str) -> LayerConfig:
+    return preset(env)
+
+
+def read_table(spark: SparkSession, cfg: LayerConfig, layer: str, name: str) -> DataFrame:
+    return read_layer(spark, cfg, layer, name)
+
+
+def write_table(
+    df: DataFrame,
+    cfg: LayerConfig,
+    layer: str,
+    name: str,
+    mode: str = "overwrite",
+    partition_by: list[str] | None = None,
+) -> str:
+    return write_layer(df, cfg, layer, name, mode=mode, partition_by=partition_by)
+
+
+__all__ = [
+    "BRONZE_AUDIT_COLUMNS",
+    "RAW_ORDERS_SCHEMA",
+    "ConfigError",
+    "DataQualityError",
+    "QualityReport",
+    "add_bronze_audit_columns",
+    "build_daily_country_sales",
+    "clean_orders",
+    "deduplicate_latest",
+    "default_batch_id",
+    "enforce",
+    "ensure_schemas",
+    "extract_metrics",
+    "load_config",
+    "metrics_line",
+    "profile",
+    "read_raw_csv",
+    "read_table",
+    "redact",
+    "run_bronze",
+    "run_gold",
+    "run_silver",
+    "write_table",
+]

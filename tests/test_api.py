@@ -1,0 +1,17 @@
+from __future__ import annotations
+
+from datetime import date
+
+from strata import api
+
+
+def test_step_api_on_fixture(spark, raw_orders):
+    bronze = api.add_bronze_audit_columns(raw_orders, "B-001")
+    assert set(api.BRONZE_AUDIT_COLUMNS) <= set(bronze.columns)
+    silver = api.clean_orders(bronze)
+    report = api.profile(bronze, silver)
+    assert report == api.QualityReport(7, 2, 1, 0)
+    api.enforce(report, max_rejection_rate=1.0, fail_on_violation=True)
+    gold = api.build_daily_country_sales(silver).collect()
+    assert [(r.order_date, r.country, r.order_count) for r in gold] == [(date(2026, 1, 1), "US", 1), (date(2026, 1, 2), "IN", 1)]
+    assert api.load_config("prod").table("gold", "daily_country_sales") == "prod.gold.daily_country_sales"
