@@ -1,0 +1,102 @@
+"""Operators against plain-Python brute force on random small inputs."""
+
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+from datetime import date, datetime, timedelta
+from decimal import ROUND_HALF_UP, Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from strata.operators import daily_country_sales, deduplicate_latest
+from strata.operators import quality as Q
+from strata.schemas import GOLD_INPUT
+
+SETTINGS = settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+gold_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["O1", "O2", "O3", "O4", None]),
+        st.sampled_from(["C1", "C2", None]),
+        st.sampled_from(["IN", "US", None]),
+        st.sampled_from([date(2026, 1, 1), date(2026, 1, 2), None]),
+        st.one_of(st.none(), st.integers(-99_999, 99_999).map(lambda c: c / 100)),
+    ),
+    max_size=25,
+)
+
+
+def _half_up(x: Decimal) -> float:
+    return float(x.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+
+
+@SETTINGS
+@given(gold_rows)
+def test_daily_country_sales_matches_exact_decimal(spark, rows):
+    got = {(r.order_date, r.country): tuple(r)[2:] for r in daily_country_sales(spark.createDataFrame(rows, GOLD_INPUT)).collect()}
+    groups = defaultdict(list)
+    for order_id, customer_id, country, day, amount in rows:
+        groups[(day, country)].append((order_id, customer_id, amount))
+    expected = {}
+    for key, items in groups.items():
+        amounts = [Decimal(str(a)) for _, _, a in items if a is not None]
+        total = sum(amounts, Decimal(0))
+        expected[key] = (
+            len({o for o, _, _ in items if o is not None}),
+            len({c for _, c, _ in items if c is not None}),
+            _half_up(total) if amounts else None,
+            _half_up(total / len(amounts)) if amounts else None,
+        )
+    assert got == expected
+
+
+dedup_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["a", "b", "c", None]),
+        st.one_of(st.none(), st.integers(0, 3).map(lambda h: datetime(2026, 1, 1) + timedelta(hours=h))),
+        st.one_of(st.none(), st.integers(0, 3)),
+        st.integers(0, 1000),
+    ),
+    max_size=20,
+    unique_by=lambda r: r[3],
+)
+
+
+@SETTINGS
+@given(dedup_rows)
+def test_deduplicate_latest_matches_sorting(spark, rows):
+    df = spark.createDataFrame(rows, "k string, ts timestamp, tie int, uid int")
+    got = sorted((tuple(r) for r in deduplicate_latest(df, ["k"], "ts", tie_breakers=["tie", "uid"]).collect()), key=repr)
+    best = {}
+    for k, ts, tie, uid in rows:
+        # greatest ts first (NULL last), then tie ascending (NULL first), then uid ascending
+        rank = (ts is None, -(ts.timestamp()) if ts else 0, tie is not None, tie or 0, uid)
+        if k not in best or rank < best[k][0]:
+            best[k] = (rank, (k, ts, tie, uid))
+    assert got == sorted((v for _, v in best.values()), key=repr)
+
+
+keys = st.lists(st.sampled_from(["a", "b", "", " ", None]), max_size=15)
+
+
+@SETTINGS
+@given(keys, keys)
+def test_profile_matches_counting(spark, source_keys, result_keys):
+    src = spark.createDataFrame([(k,) for k in source_keys], "order_id string")
+    res = spark.createDataFrame([(k,) for k in result_keys], "order_id string")
+    row = Q.profile(src, res).first()
+    distinct = len(set(result_keys))  # NULL counts as one key, as distinct() does
+    assert (row.input_rows, row.output_rows) == (len(source_keys), len(result_keys))
+    assert row.null_key_rows == sum(k is None for k in source_keys)
+    assert row.duplicate_key_rows == len(result_keys) - distinct
+    assert row.rejected_rows == max(len(source_keys) - len(result_keys), 0)
+
+
+@SETTINGS
+@given(st.lists(st.sampled_from([1, 2, 3, None]), max_size=15), st.lists(st.sampled_from([1, 2, 4, None]), max_size=15))
+def test_multiset_difference_matches_counter(spark, left, right):
+    lf = spark.createDataFrame([(v,) for v in left], "v int")
+    rf = spark.createDataFrame([(v,) for v in right], "v int")
+    got = {r.v: r.copies for r in Q.multiset_difference(lf, rf).collect()}
+    assert got == dict(Counter(left) - Counter(right))
