@@ -3,7 +3,7 @@
 from strata.functions.columns import (
     half_up_cents_average,
     is_blank,
-    is_not_finite_money,
+    is_cent_amount,
     money_cents,
     python_lines,
     strip_whitespace,
@@ -12,7 +12,7 @@ from strata.functions.columns import (
 __all__ = [
     "half_up_cents_average",
     "is_blank",
-    "is_not_finite_money",
+    "is_cent_amount",
     "money_cents",
     "python_lines",
     "strip_whitespace",

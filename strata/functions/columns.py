@@ -22,8 +22,11 @@ PY_WHITESPACE = (
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Amounts at or beyond this magnitude (or NaN) are not summed in exact cents.
-_MONEY_LIMIT = 1e16
+# Amounts below this magnitude have exact integer cents in a double (< 2**53).
+_MONEY_LIMIT = 1e13
+# x * 100 of a two-decimal amount lies within a few ulps of an integer; any
+# real sub-cent fraction is many orders of magnitude further away.
+_CENT_TOLERANCE = 1e-13
 
 
 def is_blank(column: Column) -> Column:
@@ -50,14 +53,22 @@ def python_lines(text: Column) -> Column:
     return F.when(text == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAKS))
 
 
-def is_not_finite_money(amount: Column) -> Column:
-    """True for NaN, +-Infinity and magnitudes too large for exact cents."""
-    return F.isnan(amount) | (F.abs(amount) >= F.lit(_MONEY_LIMIT))
+def is_cent_amount(amount: Column) -> Column:
+    """True when ``amount`` is a finite two-decimal value of exact integer cents.
+
+    NULL for a NULL amount. Cheap arithmetic only (no decimal conversion).
+    """
+    cents = amount * F.lit(100)
+    return (
+        ~F.isnan(amount)
+        & (F.abs(amount) < F.lit(_MONEY_LIMIT))
+        & (F.abs(cents - F.rint(cents)) <= F.lit(_CENT_TOLERANCE) * F.greatest(F.lit(1.0), F.abs(cents)))
+    )
 
 
 def money_cents(amount: Column) -> Column:
-    """An amount with at most two decimals as exact integer cents (NULL if not finite)."""
-    return F.when(~is_not_finite_money(amount), F.round(amount * F.lit(100)).cast("bigint"))
+    """A two-decimal amount as exact integer cents; NULL when it is not one."""
+    return F.when(is_cent_amount(amount), F.rint(amount * F.lit(100)).cast("bigint"))
 
 
 def half_up_cents_average(cents_sum: Column, count: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.columns import half_up_cents_average, is_not_finite_money, money_cents
+from strata.functions.columns import half_up_cents_average, is_cent_amount, money_cents
 from strata.schemas import GOLD_COLUMNS
 
 
@@ -19,8 +19,10 @@ def daily_country_sales(df: DataFrame, sort: bool = True) -> DataFrame:
     ``gross_amount`` carries two decimals, so money is summed as exact integer
     cents: the result does not depend on the order in which partial sums
     meet, and averages that fall exactly on half a cent round the same way
-    every run. A group holding a NaN/infinite amount falls back to the
-    floating point aggregate, which is what such inputs produce anyway.
+    every run. A group holding any amount that is not a whole number of
+    cents (NaN, infinite, sub-cent fractions, beyond 1e13) or whose cent sum
+    overflows falls back to the floating point aggregate, i.e. exactly
+    ``round(sum(x), 2)`` / ``round(avg(x), 2)``.
 
     NULL dates and countries form their own groups. Output is sorted by
     ``order_date, country`` (NULLs first) unless ``sort=False``.
@@ -29,13 +31,13 @@ def daily_country_sales(df: DataFrame, sort: bool = True) -> DataFrame:
     groups = df.groupBy("order_date", "country").agg(
         F.count_distinct("order_id").alias("order_count"),
         F.count_distinct("customer_id").alias("customer_count"),
-        F.sum(money_cents(amount)).alias("_cents"),
+        F.try_sum(money_cents(amount)).alias("_cents"),
         F.count(amount).alias("_n"),
-        F.count_if(is_not_finite_money(amount)).alias("_odd"),
+        F.count_if(~is_cent_amount(amount)).alias("_odd"),
         F.sum(amount).alias("_dsum"),
         F.avg(amount).alias("_davg"),
     )
-    exact = F.col("_odd") == F.lit(0)
+    exact = (F.col("_odd") == F.lit(0)) & (F.col("_cents").isNotNull() | (F.col("_n") == F.lit(0)))
     result = groups.select(
         "order_date",
         "country",
