@@ -227,6 +227,44 @@ def _rule_labels(rules: Sequence[tuple[str, str, str]], idx: Column) -> list[Col
     ]
 
 
+def scan_findings(
+    docs: DataFrame,
+    rules: Sequence[tuple[str, str, str]] = LINE_RULES,
+    markers: Sequence[tuple[str, str, str]] = REQUIRED_MARKERS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Line rules and required markers in one pass over each text.
+
+    Same rows as ``rule_findings(rule_scan(docs), required_markers(docs))``,
+    but the documents are read once: the line findings of a text come from
+    a ``transform`` over its lines, the missing markers from the whole text,
+    and one explode emits both.
+    """
+    text = F.col(text_col)
+    finding = "struct<line_no:int,rule_idx:int>"
+
+    def on_line(line: Column, i: Column) -> Column:
+        hits = [
+            F.when(line.rlike(rx), F.struct((i + F.lit(1)).alias("line_no"), F.lit(k).alias("rule_idx")))
+            for k, (_, rx, _) in enumerate(rules)
+        ]
+        return F.filter(F.array(*hits).cast(f"array<{finding}>"), lambda x: x.isNotNull())
+
+    line_hits = F.flatten(F.transform(python_lines(text), on_line))
+    doc_hits = F.filter(
+        F.array(
+            *[
+                F.when(~text.rlike(rx), F.struct(F.lit(None).cast("int").alias("line_no"), F.lit(len(rules) + k).alias("rule_idx")))
+                for k, (_, rx, _) in enumerate(markers)
+            ]
+        ).cast(f"array<{finding}>"),
+        lambda x: x.isNotNull(),
+    )
+    found = docs.select(F.col(id_col), F.explode(F.concat(line_hits, doc_hits)).alias("f"))
+    return found.select(F.col(id_col), F.col("f.line_no").alias("line_no"), *_rule_labels(list(rules) + list(markers), F.col("f.rule_idx")))
+
+
 def rule_findings(line_findings: DataFrame, doc_findings: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """All findings in one table; ``line_no`` is NULL for document-level ones."""
     return line_findings.select(id_col, "line_no", "rule", "message").unionByName(

@@ -243,8 +243,7 @@ def q_required_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rule_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents", spread=True)
-    return T.rule_findings(T.rule_scan(docs, CORPUS_RULES), T.required_markers(docs))
+    return T.scan_findings(load(spark, sf_dir, "documents", spread=True), CORPUS_RULES)
 
 
 def q_clip_text(spark: SparkSession, sf_dir: str) -> DataFrame:

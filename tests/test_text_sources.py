@@ -177,6 +177,13 @@ def test_rule_findings_union(spark):
     assert any(r.line_no is None and "permissions" in r.message for r in rows)
 
 
+def test_single_pass_findings_equal_the_union(spark):
+    docs = _docs(spark)
+    union = sorted(map(tuple, T.rule_findings(T.rule_scan(docs), T.required_markers(docs)).collect()), key=repr)
+    single = sorted(map(tuple, T.scan_findings(docs).collect()), key=repr)
+    assert single == union and len(single) == 3
+
+
 def test_clip_text(spark):
     text = "a" * 25_000 + "password: hunter2"
     row = T.clip_text(spark.createDataFrame([(1, text)], "doc_id int, text string")).first()
