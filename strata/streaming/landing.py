@@ -42,15 +42,18 @@ def start_bronze_ingest(
     checkpoint: str | None = None,
     location_root: str | None = None,
     table: str = BRONZE_TABLE,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Append the not-yet-ingested landing files to the bronze table, then stop.
 
-    Returns the started query; ``ingest_bronze`` waits for it.
+    ``max_files_per_trigger`` bounds each micro-batch; ``availableNow`` still
+    drains the whole backlog, in as many batches as needed. Returns the
+    started query; ``ingest_bronze`` waits for it.
     """
     ensure_schemas(spark, cfg, location_root)
     fqn = cfg.table("bronze", table)
     location = checkpoint or f"{checkpoint_root(spark)}/strata-stream-{fqn.replace('.', '_')}"
-    bronze = add_audit_columns(landing_stream(spark, source_path), batch_id)
+    bronze = add_audit_columns(landing_stream(spark, source_path, max_files_per_trigger), batch_id)
     return (
         bronze.writeStream.format(cfg.table_format)
         .outputMode("append")
@@ -68,9 +71,15 @@ def ingest_bronze(
     checkpoint: str | None = None,
     location_root: str | None = None,
     table: str = BRONZE_TABLE,
+    max_files_per_trigger: int | None = None,
 ) -> dict:
-    """Run one incremental ingest to completion; returns rows and files appended."""
-    query = start_bronze_ingest(spark, cfg, batch_id, source_path, checkpoint, location_root, table)
+    """Run one incremental ingest to completion; returns rows appended and micro-batches.
+
+    The counts come from the query's progress reports (Spark keeps the last 100).
+    """
+    query = start_bronze_ingest(
+        spark, cfg, batch_id, source_path, checkpoint, location_root, table, max_files_per_trigger
+    )
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()

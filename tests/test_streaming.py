@@ -26,3 +26,12 @@ def test_incremental_ingest_appends_each_file_once(spark):
     batch = read_raw_csv(spark, f"{root}/landing/*")
     streamed = bronze.select(*batch.columns)
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_bounded_micro_batches_drain_the_backlog(spark):
+    root = scratch_path(spark, "test-stream-batches")
+    feed = seed_feed(spark).repartition(5)
+    cfg = LayerConfig(env="qa").with_prefix(f"tb_{uuid.uuid4().hex[:8]}")
+    write_raw_csv(feed, f"{root}/landing")
+    out = ingest_bronze(spark, cfg, "B", f"{root}/landing", f"{root}/ckpt", root, max_files_per_trigger=2)
+    assert out["rows"] == 502 and out["batches"] >= 3
