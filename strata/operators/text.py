@@ -125,6 +125,11 @@ def extract_metrics(lines: DataFrame, line_col: str = "line") -> DataFrame:
     The payload is parsed inside ``[...]``: a lone JSON reader stops after
     the first value and would accept ``{"a": 1} junk``, while inside an
     array trailing text is a syntax error, as it is for a strict parser.
+
+    The "exactly one object" test folds into one array of 0 or 1 maps that
+    is exploded: a generator is never inlined into a filter, so each
+    payload is parsed once (a plain filter on the parsed value would make
+    Catalyst parse it again inside the pushed-down predicate).
     """
     lines.sparkSession.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     line = F.col(line_col)
@@ -137,11 +142,13 @@ def extract_metrics(lines: DataFrame, line_col: str = "line") -> DataFrame:
         "array<map<string,string>>",
         {"allowSingleQuotes": "false"},  # strict JSON: single-quoted strings are errors
     )
-    one_object = payload.startswith("{") & (F.size(wrapped) == F.lit(1))
-    return (
-        parsed.withColumn("metrics", F.when(one_object, wrapped[0]))
-        .filter(F.col("metrics").isNotNull())
+    exactly_one = F.aggregate(
+        F.when(payload.startswith("{"), wrapped),
+        F.struct(F.lit(0).alias("n"), F.lit(None).cast("map<string,string>").alias("m")),
+        lambda acc, m: F.struct((acc["n"] + F.lit(1)).alias("n"), F.coalesce(acc["m"], m).alias("m")),
+        lambda acc: F.when(acc["n"] == F.lit(1), F.array(acc["m"])),
     )
+    return parsed.select(*lines.columns, "payload", F.explode(exactly_one).alias("metrics"))
 
 
 def _after_marker(line: Column) -> Column:

@@ -77,3 +77,8 @@ def test_spread_scan_is_a_no_op_for_split_inputs(spark, tmp_path):
 def test_fact_join_is_a_shuffle_join(spark):
     plan = _formatted(queries()["clean_orders"](spark, SF_SMALL))
     assert "SortMergeJoin" in plan
+
+
+def test_metric_payloads_are_parsed_once(spark):
+    df = queries()["extract_metrics"](spark, SF_SMALL)
+    assert _plan(df).count("from_json(") == 1
