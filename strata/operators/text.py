@@ -181,6 +181,26 @@ def metrics_wide(metrics: DataFrame, id_cols: Sequence[str] = ("line_id",), keys
     return metrics.select(*id_cols, *[F.coalesce(m[k], F.lit("")).alias(k) for k in keys])
 
 
+def metrics_report(lines: DataFrame, metrics: DataFrame) -> DataFrame:
+    """One row: ``log_lines``, ``metric_lines``, ``metric_keys`` (distinct) and ``note``.
+
+    ``note`` is the fixed empty-report message when no line carried metrics.
+    One aggregate over a tagged union: every metrics row contributes a NULL
+    marker (counted as a metric line) followed by its keys (counted
+    distinct), so nothing is collected into a single row.
+    """
+    marker = F.lit(None).cast("string")
+    tagged = lines.select(F.lit(True).alias("_log"), marker.alias("_key")).unionByName(
+        metrics.select(F.lit(False).alias("_log"), F.explode(F.concat(F.array(marker), F.map_keys("metrics"))).alias("_key"))
+    )
+    counts = tagged.agg(
+        F.count_if(F.col("_log")).alias("log_lines"),
+        F.count_if(~F.col("_log") & F.col("_key").isNull()).alias("metric_lines"),
+        F.count_distinct("_key").alias("metric_keys"),
+    )
+    return counts.withColumn("note", F.when(F.col("metric_lines") == F.lit(0), F.lit(NO_METRICS_MESSAGE)))
+
+
 # --------------------------------------------------------------------------- rule scans
 
 
@@ -234,29 +254,22 @@ def _rule_labels(rules: Sequence[tuple[str, str, str]], idx: Column) -> list[Col
     ]
 
 
-def scan_findings(
-    docs: DataFrame,
-    rules: Sequence[tuple[str, str, str]] = LINE_RULES,
-    markers: Sequence[tuple[str, str, str]] = REQUIRED_MARKERS,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """Line rules and required markers in one pass over each text.
+_FINDING = "struct<line_no:int,rule_idx:int>"
 
-    Same rows as ``rule_findings(rule_scan(docs), required_markers(docs))``,
-    but the documents are read once: the line findings of a text come from
-    a ``transform`` over its lines, the missing markers from the whole text,
-    and one explode emits both.
+
+def _findings(text: Column, rules: Sequence[tuple[str, str, str]], markers: Sequence[tuple[str, str, str]]) -> Column:
+    """All findings of one text as ``array<struct<line_no, rule_idx>>``.
+
+    Line rules come from a ``transform`` over the text's lines; marker
+    indexes follow the rule indexes, with a NULL line number.
     """
-    text = F.col(text_col)
-    finding = "struct<line_no:int,rule_idx:int>"
 
     def on_line(line: Column, i: Column) -> Column:
         hits = [
             F.when(line.rlike(rx), F.struct((i + F.lit(1)).alias("line_no"), F.lit(k).alias("rule_idx")))
             for k, (_, rx, _) in enumerate(rules)
         ]
-        return F.filter(F.array(*hits).cast(f"array<{finding}>"), lambda x: x.isNotNull())
+        return F.filter(F.array(*hits).cast(f"array<{_FINDING}>"), lambda x: x.isNotNull())
 
     line_hits = F.flatten(F.transform(python_lines(text), on_line))
     doc_hits = F.filter(
@@ -265,13 +278,48 @@ def scan_findings(
                 F.when(~text.rlike(rx), F.struct(F.lit(None).cast("int").alias("line_no"), F.lit(len(rules) + k).alias("rule_idx")))
                 for k, (_, rx, _) in enumerate(markers)
             ]
-        ).cast(f"array<{finding}>"),
+        ).cast(f"array<{_FINDING}>"),
         lambda x: x.isNotNull(),
     )
-    found = docs.select(F.col(id_col), F.explode(F.concat(line_hits, doc_hits)).alias("f"))
+    return F.concat(line_hits, doc_hits)
+
+
+def scan_findings(
+    docs: DataFrame,
+    rules: Sequence[tuple[str, str, str]] = LINE_RULES,
+    markers: Sequence[tuple[str, str, str]] = REQUIRED_MARKERS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Line rules and required markers in one pass over each text.
+
+    Same rows as ``rule_findings(rule_scan(docs), required_markers(docs))``,
+    but the documents are read once and one explode emits both kinds.
+    """
+    found = docs.select(F.col(id_col), F.explode(_findings(F.col(text_col), rules, markers)).alias("f"))
     return found.select(F.col(id_col), F.col("f.line_no").alias("line_no"), *_rule_labels(list(rules) + list(markers), F.col("f.rule_idx")))
 
 
+def findings_verdict(
+    docs: DataFrame,
+    rules: Sequence[tuple[str, str, str]] = LINE_RULES,
+    markers: Sequence[tuple[str, str, str]] = REQUIRED_MARKERS,
+    text_col: str = "text",
+) -> DataFrame:
+    """One row: ``documents``, ``findings``, ``documents_with_findings``, ``passed``.
+
+    Any finding fails the check. One pass: the per-text findings array is
+    sized, not exploded, then summed.
+    """
+    per_doc = docs.select(F.size(_findings(F.col(text_col), rules, markers)).alias("n"))
+    counts = per_doc.agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("findings"),
+        F.count_if(F.col("n") > F.lit(0)).alias("documents_with_findings"),
+    )
+    return counts.withColumn("passed", F.col("findings") == F.lit(0))
+
+
 def rule_findings(line_findings: DataFrame, doc_findings: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """All findings in one table; ``line_no`` is NULL for document-level ones."""
     return line_findings.select(id_col, "line_no", "rule", "message").unionByName(

@@ -217,6 +217,15 @@ FROM ({METRIC_PAYLOADS}) m
 """
 
 
+METRICS_REPORT = f"""
+SELECT (SELECT count(*) FROM ({LOG}) l) AS log_lines,
+       count(*) AS metric_lines,
+       (SELECT count(DISTINCT k) FROM (SELECT unnest(json_keys(payload)) AS k FROM ({METRIC_PAYLOADS}) m2) u) AS metric_keys,
+       CASE WHEN count(*) = 0 THEN '_No ETL_METRICS emitted by this run._' END AS note
+FROM ({METRIC_PAYLOADS}) m
+"""
+
+
 def _redacted(expr: str) -> str:
     T = _fixed()
     for _, pattern in T.REDACTION_PATTERNS:
@@ -297,6 +306,16 @@ SELECT doc_id, CAST(NULL AS INTEGER) AS line_no, rule, message FROM ({_required_
 """
 
 
+def _findings_verdict() -> str:
+    return f"""
+SELECT (SELECT count(*) FROM documents) AS documents,
+       count(*) AS findings,
+       count(DISTINCT doc_id) AS documents_with_findings,
+       count(*) = 0 AS passed
+FROM ({_rule_findings()}) f
+"""
+
+
 def _clip_text() -> str:
     T = _fixed()
     return f"""
@@ -331,9 +350,11 @@ def all_oracles() -> dict[str, str]:
             "extract_metrics": EXTRACT_METRICS,
             "metrics_long": METRICS_LONG,
             "metrics_wide": METRICS_WIDE,
+            "metrics_report": METRICS_REPORT,
             "rule_scan": _rule_scan(),
             "required_markers": _required_markers(),
             "rule_findings": _rule_findings(),
+            "findings_verdict": _findings_verdict(),
             "clip_text": _clip_text(),
         }
     )

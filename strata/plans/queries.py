@@ -234,6 +234,11 @@ def q_metrics_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.metrics_wide(_metrics(spark, sf_dir))
 
 
+def q_metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = log_lines(spark, sf_dir)
+    return T.metrics_report(lines, T.extract_metrics(lines))
+
+
 def q_rule_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.rule_scan(load(spark, sf_dir, "documents", spread=True), CORPUS_RULES)
 
@@ -246,6 +251,10 @@ def q_rule_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.scan_findings(load(spark, sf_dir, "documents", spread=True), CORPUS_RULES)
 
 
+def q_findings_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.findings_verdict(load(spark, sf_dir, "documents", spread=True), CORPUS_RULES)
+
+
 def q_clip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.clip_text(load(spark, sf_dir, "documents", spread=True))
 
@@ -274,8 +283,10 @@ QUERIES: dict[str, Query] = {
     "extract_metrics": q_extract_metrics,
     "metrics_long": q_metrics_long,
     "metrics_wide": q_metrics_wide,
+    "metrics_report": q_metrics_report,
     "rule_scan": q_rule_scan,
     "required_markers": q_required_markers,
     "rule_findings": q_rule_findings,
+    "findings_verdict": q_findings_verdict,
     "clip_text": q_clip_text,
 }

@@ -111,6 +111,15 @@ def test_metrics_long_and_wide(spark):
     assert [tuple(r) for r in wide.collect()] == [(2, "10", "8", "", "silver"), (5, "", "", "3", "gold")]
 
 
+def test_metrics_report(spark):
+    lines = _log_df(spark)
+    row = T.metrics_report(lines, T.extract_metrics(lines)).first()
+    assert (row.log_lines, row.metric_lines, row.metric_keys, row.note) == (7, 2, 4, None)
+    empty = _log_df(spark, "nothing here\n")
+    row = T.metrics_report(empty, T.extract_metrics(empty)).first()
+    assert (row.metric_lines, row.metric_keys) == (0, 0) and "No ETL_METRICS" in row.note
+
+
 def test_metrics_wide_empty(spark):
     m = T.extract_metrics(_log_df(spark, "nothing here\n"))
     assert T.metrics_wide(m).columns == ["line_id"] and m.count() == 0
@@ -184,6 +193,13 @@ def test_single_pass_findings_equal_the_union(spark):
     assert single == union and len(single) == 3
 
 
+def test_findings_verdict(spark):
+    row = T.findings_verdict(_docs(spark)).first()
+    assert (row.documents, row.findings, row.documents_with_findings, row.passed) == (3, 3, 2, False)
+    good = spark.createDataFrame([("good", GOOD)], "doc_id string, text string")
+    assert T.findings_verdict(good).first().passed
+
+
 def test_clip_text(spark):
     text = "a" * 25_000 + "password: hunter2"
     row = T.clip_text(spark.createDataFrame([(1, text)], "doc_id int, text string")).first()
