@@ -24,7 +24,9 @@ QUERIES = (
     "table_diff",
     "redaction_counts",
     "rule_findings",
-    "metrics_wide",
+    "findings_verdict",
+    "extract_metrics",
+    "metrics_report",
 )
 
 _LINE = re.compile(r"^(?P<indent>[\s:+\-|]*)(?P<body>\S.*)$")
