@@ -44,6 +44,8 @@ def _condense(tree: str) -> str:
             continue
         body = _strip_ids(re.sub(r"^\*?\(\d+\) ", "", m.group("body")))
         name = body.split(" ")[0].split("(")[0]
+        if not re.fullmatch(r"[A-Z][A-Za-z]+", name):
+            continue  # a continuation of a multi-line literal inside an expression
         detail = ""
         if name == "Exchange":
             part = re.search(r"(hashpartitioning\([^)]*\)|rangepartitioning\(.*?\d+\)|RoundRobinPartitioning\(\d+\)|SinglePartition)", body)
