@@ -50,12 +50,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this setting points at shared storage and is read as is.
     Only when it is unset (local tests) a fresh folder is created and set.
     """
-    configured = spark.sparkContext.getCheckpointDir()
+    try:
+        context = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context, only the SQL conf
+        context = None
+    configured = context.getCheckpointDir() if context is not None else None
     if not configured:
-        configured = spark.conf.get(_CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(_CHECKPOINT_CONF, None)
+        configured = spark.conf.get(_CHECKPOINT_CONF, None)
+    if not configured and context is not None:
+        configured = context.getConf().get(_CHECKPOINT_CONF, None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.sparkContext.setCheckpointDir(configured)
+        if context is not None:
+            context.setCheckpointDir(configured)
+        else:
+            spark.conf.set(_CHECKPOINT_CONF, configured)
     return configured.rstrip("/")
 
 

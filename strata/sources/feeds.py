@@ -37,9 +37,10 @@ def spread_scan(df: DataFrame) -> DataFrame:
     """
     try:
         splits = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a client without RDD access: leave the plan alone
+        cores = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # e.g. a Spark Connect client (no RDD access): leave the plan alone
         return df
-    if splits >= df.sparkSession.sparkContext.defaultParallelism:
+    if splits >= cores:
         return df
     return df.hint("rebalance")
 
