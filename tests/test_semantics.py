@@ -65,3 +65,10 @@ def test_rate_is_rounded_for_output_only(spark):
     assert row.rejection_rate == 0.6667
     v = Q.verdict(Q.profile(df, one), 0.66667, True).first()
     assert v.rate_exceeded is False  # 2/3 = 0.666666... is below 0.66667, though the rounded 0.6667 is above
+
+
+@pytest.mark.parametrize(("rejected", "total"), [(1, 32), (5, 32), (1, 800), (3, 7), (2, 3), (1, 1)])
+def test_rate_message_rounds_like_python(spark, rejected, total):
+    df = spark.createDataFrame([(total, total - rejected, 0, 0)], "input_rows long, output_rows long, null_key_rows long, duplicate_key_rows long")
+    message = Q.verdict(df, 0.0, True).first().message
+    assert f"rejection rate {rejected / total:.2%} exceeds threshold 0.00%" in message
