@@ -6,6 +6,7 @@ from strata.functions.columns import (
     is_cent_amount,
     money_cents,
     python_lines,
+    round_like_python,
     strip_whitespace,
 )
 
@@ -15,5 +16,6 @@ __all__ = [
     "is_cent_amount",
     "money_cents",
     "python_lines",
+    "round_like_python",
     "strip_whitespace",
 ]

@@ -66,6 +66,15 @@ def is_cent_amount(amount: Column) -> Column:
     )
 
 
+def round_like_python(value: Column, digits: int) -> Column:
+    """Python's ``round(x, digits)`` on a double: half-even on the exact binary value.
+
+    ``format_number`` rounds that way (``round(0.03125, 4)`` is ``0.0312``);
+    Spark's ``round`` rounds half-up on the shortest decimal text instead.
+    """
+    return F.regexp_replace(F.format_number(value, digits), ",", "").cast("double")
+
+
 def money_cents(amount: Column) -> Column:
     """A two-decimal amount as exact integer cents; NULL when it is not one."""
     return F.when(is_cent_amount(amount), F.rint(amount * F.lit(100)).cast("bigint"))

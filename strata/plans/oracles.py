@@ -85,7 +85,7 @@ def _fixed():
 
 PROFILE = f"""
 SELECT input_rows, output_rows, null_key_rows, duplicate_key_rows, rejected_rows,
-       round(rate, 4) AS rejection_rate, rate
+       CAST(printf('%.4f', rate) AS DOUBLE) AS rejection_rate, rate
 FROM (
   SELECT i.n AS input_rows, o.n AS output_rows, i.nulls AS null_key_rows,
          o.n - o.k AS duplicate_key_rows,

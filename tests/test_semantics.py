@@ -72,3 +72,11 @@ def test_rate_message_rounds_like_python(spark, rejected, total):
     df = spark.createDataFrame([(total, total - rejected, 0, 0)], "input_rows long, output_rows long, null_key_rows long, duplicate_key_rows long")
     message = Q.verdict(df, 0.0, True).first().message
     assert f"rejection rate {rejected / total:.2%} exceeds threshold 0.00%" in message
+
+
+@pytest.mark.parametrize(("rejected", "total"), [(1, 32), (3, 32), (1, 3), (2, 3), (1, 16), (7, 8)])
+def test_rejection_rate_rounds_like_python(spark, rejected, total):
+    src = spark.createDataFrame([(f"k{i}",) for i in range(total)], "order_id string")
+    res = spark.createDataFrame([(f"k{i}",) for i in range(total - rejected)], "order_id string")
+    row = Q.profile(src, res).first()
+    assert row.rejection_rate == Q.QualityReport(total, total - rejected, 0, 0).as_dict()["rejection_rate"]
