@@ -24,6 +24,15 @@ REDACTION_PATTERNS: tuple[tuple[str, str], ...] = (
 )
 MASK = "***REDACTED***"
 
+# The patterns above and the line rules below are Python regexes, whose \b,
+# \w, \s and (?i) are Unicode-aware. Java's are ASCII unless
+# UNICODE_CHARACTER_CLASS is on, so they are applied with this flag.
+PYTHON_SEMANTICS = "(?U)"
+
+
+def _py(pattern: str) -> str:
+    return PYTHON_SEMANTICS + pattern
+
 # The metrics-line marker and the empty-report message.
 METRICS_MARKER = "ETL_METRICS "
 NO_METRICS_MESSAGE = "_No ETL_METRICS emitted by this run._"
@@ -71,7 +80,7 @@ LOG_TAIL_CHARS = 8_000
 def redact(text: Column, patterns: Sequence[tuple[str, str]] = REDACTION_PATTERNS) -> Column:
     """Mask every credential-shaped match, one pattern after the other."""
     for _, pattern in patterns:
-        text = F.regexp_replace(text, pattern, MASK)
+        text = F.regexp_replace(text, _py(pattern), MASK)
     return text
 
 
@@ -83,8 +92,8 @@ def redaction_hits(text: Column, patterns: Sequence[tuple[str, str]] = REDACTION
     """
     hits = {}
     for name, pattern in patterns:
-        hits[name] = F.regexp_count(text, F.lit(pattern))
-        text = F.regexp_replace(text, pattern, MASK)
+        hits[name] = F.regexp_count(text, F.lit(_py(pattern)))
+        text = F.regexp_replace(text, _py(pattern), MASK)
     return hits
 
 
@@ -218,7 +227,7 @@ def rule_scan(
     lines = docs.select(F.col(id_col), F.posexplode(python_lines(F.col(text_col))).alias("pos", "line"))
     line = F.col("line")
     matched = F.filter(
-        F.array(*[F.when(line.rlike(rx), F.lit(i)) for i, (_, rx, _) in enumerate(rules)]),
+        F.array(*[F.when(line.rlike(_py(rx)), F.lit(i)) for i, (_, rx, _) in enumerate(rules)]),
         lambda x: x.isNotNull(),
     )
     hits = lines.select(F.col(id_col), (F.col("pos") + F.lit(1)).alias("line_no"), F.explode(matched).alias("rule_idx"))
@@ -266,7 +275,7 @@ def _findings(text: Column, rules: Sequence[tuple[str, str, str]], markers: Sequ
 
     def on_line(line: Column, i: Column) -> Column:
         hits = [
-            F.when(line.rlike(rx), F.struct((i + F.lit(1)).alias("line_no"), F.lit(k).alias("rule_idx")))
+            F.when(line.rlike(_py(rx)), F.struct((i + F.lit(1)).alias("line_no"), F.lit(k).alias("rule_idx")))
             for k, (_, rx, _) in enumerate(rules)
         ]
         return F.filter(F.array(*hits).cast(f"array<{_FINDING}>"), lambda x: x.isNotNull())

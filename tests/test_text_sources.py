@@ -57,7 +57,15 @@ def _python_redact(text: str) -> str:
 
 
 @settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.sampled_from(["token", "=", ":", " ", "x", "sk-", "ghp_", "a" * 20, "dapi", "0" * 32, "\n", "Password", "é"]), max_size=12))
+@given(
+    st.lists(
+        st.sampled_from(
+            ["token", "=", ":", " ", "x", "sk-", "ghp_", "a" * 20, "dapi", "0" * 32, "\n", "Password", "é",
+             "\u017fecret", "\xa0", "\u212aey", "api_", "Ä", "\t"]
+        ),
+        max_size=12,
+    )
+)
 def test_redact_matches_python_re(spark, parts):
     text = "".join(parts)
     got = spark.createDataFrame([(text,)], "t string").select(T.redact(F.col("t"))).first()[0]
