@@ -1,0 +1,41 @@
+from __future__ import annotations
+
+import json
+import uuid
+
+import pytest
+
+from strata import __main__ as cli
+from strata.config import preset
+from strata.plans import medallion as M
+from strata.session import scratch_path
+from strata.sources import read_layer, seed_feed, write_raw_csv
+
+
+def test_batch_id_defaults_to_utc_timestamp():
+    args = cli.parse_args(["bronze", "--env", "qa"])
+    assert args.batch_id.endswith("Z") and len(args.batch_id) == 16
+
+
+def test_explicit_batch_id_is_respected():
+    args = cli.parse_args(["gold", "--env", "prod", "--batch-id", "B-42"])
+    assert (args.batch_id, args.env, args.step) == ("B-42", "prod", "gold")
+
+
+@pytest.mark.parametrize("argv", [["bronze", "--env", "dev"], ["bronze"], ["platinum", "--env", "qa"]])
+def test_invalid_arguments_are_rejected(argv):
+    with pytest.raises(SystemExit):
+        cli.parse_args(argv)
+
+
+def test_all_steps_from_the_command_line(spark, capsys, monkeypatch):
+    root = scratch_path(spark, "test-cli")
+    landing = write_raw_csv(seed_feed(spark), f"{root}/landing")
+    prefix = f"cli_{uuid.uuid4().hex[:8]}"
+    real_preset = preset
+    monkeypatch.setattr(cli, "preset", lambda env, **kw: real_preset(env, **kw).with_prefix(prefix))
+    assert cli.main(["all", "--env", "prod", "--catalog", "", "--batch-id", "B-7", "--source-path", landing, "--location-root", root]) == 0
+    lines = [json.loads(x.removeprefix("ETL_METRICS ")) for x in capsys.readouterr().out.splitlines() if x.startswith("ETL_METRICS ")]
+    assert [x["stage"] for x in lines] == ["bronze", "silver", "gold"] and all(x["batch_id"] == "B-7" for x in lines)
+    cfg = real_preset("prod", catalog=None).with_prefix(prefix)
+    assert read_layer(spark, cfg, "silver", M.SILVER_TABLE).count() == 500
