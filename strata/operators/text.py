@@ -51,21 +51,31 @@ LINE_RULES: tuple[tuple[str, str, str], ...] = (
     ),
 )
 
-# Required top-level workflow keys (name, Java regex, message).
+# Required top-level workflow keys
+# (name, Java regex showing the key, message, Java regex voiding it or None).
 # A YAML 1.1 reader takes on/yes/true (any of their three spellings) as the
-# boolean key True, which also counts as a trigger.
-REQUIRED_MARKERS: tuple[tuple[str, str, str], ...] = (
+# boolean key True, which also counts as a trigger. "jobs" must also be
+# non-empty: block children on the following lines (a nested mapping, or a
+# sequence even at column 0), or an inline value other than the falsy ones.
+REQUIRED_MARKERS: tuple[tuple[str, str, str, str | None], ...] = (
     (
         "missing_trigger",
         r"(?m)^(?:[\"']on[\"']|on|On|ON|yes|Yes|YES|true|True|TRUE)[ \t]*:(?:[ \t]|$)",
         "missing trigger (`on:`)",
+        None,
     ),
     (
         "missing_permissions",
         r"(?m)^permissions[ \t]*:(?:[ \t]|$)",
         "no top-level `permissions:` block (least privilege)",
+        None,
+    ),
+    (
+        "missing_jobs",
+        r"(?m)^jobs[ \t]*:(?:[ \t]*(?:#[^\n]*)?\r?\n(?:[ \t]*(?:#[^\n]*)?\r?\n)*(?:[ \t]+[^\s#]|-[ \t])|[ \t]+[^\s#])",
+        "no jobs defined",
+        r"(?m)^jobs[ \t]*:[ \t]+(?:\{[ \t]*\}|\[[ \t]*\]|null|Null|NULL|~|\"\"|''|false|False|FALSE|no|No|NO|off|Off|OFF|0)[ \t]*(?:#[^\n]*)?\r?$",
     ),
-    ("missing_jobs", r"(?m)^jobs[ \t]*:(?:[ \t]|$)", "no jobs defined"),
 )
 
 # Text clipping limits (characters).
@@ -234,9 +244,17 @@ def rule_scan(
     return hits.select(F.col(id_col), "line_no", *_rule_labels(rules, F.col("rule_idx")))
 
 
+def _marker_missing(text: Column, marker: tuple) -> Column:
+    _, present, _, void = marker
+    found = text.rlike(present)
+    if void:
+        found = found & ~text.rlike(void)
+    return ~found
+
+
 def required_markers(
     docs: DataFrame,
-    markers: Sequence[tuple[str, str, str]] = REQUIRED_MARKERS,
+    markers: Sequence[tuple] = REQUIRED_MARKERS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -247,16 +265,16 @@ def required_markers(
     """
     text = F.col(text_col)
     missing = F.filter(
-        F.array(*[F.when(~text.rlike(rx), F.lit(i)) for i, (_, rx, _) in enumerate(markers)]),
+        F.array(*[F.when(_marker_missing(text, m), F.lit(i)) for i, m in enumerate(markers)]),
         lambda x: x.isNotNull(),
     )
     found = docs.select(F.col(id_col), F.explode(missing).alias("rule_idx"))
     return found.select(F.col(id_col), *_rule_labels(markers, F.col("rule_idx")))
 
 
-def _rule_labels(rules: Sequence[tuple[str, str, str]], idx: Column) -> list[Column]:
-    names = F.array(*[F.lit(n) for n, _, _ in rules])
-    messages = F.array(*[F.lit(m) for _, _, m in rules])
+def _rule_labels(rules: Sequence[tuple], idx: Column) -> list[Column]:
+    names = F.array(*[F.lit(r[0]) for r in rules])
+    messages = F.array(*[F.lit(r[2]) for r in rules])
     return [
         F.element_at(names, (idx + F.lit(1)).cast("int")).alias("rule"),
         F.element_at(messages, (idx + F.lit(1)).cast("int")).alias("message"),
@@ -266,7 +284,7 @@ def _rule_labels(rules: Sequence[tuple[str, str, str]], idx: Column) -> list[Col
 _FINDING = "struct<line_no:int,rule_idx:int>"
 
 
-def _findings(text: Column, rules: Sequence[tuple[str, str, str]], markers: Sequence[tuple[str, str, str]]) -> Column:
+def _findings(text: Column, rules: Sequence[tuple[str, str, str]], markers: Sequence[tuple]) -> Column:
     """All findings of one text as ``array<struct<line_no, rule_idx>>``.
 
     Line rules come from a ``transform`` over the text's lines; marker
@@ -284,8 +302,8 @@ def _findings(text: Column, rules: Sequence[tuple[str, str, str]], markers: Sequ
     doc_hits = F.filter(
         F.array(
             *[
-                F.when(~text.rlike(rx), F.struct(F.lit(None).cast("int").alias("line_no"), F.lit(len(rules) + k).alias("rule_idx")))
-                for k, (_, rx, _) in enumerate(markers)
+                F.when(_marker_missing(text, m), F.struct(F.lit(None).cast("int").alias("line_no"), F.lit(len(rules) + k).alias("rule_idx")))
+                for k, m in enumerate(markers)
             ]
         ).cast(f"array<{_FINDING}>"),
         lambda x: x.isNotNull(),
@@ -296,7 +314,7 @@ def _findings(text: Column, rules: Sequence[tuple[str, str, str]], markers: Sequ
 def scan_findings(
     docs: DataFrame,
     rules: Sequence[tuple[str, str, str]] = LINE_RULES,
-    markers: Sequence[tuple[str, str, str]] = REQUIRED_MARKERS,
+    markers: Sequence[tuple] = REQUIRED_MARKERS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -312,7 +330,7 @@ def scan_findings(
 def findings_verdict(
     docs: DataFrame,
     rules: Sequence[tuple[str, str, str]] = LINE_RULES,
-    markers: Sequence[tuple[str, str, str]] = REQUIRED_MARKERS,
+    markers: Sequence[tuple] = REQUIRED_MARKERS,
     text_col: str = "text",
 ) -> DataFrame:
     """One row: ``documents``, ``findings``, ``documents_with_findings``, ``passed``.

@@ -290,11 +290,12 @@ def _rule_scan() -> str:
 
 def _required_markers() -> str:
     T = _fixed()
-    parts = [
-        f"SELECT doc_id, {_q(name)} AS rule, {_q(message)} AS message FROM documents "
-        f"WHERE NOT regexp_matches(text, {_q(rx)})"
-        for name, rx, message in T.REQUIRED_MARKERS
-    ]
+    parts = []
+    for name, rx, message, void in T.REQUIRED_MARKERS:
+        present = f"regexp_matches(text, {_q(rx)})"
+        if void:
+            present = f"({present} AND NOT regexp_matches(text, {_q(void)}))"
+        parts.append(f"SELECT doc_id, {_q(name)} AS rule, {_q(message)} AS message FROM documents WHERE NOT {present}")
     return "\nUNION ALL\n".join(parts)
 
 

@@ -100,3 +100,72 @@ def test_multiset_difference_matches_counter(spark, left, right):
     rf = spark.createDataFrame([(v,) for v in right], "v int")
     got = {r.v: r.copies for r in Q.multiset_difference(lf, rf).collect()}
     assert got == dict(Counter(left) - Counter(right))
+
+
+# ----------------------------------------------------------------------------- workflow markers vs a YAML parse
+
+yaml = __import__("pytest").importorskip("yaml")
+
+TRIGGERS = ["on: push", "on:\n  push:\n    branches: [main]", '"on": push', "'On': push", "true: x", "yes: x", "ON: push", "n: x", "onboard: x"]
+# Top-level keys start at column 0, as in workflow files; a document whose whole
+# mapping is indented is outside what the line markers recognise (see README).
+PERMISSIONS = ["permissions:\n  contents: read", "permissions: read-all", "permissions:", "permission: x", "env:\n  permissions: nested"]
+JOBS = [
+    "jobs:\n  build:\n    runs-on: x",
+    "jobs: {}",
+    "jobs: []",
+    "jobs:",
+    "jobs: null",
+    "jobs: ~",
+    "jobs:\n- a",
+    "jobs: x",
+    "jobs: 0",
+    "jobs: false",
+    "jobs: {a: 1}",
+    "jobs:\n  # note\n\n  b: 1",
+    "jobs:   # note\n  b: 1",
+    "jobs: ''",
+]
+
+# At most one variant per top-level key: a repeated key is invalid for workflow
+# files (a YAML loader would silently keep the last one).
+documents = st.tuples(
+    st.one_of(st.none(), st.sampled_from(TRIGGERS)),
+    st.one_of(st.none(), st.sampled_from(PERMISSIONS)),
+    st.one_of(st.none(), st.sampled_from(JOBS)),
+    st.sampled_from([None, "name: CI"]),
+).map(lambda parts: [p for p in parts if p is not None]).filter(bool).flatmap(st.permutations)
+
+
+def _expected(text: str) -> set[str] | None:
+    try:
+        doc = yaml.safe_load(text)
+    except yaml.YAMLError:
+        return None
+    if not isinstance(doc, dict):
+        return None
+    missing = set()
+    if "on" not in doc and True not in doc:
+        missing.add("missing_trigger")
+    if "permissions" not in doc:
+        missing.add("missing_permissions")
+    if not doc.get("jobs"):
+        missing.add("missing_jobs")
+    return missing
+
+
+@settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(documents, min_size=1, max_size=12))
+def test_required_markers_match_a_yaml_parse(spark, docs):
+    from strata.operators import text as T
+
+    texts = ["\n".join(d) + "\n" for d in docs]
+    expected = {i: _expected(t) for i, t in enumerate(texts)}
+    rows = [(i, t) for i, t in enumerate(texts) if expected[i] is not None]
+    if not rows:
+        return
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    got: dict[int, set[str]] = {i: set() for i, _ in rows}
+    for r in T.required_markers(df).collect():
+        got[r.doc_id].add(r.rule)
+    assert got == {i: expected[i] for i, _ in rows}
