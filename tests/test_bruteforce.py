@@ -169,3 +169,27 @@ def test_required_markers_match_a_yaml_parse(spark, docs):
     for r in T.required_markers(df).collect():
         got[r.doc_id].add(r.rule)
     assert got == {i: expected[i] for i, _ in rows}
+
+
+# ----------------------------------------------------------------------------- line rules vs Python re
+
+FRAGMENTS = ["token", "password", "API_KEY", "client-secret", ":", " ", "${{", " secrets.X }}", '"', "'", "abcdefgh12", "x",
+             "uses:", " actions/checkout", "@", "main", "master", "v4", "\n", "\r\n", "\r", "\t", " ", "\x0c", "é"]
+
+
+@settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from(FRAGMENTS), max_size=14).map("".join), min_size=1, max_size=10))
+def test_rule_scan_matches_python_re(spark, texts):
+    import re
+
+    from strata.operators import text as T
+
+    expected = set()
+    for i, text in enumerate(texts):
+        for lineno, line in enumerate(text.splitlines(), start=1):
+            for name, pattern, _ in T.LINE_RULES:
+                if re.search(pattern, line):
+                    expected.add((i, lineno, name))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {(r.doc_id, r.line_no, r.rule) for r in T.rule_scan(df).collect()}
+    assert got == expected
