@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # Python's str.splitlines() line boundaries, as a Java regex:
 # \r\n, \n, \r, \v (0x0b), \f (0x0c), 0x1c, 0x1d, 0x1e, 0x85, U+2028, U+2029.
 LINE_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+# The same boundaries minus those a Hadoop line reader already ends lines at.
+EXTRA_LINE_BREAKS = r"[\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 # The characters Python's str.strip() removes (str.isspace()):
 # \t \n \x0b \x0c \r 0x1c-0x1f space 0x85 0xa0 U+1680 U+2000-U+200A U+2028

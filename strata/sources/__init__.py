@@ -1,7 +1,7 @@
 """Sources and sinks."""
 
 from strata.sources.feeds import broadcast_if_small, load, log_lines, orders_feed
-from strata.sources.files import read_log_lines, read_raw_csv, read_text_corpus, write_raw_csv
+from strata.sources.files import read_log_lines, read_numbered_lines, read_raw_csv, read_text_corpus, write_raw_csv
 from strata.sources.seed import seed_feed
 from strata.sources.tables import ensure_schemas, list_schemas, read_layer, write_layer
 
@@ -14,6 +14,7 @@ __all__ = [
     "orders_feed",
     "read_layer",
     "read_log_lines",
+    "read_numbered_lines",
     "read_raw_csv",
     "read_text_corpus",
     "seed_feed",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.functions.columns import python_lines
+from strata.functions.columns import EXTRA_LINE_BREAKS, python_lines
 from strata.schemas import RAW_ORDERS
 
 
@@ -49,10 +49,35 @@ def read_text_corpus(spark: SparkSession, path: str, glob: str = "*.{yml,yaml}")
 
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Log files as ``(source_file, line_no, line)`` with 1-based line numbers.
+    """Log files as ``(source_file, line_pos, line)``; ``line_pos`` orders lines within a file.
 
-    Each file is read whole so that line numbers follow the file order; lines
-    are split like Python's ``str.splitlines()``.
+    Splittable: a large file is read by many tasks and nothing is shuffled.
+    ``line_pos`` is ``struct(block, seq, part)``: the byte offset of the
+    file split, the read position inside that split (increasing within a
+    task) and the sub-line index. The reader ends lines at \n, \r\n and \r;
+    each such line is split again at Python's other line boundaries, so the
+    lines and their order are those of ``str.splitlines()``.
+    """
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"),
+        F.split(F.col("value"), EXTRA_LINE_BREAKS, -1).alias("parts"),
+    )
+    lines = raw.select("source_file", "block", "seq", F.posexplode("parts").alias("part", "line"))
+    return lines.select(
+        "source_file",
+        F.struct("block", "seq", "part").alias("line_pos"),
+        "line",
+    )
+
+
+def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Small text files as ``(source_file, line_no, line)`` with 1-based line numbers.
+
+    Each file is one row (one task reads it whole), which exact numbering
+    needs; meant for files such as workflow definitions, not large logs
+    (use ``read_log_lines``). Lines split like ``str.splitlines()``.
     """
     files = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("text")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import python_lines, strip_whitespace
 from strata.operators import text as T
 from strata.schemas import RAW_ORDERS
-from strata.sources import read_log_lines, read_raw_csv, read_text_corpus, write_raw_csv
+from strata.sources import read_log_lines, read_numbered_lines, read_raw_csv, read_text_corpus, write_raw_csv
 
 # ----------------------------------------------------------------------------- redaction
 
@@ -262,7 +262,7 @@ def test_csv_round_trip_keeps_blanks(spark, tmp_path):
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
 
 
-def test_text_corpus_and_log_scan(spark, tmp_path):
+def test_text_corpus_and_numbered_lines(spark, tmp_path):
     (tmp_path / "a.yml").write_text(GOOD, encoding="utf-8")
     (tmp_path / "b.yaml").write_text(UNPINNED, encoding="utf-8")
     (tmp_path / "c.txt").write_text("ignored", encoding="utf-8")
@@ -271,5 +271,26 @@ def test_text_corpus_and_log_scan(spark, tmp_path):
     log = tmp_path / "logs"
     log.mkdir()
     (log / "run.log").write_text(LOG, encoding="utf-8")
-    lines = read_log_lines(spark, str(log)).orderBy("line_no").collect()
+    lines = read_numbered_lines(spark, str(log)).orderBy("line_no").collect()
     assert [r.line for r in lines] == LOG.splitlines() and lines[0].line_no == 1
+
+
+def test_log_lines_keep_file_order_across_splits(spark, tmp_path):
+    parts = []
+    for i in range(3000):
+        sep = ["\n", "\r\n", "\r", "\x0c", "\u2028"][i % 5] if i % 7 else "\n"
+        parts.append(f"line {i} ETL_METRICS {{\"i\": {i}}}{sep}")
+    text = "".join(parts) + "tail"
+    (tmp_path / "big.log").write_bytes(text.encode("utf-8"))
+    (tmp_path / "small.log").write_bytes(b"one\ntwo\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = read_log_lines(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() > 5
+        rows = df.orderBy("source_file", "line_pos").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    big = [r.line for r in rows if r.source_file.endswith("big.log")]
+    small = [r.line for r in rows if r.source_file.endswith("small.log")]
+    assert big == text.splitlines() and small == ["one", "two"]
