@@ -294,3 +294,12 @@ def test_log_lines_keep_file_order_across_splits(spark, tmp_path):
     big = [r.line for r in rows if r.source_file.endswith("big.log")]
     small = [r.line for r in rows if r.source_file.endswith("small.log")]
     assert big == text.splitlines() and small == ["one", "two"]
+
+
+def test_metrics_from_a_log_file_in_order(spark, tmp_path):
+    (tmp_path / "job.log").write_text(LOG, encoding="utf-8")
+    metrics = T.extract_metrics(read_log_lines(spark, str(tmp_path)))
+    stages = [r.metrics["stage"] for r in metrics.orderBy("source_file", "line_pos").collect()]
+    assert stages == ["silver", "gold"]
+    wide = T.metrics_wide(metrics, id_cols=("source_file", "line_pos"))
+    assert wide.columns[2:] == ["input_rows", "output_rows", "rows", "stage"]
