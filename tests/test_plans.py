@@ -82,3 +82,36 @@ def test_fact_join_is_a_shuffle_join(spark):
 def test_metric_payloads_are_parsed_once(spark):
     df = queries()["extract_metrics"](spark, SF_SMALL)
     assert _plan(df).count("from_json(") == 1
+
+
+def test_silver_reads_prune_order_date_partitions(spark):
+    import uuid
+    from datetime import date
+
+    from pyspark.sql import functions as F
+
+    from strata.config import LayerConfig
+    from strata.session import scratch_path
+    from strata.sources import ensure_schemas, read_layer, write_layer
+
+    cfg = LayerConfig(env="qa").with_prefix(f"pp_{uuid.uuid4().hex[:8]}")
+    ensure_schemas(spark, cfg, scratch_path(spark, "test-prune"))
+    df = spark.createDataFrame([("a", date(2026, 1, 1)), ("b", date(2026, 1, 2))], "order_id string, order_date date")
+    write_layer(df, cfg, "silver", "orders_clean", partition_by=["order_date"])
+    one_day = read_layer(spark, cfg, "silver", "orders_clean").filter(F.col("order_date") == F.lit(date(2026, 1, 2)))
+    plan = _formatted(one_day)
+    assert re.search(r"PartitionFilters: \[.*order_date", plan), plan
+    assert [r.order_id for r in one_day.collect()] == ["b"]
+
+
+def test_validity_predicates_reach_a_bronze_scan(spark, tmp_path):
+    from datetime import datetime
+
+    from strata.operators import clean_orders
+    from strata.schemas import RAW_ORDERS
+
+    path = str(tmp_path / "bronze")
+    spark.createDataFrame([("O", "C", "P", "IN", 1, 1.0, datetime(2026, 1, 1))], RAW_ORDERS).write.parquet(path)
+    plan = _formatted(clean_orders(spark.read.parquet(path)))
+    pushed = re.search(r"PushedFilters: \[([^\]]*)\]", plan).group(1)
+    assert "GreaterThan(quantity,0)" in pushed and "GreaterThan(unit_price,0.0)" in pushed
