@@ -50,9 +50,11 @@ def main(scratch: str) -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
 
+    from strata.config import LayerConfig
     from strata.operators import daily_country_sales, deduplicate_latest
     from strata.operators import quality as Q
     from strata.sources.feeds import orders_feed
+    from strata.sources.tables import ensure_schemas, write_layer
 
     hot = F.col("id") % 3 == 0
     orders = spark.range(0, ROWS, 1, 16).select(
@@ -96,6 +98,13 @@ def main(scratch: str) -> None:
     for name, build in runs.items():
         spark.sparkContext.setJobGroup(name, name)
         build().write.format("noop").mode("overwrite").save()
+
+    # The partitioned layer write, with one order_date holding a third of the rows.
+    cfg = LayerConfig(env="qa").with_prefix("skewprobe")
+    ensure_schemas(spark, cfg, f"{scratch}/layers")
+    spark.sparkContext.setJobGroup("partitioned_write", "partitioned_write")
+    write_layer(orders, cfg, "silver", "orders_clean", partition_by=["order_date"])
+    runs["partitioned_write"] = None
     spark.stop()
 
     groups, stage_group, task_max = {}, {}, {}

@@ -27,7 +27,15 @@ def probe():
 
 @pytest.mark.parametrize(
     "operator",
-    ["dedupe_latest", "daily_country_sales", "quality_profile", "duplicate_keys", "multiset_difference", "fact_join"],
+    [
+        "dedupe_latest",
+        "daily_country_sales",
+        "quality_profile",
+        "duplicate_keys",
+        "multiset_difference",
+        "fact_join",
+        "partitioned_write",
+    ],
 )
 def test_hot_key_is_split_or_pre_aggregated(probe, operator):
     result = probe[operator]
