@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A dimension side is broadcast only when a bounded count proves it is small.
-BROADCAST_ROW_LIMIT = 100_000
+# Meant for narrow projections (a key and a name): 10,000 such rows stay well
+# under a megabyte on every executor.
+BROADCAST_ROW_LIMIT = 10_000
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
