@@ -1,7 +1,7 @@
 """Spark-vs-DuckDB parity check for the registered queries.
 
-Mirrors the driver's gate: same row count, same column names, and the same
-order-insensitive multiset of rows (columns sorted by name). Floats compare
+Mirrors the driver's gate: same row count, same column names and types, and
+the same order-insensitive multiset of rows (columns sorted by name). Floats compare
 after rounding to 9 significant digits, timestamps as naive UTC.
 
     python tests/parity.py [sf_dir] [name ...]
@@ -61,6 +61,19 @@ def _canon(v):
     return v
 
 
+# Spark simple type names and the DuckDB type each should come out as.
+SPARK_TO_DUCK = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
 def rows_of(columns, records):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return [tuple(_canon(r[i]) for i in order) for r in records], sorted(columns)
@@ -78,6 +91,11 @@ def compare(spark, name: str, query, sql: str | None, sf_dir: str, con) -> dict:
         return out
     rel = con.sql(sql)
     d_cols = list(rel.columns)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    duck_types = {c: str(t) for c, t in zip(d_cols, rel.types)}
+    out["types_match"] = spark_types == duck_types
+    if not out["types_match"]:
+        out["type_diff"] = {c: (spark_types.get(c), duck_types.get(c)) for c in set(spark_types) | set(duck_types) if spark_types.get(c) != duck_types.get(c)}
     d_rows, d_cols_sorted = rows_of(d_cols, rel.fetchall())
     out["oracle_rows"] = len(d_rows)
     out["columns_match"] = s_cols == d_cols_sorted
@@ -89,7 +107,7 @@ def compare(spark, name: str, query, sql: str | None, sf_dir: str, con) -> dict:
         only_s = list((cs - cd).elements())[:3]
         only_d = list((cd - cs).elements())[:3]
         out["only_spark"], out["only_oracle"] = only_s, only_d
-    out["status"] = "ok" if out["columns_match"] and out["values_match"] else "MISMATCH"
+    out["status"] = "ok" if out["columns_match"] and out["values_match"] and out["types_match"] else "MISMATCH"
     return out
 
 
