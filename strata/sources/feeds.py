@@ -28,21 +28,24 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> D
 
 
 def spread_scan(df: DataFrame) -> DataFrame:
-    """Rebalance a scan whose input splits would keep fewer than half the cores busy.
+    """Rebalance a scan that yields fewer input splits than the session has cores.
 
     A file that cannot be split (one parquet row group, a gzip file) is read
-    by a single task, and so is all per-row work stacked on it. In that case
-    only, the rows are rebalanced round-robin right after the scan, and AQE
-    sizes the resulting partitions; filters and column pruning still reach
-    the reader. An input with at least half as many splits as cores is
-    returned unchanged: a full shuffle would cost more than the idle cores.
+    by a single task, and so is all per-row work stacked on it; planned splits
+    even overstate the parallelism, since only the split holding a row
+    group's start reads it. In that case the rows are rebalanced round-robin
+    right after the scan, and AQE sizes the resulting partitions; filters and
+    column pruning still reach the reader. The rule bounds its own cost: it
+    fires only when the input has fewer splits than cores, i.e. at most
+    ``cores x maxPartitionBytes`` of data. A large input has more splits than
+    cores and is returned unchanged, without a shuffle.
     """
     try:
         splits = df.rdd.getNumPartitions()
         cores = df.sparkSession.sparkContext.defaultParallelism
     except Exception:  # e.g. a Spark Connect client (no RDD access): leave the plan alone
         return df
-    if splits * 2 >= cores:
+    if splits >= cores:
         return df
     return df.hint("rebalance")
 

@@ -70,7 +70,7 @@ def test_spread_scan_is_a_no_op_for_split_inputs(spark, tmp_path):
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
     plan = _formatted(spread_scan(df))
-    if df.rdd.getNumPartitions() * 2 >= cores:
+    if df.rdd.getNumPartitions() >= cores:
         assert "Exchange" not in plan
     else:
         assert "RoundRobinPartitioning" in plan
