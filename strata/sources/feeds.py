@@ -82,12 +82,13 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer_nation = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "inner").select(
         "c_custkey", "n_name"
     )
-    order_dim = orders.join(customer_nation, orders.o_custkey == customer_nation.c_custkey, "inner").select(
-        "o_orderkey", "o_custkey", "n_name"
-    )
-    # Both sides grow with the data, so this is a shuffle join at any scale;
-    # "merge" keeps the planner from broadcasting the fact side when a
-    # filtered scan happens to look small, and AQE still splits skewed keys.
+    # Both joins below have two sides that grow with the data, so they are
+    # shuffle joins at any scale: "merge" keeps the planner from broadcasting
+    # a side whose filtered scan merely looks small (only nation, checked
+    # above, is broadcast), and AQE still splits skewed keys.
+    order_dim = orders.join(
+        customer_nation.hint("merge"), orders.o_custkey == customer_nation.c_custkey, "inner"
+    ).select("o_orderkey", "o_custkey", "n_name")
     joined = lineitem.join(order_dim.hint("merge"), lineitem.l_orderkey == order_dim.o_orderkey, "inner")
 
     part = F.col("l_partkey")

@@ -78,9 +78,14 @@ def test_spread_scan_is_a_no_op_for_split_inputs(spark, tmp_path):
     assert "RoundRobinPartitioning" in _formatted(spread_scan(one))
 
 
-def test_fact_join_is_a_shuffle_join(spark):
-    plan = _formatted(queries()["clean_orders"](spark, SF_SMALL))
-    assert "SortMergeJoin" in plan
+def test_only_the_checked_dimension_is_broadcast(spark):
+    df = queries()["clean_orders"](spark, SF_SMALL)
+    lines = _plan(df).splitlines()
+    broadcasts = [i for i, line in enumerate(lines) if "BroadcastExchange" in line]
+    assert len(broadcasts) == 1, "\n".join(lines)
+    first_scan_below = next(line for line in lines[broadcasts[0]:] if "FileScan" in line)
+    assert "nation.parquet" in first_scan_below
+    assert sum("SortMergeJoin" in line for line in lines) == 2
 
 
 def test_metric_payloads_are_parsed_once(spark):
