@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 
 import pytest
@@ -13,12 +15,19 @@ from tests.conftest import SF_SMALL
 WRITES = {"csv_ingest", "layer_roundtrip", "medallion_e2e", "stream_ingest"}
 
 
+def _explain(df, mode: str) -> str:
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode)
+    return out.getvalue()
+
+
 def _plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    return _explain(df, "simple")
 
 
 def _formatted(df) -> str:
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return _explain(df, "formatted")
 
 
 @pytest.mark.parametrize("name", sorted(set(queries()) - WRITES))
