@@ -266,7 +266,6 @@ def _re2(pattern: str) -> str:
 
 
 def _line_rules() -> tuple:
-    T = _fixed()
     from strata.plans.queries import CORPUS_RULES
 
     return CORPUS_RULES
