@@ -193,3 +193,47 @@ def test_rule_scan_matches_python_re(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     got = {(r.doc_id, r.line_no, r.rule) for r in T.rule_scan(df).collect()}
     assert got == expected
+
+
+# ----------------------------------------------------------------------------- clean_orders vs plain Python
+
+raw_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["O1", " O1 ", "O2", "\tO2", "   ", "", None]),
+        st.sampled_from(["C1", " C2 ", "   ", None]),
+        st.sampled_from(["P1", " P2", None]),
+        st.sampled_from(["in", " US ", "\tde", None]),
+        st.sampled_from([0, 1, 3, -1, None]),
+        st.sampled_from([0.0, 1.25, 10.5, -2.0, None]),
+        st.sampled_from([None, 0, 1, 2]).map(lambda h: None if h is None else datetime(2026, 1, 1) + timedelta(hours=h)),
+    ),
+    max_size=20,
+)
+
+
+def _trim(s):  # Spark trim: spaces only
+    return None if s is None else s.strip(" ")
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(raw_rows)
+def test_clean_orders_matches_python(spark, rows):
+    from strata.operators import clean_orders
+    from strata.schemas import RAW_ORDERS
+
+    kept = {}
+    for order_id, customer_id, product_id, country, qty, price, ts in rows:
+        oid, cid, pid = _trim(order_id), _trim(customer_id), _trim(product_id)
+        ctry = None if country is None else _trim(country).upper()
+        if not oid or not cid or qty is None or price is None or qty <= 0 or price <= 0:
+            continue
+        amount = float((Decimal(qty) * Decimal(str(price))).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+        row = (oid, cid, pid, ctry, qty, price, ts, amount, None if ts is None else ts.date())
+        # latest ts first (NULL last); ties: product, quantity, price, customer, country ascending, NULL first
+        rank = (ts is None, -(ts.timestamp()) if ts else 0,
+                pid is not None, pid or "", qty, price, cid, ctry is not None, ctry or "")
+        if oid not in kept or rank < kept[oid][0]:
+            kept[oid] = (rank, row)
+    expected = sorted((r for _, r in kept.values()), key=repr)
+    got = sorted((tuple(r) for r in clean_orders(spark.createDataFrame(rows, RAW_ORDERS)).collect()), key=repr)
+    assert got == expected
