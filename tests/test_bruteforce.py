@@ -237,3 +237,31 @@ def test_clean_orders_matches_python(spark, rows):
     expected = sorted((r for _, r in kept.values()), key=repr)
     got = sorted((tuple(r) for r in clean_orders(spark.createDataFrame(rows, RAW_ORDERS)).collect()), key=repr)
     assert got == expected
+
+
+# ----------------------------------------------------------------------------- redaction hit counts vs Python re
+
+SECRET_BITS = ["token", "=", ": ", " ", "ghp_" + "a" * 20, "sk-" + "b" * 20, "dapi" + "0" * 32, "password", "x", "\n",
+               "ſecret", "\xa0", "api-key", "passwd:"]
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from(SECRET_BITS), max_size=10).map("".join), min_size=1, max_size=8))
+def test_redaction_hits_match_python(spark, texts):
+    import re
+
+    from pyspark.sql import functions as F
+
+    from strata.operators import text as T
+
+    expected = []
+    for text in texts:
+        counts = []
+        for _, pattern in T.REDACTION_PATTERNS:
+            counts.append(sum(1 for _ in re.finditer(pattern, text)))
+            text = re.sub(pattern, T.MASK, text)
+        expected.append(tuple(counts))
+    hits = T.redaction_hits(F.col("t"))
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [tuple(r) for r in df.select(*[h.alias(n) for n, h in hits.items()]).collect()]
+    assert got == expected
