@@ -265,3 +265,45 @@ def test_redaction_hits_match_python(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [tuple(r) for r in df.select(*[h.alias(n) for n, h in hits.items()]).collect()]
     assert got == expected
+
+
+# ----------------------------------------------------------------------------- metrics payloads vs json.loads
+
+JSON_BITS = ['{', '}', '"a"', '"b"', ':', ',', ' ', '1', '2.50', 'true', 'null', '"x"', '[', ']', "'a'", '{"c": 3}', '-1', '01']
+json_values = st.recursive(
+    st.one_of(st.none(), st.booleans(), st.integers(-10**6, 10**6), st.text("abc é", max_size=3)),
+    lambda inner: st.one_of(st.lists(inner, max_size=2), st.dictionaries(st.sampled_from(["k", "l"]), inner, max_size=2)),
+    max_leaves=4,
+)
+payloads = st.one_of(
+    st.lists(st.sampled_from(JSON_BITS), max_size=8).map("".join),
+    st.dictionaries(st.sampled_from(["a", "b", "stage"]), json_values, max_size=3).map(__import__("json").dumps),
+)
+
+
+@settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["", "x ", "[INFO] "]), payloads, st.sampled_from(["", " ", "\t"])), min_size=1, max_size=10))
+def test_extract_metrics_matches_json_loads(spark, parts):
+    import json
+
+    from strata.operators import text as T
+
+    lines = [f"{pre}ETL_METRICS {payload}{post}" for pre, payload, post in parts]
+    expected = {}
+    for i, line in enumerate(lines):
+        try:
+            value = json.loads(line.split("ETL_METRICS ", 1)[1].strip())
+        except json.JSONDecodeError:
+            continue
+        if isinstance(value, dict):
+            expected[i] = value
+    df = spark.createDataFrame(list(enumerate(lines)), "line_id long, line string")
+    got = {r.line_id: r.metrics for r in T.extract_metrics(df).collect()}
+    assert set(got) == set(expected)
+    for i, value in expected.items():
+        assert set(got[i]) == set(value)
+        for k, v in value.items():
+            text = got[i][k]
+            assert (text is None and v is None) or (isinstance(v, str) and text == v) or (
+                not isinstance(v, str) and json.loads(text) == v
+            ), (k, v, text)
