@@ -141,13 +141,16 @@ def extract_metrics(lines: DataFrame, line_col: str = "line") -> DataFrame:
     skipped, not fatal). Values are kept as JSON text
     (``map<string,string>``); for a repeated key the last value wins.
 
-    The payload is parsed inside ``[...]``: a lone JSON reader stops after
-    the first value and would accept ``{"a": 1} junk``, while inside an
-    array trailing text is a syntax error, as it is for a strict parser.
-
-    The "exactly one object" test folds into one array of 0 or 1 maps that
-    is exploded: a generator is never inlined into a filter, so each
-    payload is parsed once (a plain filter on the parsed value would make
+    A JSON reader stops after the first complete value and ignores what
+    follows, so strictness takes two wrappers. Inside ``[...]`` the payload
+    must be exactly one value (a stray ``}`` or a second value fails), and
+    inside ``{"v": ...}`` it is parsed into the map (a stray ``]`` fails).
+    No payload can close both wrappers early, so together they accept
+    exactly what a strict parser accepts.
+
+    The checks and the map fold into one array of 0 or 1 maps that is
+    exploded: a generator is never inlined into a filter, so each payload is
+    parsed once into the map (a plain filter on the parsed value would make
     Catalyst parse it again inside the pushed-down predicate).
     """
     lines.sparkSession.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
@@ -156,16 +159,15 @@ def extract_metrics(lines: DataFrame, line_col: str = "line") -> DataFrame:
         "payload", strip_whitespace(_after_marker(line))
     )
     payload = F.col("payload")
-    wrapped = F.from_json(
-        F.concat(F.lit("["), payload, F.lit("]")),
-        "array<map<string,string>>",
+    as_field = F.from_json(
+        F.concat(F.lit('{"v": '), payload, F.lit("}")),
+        "struct<v:map<string,string>>",
         {"allowSingleQuotes": "false"},  # strict JSON: single-quoted strings are errors
     )
-    exactly_one = F.aggregate(
-        F.when(payload.startswith("{"), wrapped),
-        F.struct(F.lit(0).alias("n"), F.lit(None).cast("map<string,string>").alias("m")),
-        lambda acc, m: F.struct((acc["n"] + F.lit(1)).alias("n"), F.coalesce(acc["m"], m).alias("m")),
-        lambda acc: F.when(acc["n"] == F.lit(1), F.array(acc["m"])),
+    one_value = F.json_array_length(F.concat(F.lit("["), payload, F.lit("]"))) == F.lit(1)
+    exactly_one = F.when(
+        payload.startswith("{") & one_value,
+        F.filter(F.array(as_field["v"]), lambda m: m.isNotNull()),
     )
     return parsed.select(*lines.columns, "payload", F.explode(exactly_one).alias("metrics"))
 

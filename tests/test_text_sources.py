@@ -98,7 +98,21 @@ def test_extract_metrics_parses_structured_lines(spark):
 
 @pytest.mark.parametrize(
     "payload",
-    ["{'stage': 'x'}", '{"stage": "x"} tail', '[{"stage": "x"}]', "5", '"text"', '{"stage": "x",}', "{stage: 1}"],
+    [
+        "{'stage': 'x'}",
+        '{"stage": "x"} tail',
+        '[{"stage": "x"}]',
+        "5",
+        '"text"',
+        '{"stage": "x",}',
+        "{stage: 1}",
+        # each closes one wrapper early; the other wrapper rejects it
+        '{"c": 3}]',
+        '{"c": 3}}',
+        '{"a": 1}] junk',
+        '{"a": 1}, "x": 1',
+        '{"a": 1}]}',
+    ],
 )
 def test_extract_metrics_skips_what_strict_json_rejects(spark, payload):
     df = spark.createDataFrame([(1, "ETL_METRICS " + payload)], "line_id long, line string")
