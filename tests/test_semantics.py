@@ -24,9 +24,9 @@ def test_csv_header_in_another_order_is_read_by_position(spark, tmp_path):
 
 
 def test_trim_removes_spaces_only(spark):
-    rows = [("\tO1 ", " C1\n", " P1", "\tin ", 1, 1.0, datetime(2026, 1, 1))]
+    rows = [("\tO1 ", " C1\n", "\xa0P1", "\tin ", 1, 1.0, datetime(2026, 1, 1))]
     row = normalise_orders(spark.createDataFrame(rows, RAW_ORDERS)).first()
-    assert (row.order_id, row.customer_id, row.product_id, row.country) == ("\tO1", "C1\n", " P1", "\tIN")
+    assert (row.order_id, row.customer_id, row.product_id, row.country) == ("\tO1", "C1\n", "\xa0P1", "\tIN")
 
 
 def test_amount_rounds_half_up_on_the_decimal_text(spark):
