@@ -9,10 +9,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata.llm.common import table
 from strata.llm.decontam import find_contamination
+from strata.llm.simhash import simhash_components
 from strata.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,12 +22,17 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op2_simhash": op2_simhash,
     "op6_token_counts": op6_token_counts,
 }
 
