@@ -8,6 +8,7 @@ folder, so a lost executor costs one round at most.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +17,20 @@ from strata.llm.common import scratch
 MAX_ROUNDS = 100
 
 
+def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inside one tile: for each of ``n`` nodes, the smallest node that the links ``a``-``b`` join it to."""
+    root = np.arange(n)
+    while True:
+        least = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        new = new[new]
+        if np.array_equal(new, root):
+            return root
+        root = new
+
+
 def _largest_first(edges: DataFrame) -> DataFrame:
     """Edges as (u, v) with u > v, without loops and repeats."""
     return edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import table
 from strata.llm.decontam import find_contamination
+from strata.llm.embedding_dedup import embedding_components
 from strata.llm.simhash import simhash_components
 from strata.llm.suffix_dedup import remove_repeats
 from strata.llm.token_counts import token_counts
@@ -32,6 +33,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(table(spark, sf_dir, "embeddings"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -46,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
     "op6_token_counts": op6_token_counts,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import map_batches, scratch, utf8
-from strata.llm.components import connected_components
+from strata.llm.components import connected_components, local_roots
 
 SHINGLE = 3
 RADIUS = 3
@@ -123,20 +123,6 @@ def grouped(classes: DataFrame, radius: int, hot_group: int = HOT_GROUP) -> Data
     return rows.join(hot, "key", "left_anti").unionByName(split)
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of ``n`` nodes, the smallest node that the links ``a``-``b`` join it to."""
-    label = np.arange(n)
-    while True:
-        least = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, least)
-        np.minimum.at(new, b, least)
-        new = new[new]
-        if np.array_equal(new, label):
-            return label
-        label = new
-
-
 class _Tile:
     """Consecutive rows of the sorted input: group number, population count and fingerprint of each."""
 
@@ -154,7 +140,7 @@ class _Tile:
         if not len(a):
             return None
         fps = self.fp if later is self else np.concatenate([self.fp, later.fp])
-        root = _forest(len(fps), a, b if later is self else b + len(self.fp))
+        root = local_roots(len(fps), a, b if later is self else b + len(self.fp))
         child = np.flatnonzero(root != np.arange(len(fps)))
         return fps[child], fps[root[child]]
 
