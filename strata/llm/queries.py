@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import table
 from strata.llm.decontam import find_contamination
 from strata.llm.embedding_dedup import embedding_components
+from strata.llm.quality_lm import quality_scores
 from strata.llm.simhash import simhash_components
 from strata.llm.suffix_dedup import remove_repeats
 from strata.llm.token_counts import token_counts
@@ -37,6 +38,10 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(table(spark, sf_dir, "embeddings"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -52,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op6_token_counts": op6_token_counts,
     "op7_embedding_dedup": op7_embedding_dedup,
+    "op9_quality": op9_quality,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
