@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import table
 from strata.llm.decontam import find_contamination
 from strata.llm.embedding_dedup import embedding_components
+from strata.llm.pii import replace_pii
 from strata.llm.quality_lm import quality_scores
 from strata.llm.simhash import simhash_components
 from strata.llm.suffix_dedup import remove_repeats
@@ -38,6 +39,13 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(table(spark, sf_dir, "embeddings"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    replaced = replace_pii(docs, entities_col="entities")
+    kinds = F.sort_array(F.array_distinct(F.transform("entities", lambda e: e["kind"])))
+    return replaced.select("doc_id", "text", F.size("entities").cast("bigint").alias("n_entities"), kinds.alias("kinds"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op6_token_counts": op6_token_counts,
     "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
