@@ -16,6 +16,7 @@ from strata.llm.decontam import find_contamination
 from strata.llm.embedding_dedup import embedding_components
 from strata.llm.pii import replace_pii
 from strata.llm.quality_lm import quality_scores
+from strata.llm.sentencepiece_topk import sample_segmentations
 from strata.llm.simhash import simhash_components
 from strata.llm.suffix_dedup import remove_repeats
 from strata.llm.token_counts import token_counts
@@ -31,6 +32,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_segmentations(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -63,6 +68,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_token_counts": op6_token_counts,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_pii": op8_pii,
