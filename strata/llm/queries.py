@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.chat import format_chats
 from strata.llm.common import table
 from strata.llm.decontam import find_contamination
 from strata.llm.embedding_dedup import embedding_components
@@ -20,6 +21,7 @@ from strata.llm.sentencepiece_topk import sample_segmentations
 from strata.llm.simhash import simhash_components
 from strata.llm.suffix_dedup import remove_repeats
 from strata.llm.token_counts import token_counts
+from strata.llm.warc import derivatives, response_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +34,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derivatives(response_records(table(spark, sf_dir, "pages"))).drop("block")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_segmentations(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -68,6 +78,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
+    "op3_chat_format": op3_chat_format,
+    "op4_warc": op4_warc,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_token_counts": op6_token_counts,
     "op7_embedding_dedup": op7_embedding_dedup,
