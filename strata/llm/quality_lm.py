@@ -206,7 +206,7 @@ class Scorer:
 
 
 def _scores(texts: DataFrame, model: DataFrame, alphabet: tuple[int, ...], order: int, pack_rows: int) -> DataFrame:
-    """``(id, lang, n_chars, logprob)`` of every row of ``texts (id, lang, text)``."""
+    """``(id, lang, row_hash, n_chars, logprob)`` of every row of ``texts (id, lang, text, row_hash)``."""
     spark = texts.sparkSession
     packs = _packs(model, pack_rows)
     # What a pack lacks is scored elsewhere; characters never seen before another belong to no shard but the first.
@@ -216,7 +216,7 @@ def _scores(texts: DataFrame, model: DataFrame, alphabet: tuple[int, ...], order
         packs[0] += [(lang, c) for lang in sorted(every) for c in range(1 << BITS) if (lang, c) not in assigned]
     state = texts.withColumns({"n_chars": F.lit(0).cast("bigint"), "logprob": F.lit(0.0)})
     kind = texts.schema["id"].dataType.simpleString()
-    shape = f"id {kind}, lang string, text binary, n_chars bigint, logprob double"
+    shape = f"id {kind}, lang string, row_hash bigint, n_chars bigint, logprob double"
     for number, pack in enumerate(packs or [[]]):
         last = number >= len(packs) - 1
         wanted = {}
@@ -233,11 +233,13 @@ def _scores(texts: DataFrame, model: DataFrame, alphabet: tuple[int, ...], order
             sums = np.array([s for _, s in got]) + batch["logprob"].to_numpy()
             n = pa.array([n for n, _ in got], pa.int64())
             if last:
-                yield pa.RecordBatch.from_arrays([batch["id"], batch["lang"], n, pa.array(sums)], ["id", "lang", "n_chars", "logprob"])
+                yield pa.RecordBatch.from_arrays([batch["id"], batch["lang"], batch["row_hash"], n, pa.array(sums)], ["id", "lang", "row_hash", "n_chars", "logprob"])
             else:
-                yield pa.RecordBatch.from_arrays([batch["id"], batch["lang"], batch["text"], n, pa.array(sums)], ["id", "lang", "text", "n_chars", "logprob"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch["id"], batch["lang"], batch["row_hash"], n, pa.array(sums), batch["text"]], ["id", "lang", "row_hash", "n_chars", "logprob", "text"]
+                )
 
-        state = map_batches(state, run, f"id {kind}, lang string, n_chars bigint, logprob double" if last else shape)
+        state = map_batches(state, run, shape if last else f"{shape}, text binary")
         state = scratch(state, "scores")
     return state
 
@@ -248,6 +250,23 @@ def _with_ids(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(ids) if small else ids, F.col(key) == F.col("trusted"), "left_semi")
 
 
+def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, order: int, quantile: float, margin: float, pack_rows: int) -> DataFrame:
+    """``(id, lang, row_hash, n_chars, perplexity, threshold, accepted)`` of every row."""
+    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(""))
+    texts = docs.select(F.col(id_col).alias("id"), lang.alias("lang"), utf8(text_col).alias("text")).withColumn("row_hash", F.xxhash64("text", "lang"))
+    trusted = scratch(labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col(id_col).alias("trusted")).where("trusted is not null").distinct(), "trusted")
+    sample = _with_ids(texts, "id", trusted).where(F.octet_length("text") > 0)
+    alphabet = _alphabet(sample)
+    model = train(sample, alphabet, order)
+    scores = _scores(texts, model, alphabet, order, pack_rows)
+    scores = scores.withColumn("perplexity", F.when((F.col("n_chars") > 0) & (F.col("logprob") < 0), F.exp(-F.col("logprob") / F.col("n_chars"))))
+    # A row for each language.
+    limits = _with_ids(scores, "id", trusted).groupBy("lang").agg((F.percentile_approx("perplexity", quantile, 10_000) * margin).alias("threshold"))
+    judged = scores.join(F.broadcast(scratch(limits, "thresholds")), "lang", "left")
+    accepted = (F.col("n_chars") > 0) & (F.col("threshold").isNull() | F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
+    return judged.withColumn("accepted", accepted)
+
+
 def quality_scores(
     docs: DataFrame,
     labels: DataFrame,
@@ -271,24 +290,36 @@ def quality_scores(
     are accepted. Repeated rows each get their row; with empty labels all
     texts but the empty are accepted; an empty table gives an empty result.
     """
-    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(""))
-    texts = docs.select(F.col(id_col).alias("id"), lang.alias("lang"), utf8(text_col).alias("text"))
-    trusted = scratch(labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col(id_col).alias("trusted")).where("trusted is not null").distinct(), "trusted")
-    sample = _with_ids(texts, "id", trusted).where(F.octet_length("text") > 0)
-    alphabet = _alphabet(sample)
-    model = train(sample, alphabet, order)
-    scores = _scores(texts, model, alphabet, order, pack_rows)
-    scores = scores.withColumn("perplexity", F.when((F.col("n_chars") > 0) & (F.col("logprob") < 0), F.exp(-F.col("logprob") / F.col("n_chars"))))
-    # A row for each language.
-    limits = _with_ids(scores, "id", trusted).groupBy("lang").agg((F.percentile_approx("perplexity", quantile, 10_000) * margin).alias("threshold"))
-    judged = scores.join(F.broadcast(limits), "lang", "left")
-    accepted = (F.col("n_chars") > 0) & (F.col("threshold").isNull() | F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
-    perplexity = F.when(F.col("threshold").isNotNull(), F.col("perplexity"))
+    judged = _judged(docs, labels, id_col, text_col, lang_col, order, quantile, margin, pack_rows)
     return judged.select(
         F.col("id").alias(id_col),
         F.when(F.col("lang") != "", F.col("lang")).alias("lang"),
         "n_chars",
-        perplexity.alias("perplexity"),
+        F.when(F.col("threshold").isNotNull(), F.col("perplexity")).alias("perplexity"),
         "threshold",
-        accepted.alias("accepted"),
+        "accepted",
     )
+
+
+def keep_accepted(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    order: int = ORDER,
+    quantile: float = QUANTILE,
+    margin: float = MARGIN,
+    pack_rows: int = PACK_ROWS,
+) -> DataFrame:
+    """The rows of ``docs`` that ``quality_scores`` accepts, with all their columns.
+
+    The list of rejected rows is broadcast only while it is short, and joined
+    by a shuffle beyond.
+    """
+    judged = _judged(docs, labels, id_col, text_col, lang_col, order, quantile, margin, pack_rows)
+    rejected = scratch(judged.where(~F.col("accepted")).select(F.col("id").alias("strata_id"), F.col("row_hash").alias("strata_hash")).distinct(), "rejected")
+    small = rejected.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    row_hash = F.xxhash64(utf8(text_col), F.coalesce(F.col(lang_col).cast("string"), F.lit("")))
+    same = F.col(id_col).eqNullSafe(F.col("strata_id")) & (row_hash == F.col("strata_hash"))
+    return docs.join(F.broadcast(rejected) if small else rejected, same, "left_anti")
