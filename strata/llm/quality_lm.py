@@ -13,7 +13,8 @@ n-grams of each document where it lies; every n-gram is scored in exactly one
 pack and the documents' sums are carried on.
 
 A document is accepted if its perplexity is at most its language's quantile
-over the trusted documents, times a margin.
+over trusted documents that were held out of training (one in ``HOLDOUT``, by
+a hash of the id), times a margin.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ BITS = 12
 PACK_ROWS = 1_000_000
 QUANTILE = 0.995
 MARGIN = 1.25
+HOLDOUT = 5
 BROADCAST_IDS = 1_000_000
 _KEYS = 2_000_000
 _START = 1
@@ -108,7 +110,7 @@ def _discounts(counts: DataFrame) -> DataFrame:
     seen = [F.sum((F.col("n") == c).cast("double")).alias(f"n{c}") for c in (1, 2, 3, 4)]
     y = F.expr("n1 / (n1 + 2 * n2)")
     raw = [F.try_divide(y * (c + 1) * F.col(f"n{c + 1}"), F.col(f"n{c}")) for c in (1, 2, 3)]
-    bounded = [F.coalesce(F.greatest(F.lit(0.05), F.least(F.lit(c - 0.05), c - r)), F.lit(0.5 * c)) for c, r in zip((1, 2, 3), raw)]
+    bounded = [F.when(r.isNull(), 0.5 * c).otherwise(F.greatest(F.lit(0.05), F.least(F.lit(c - 0.05), c - r))) for c, r in zip((1, 2, 3), raw)]
     return counts.groupBy("lang").agg(*seen).where("n1 + n2 > 0").select("lang", *[b.alias(f"d{c}") for c, b in zip((1, 2, 3), bounded)])
 
 
@@ -250,18 +252,20 @@ def _with_ids(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(ids) if small else ids, F.col(key) == F.col("trusted"), "left_semi")
 
 
-def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, order: int, quantile: float, margin: float, pack_rows: int) -> DataFrame:
+def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, order: int, quantile: float, margin: float, pack_rows: int, holdout: int) -> DataFrame:
     """``(id, lang, row_hash, n_chars, perplexity, threshold, accepted)`` of every row."""
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).alias("id"), lang.alias("lang"), utf8(text_col).alias("text")).withColumn("row_hash", F.xxhash64("text", "lang"))
     trusted = scratch(labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col(id_col).alias("trusted")).where("trusted is not null").distinct(), "trusted")
-    sample = _with_ids(texts, "id", trusted).where(F.octet_length("text") > 0)
+    held = F.pmod(F.xxhash64("id"), holdout) == 0 if holdout else F.lit(False)
+    sample = _with_ids(texts, "id", trusted).where((F.octet_length("text") > 0) & ~held)
     alphabet = _alphabet(sample)
     model = train(sample, alphabet, order)
     scores = _scores(texts, model, alphabet, order, pack_rows)
     scores = scores.withColumn("perplexity", F.when((F.col("n_chars") > 0) & (F.col("logprob") < 0), F.exp(-F.col("logprob") / F.col("n_chars"))))
     # A row for each language.
-    limits = _with_ids(scores, "id", trusted).groupBy("lang").agg((F.percentile_approx("perplexity", quantile, 10_000) * margin).alias("threshold"))
+    limit = [F.percentile_approx(p, quantile, 10_000) for p in (F.when(held, F.col("perplexity")), F.col("perplexity"))]
+    limits = _with_ids(scores, "id", trusted).groupBy("lang").agg((F.coalesce(*limit) * margin).alias("threshold"))
     judged = scores.join(F.broadcast(scratch(limits, "thresholds")), "lang", "left")
     accepted = (F.col("n_chars") > 0) & (F.col("threshold").isNull() | F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
     return judged.withColumn("accepted", accepted)
@@ -277,12 +281,15 @@ def quality_scores(
     quantile: float = QUANTILE,
     margin: float = MARGIN,
     pack_rows: int = PACK_ROWS,
+    holdout: int = HOLDOUT,
 ) -> DataFrame:
     """One row per document: id, ``lang``, ``n_chars``, ``perplexity``, ``threshold``, ``accepted``.
 
-    Trusted are all documents labelled with quality 1 and not toxic.
-    ``threshold`` is the language's ``quantile`` of their perplexities, times
-    ``margin``; documents up to it are accepted.
+    Trusted are all documents labelled with quality 1 and not toxic; the
+    model learns from all but one in ``holdout`` of them (0: from all).
+    ``threshold`` is the language's ``quantile`` of the perplexities of those
+    held out (of all trusted ones, if it has none), times ``margin``;
+    documents up to it are accepted.
 
     Null and empty texts have no perplexity and are not accepted. A null
     language is a language of its own. Documents of a language without any
@@ -290,7 +297,7 @@ def quality_scores(
     are accepted. Repeated rows each get their row; with empty labels all
     texts but the empty are accepted; an empty table gives an empty result.
     """
-    judged = _judged(docs, labels, id_col, text_col, lang_col, order, quantile, margin, pack_rows)
+    judged = _judged(docs, labels, id_col, text_col, lang_col, order, quantile, margin, pack_rows, holdout)
     return judged.select(
         F.col("id").alias(id_col),
         F.when(F.col("lang") != "", F.col("lang")).alias("lang"),
@@ -311,13 +318,14 @@ def keep_accepted(
     quantile: float = QUANTILE,
     margin: float = MARGIN,
     pack_rows: int = PACK_ROWS,
+    holdout: int = HOLDOUT,
 ) -> DataFrame:
     """The rows of ``docs`` that ``quality_scores`` accepts, with all their columns.
 
     The list of rejected rows is broadcast only while it is short, and joined
     by a shuffle beyond.
     """
-    judged = _judged(docs, labels, id_col, text_col, lang_col, order, quantile, margin, pack_rows)
+    judged = _judged(docs, labels, id_col, text_col, lang_col, order, quantile, margin, pack_rows, holdout)
     rejected = scratch(judged.where(~F.col("accepted")).select(F.col("id").alias("strata_id"), F.col("row_hash").alias("strata_hash")).distinct(), "rejected")
     small = rejected.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     row_hash = F.xxhash64(utf8(text_col), F.coalesce(F.col(lang_col).cast("string"), F.lit("")))

@@ -39,7 +39,7 @@ from strata.llm.common import decode, map_batches, utf8
 K = 2
 ALPHA = 1.0
 SEED = 20
-CACHE = 250_000
+CACHE = 600_000
 _SPACE = "▁"
 # Spaces with the letters, or the other characters, that follow.
 _FIGURES = r"\d_\u00b2\u00b3\u00b9\u00bc-\u00be\u2070-\u209c\u2150-\u218b\u2460-\u249b"
@@ -47,7 +47,7 @@ _ATOM = re.compile(rf"{_SPACE}*[^\W{_FIGURES}]+|{_SPACE}*(?:[^\w{_SPACE}]|[{_FIG
 _SHORT = 64
 _ZIPF = 2.7
 _SCALE = 2.0
-_RECENT = 30_000
+_RECENT = 60_000
 
 
 class Pieces:
