@@ -1,7 +1,6 @@
 """Column expressions shared by the operators.
 
-All of these are plain Catalyst expressions (no Python UDF), so they stay
-inside whole-stage code generation.
+All of these are plain Catalyst expressions (no Python UDF).
 """
 
 from __future__ import annotations
@@ -24,11 +23,9 @@ PY_WHITESPACE = (
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Amounts below this magnitude have exact integer cents in a double (< 2**53).
+# Cents below this magnitude are exact integers in a double (< 2**53), and
+# two-decimal amounts are apart from their neighbours.
 _MONEY_LIMIT = 1e13
-# x * 100 of a two-decimal amount lies within a few ulps of an integer; any
-# real sub-cent fraction is many orders of magnitude further away.
-_CENT_TOLERANCE = 1e-13
 
 
 def is_blank(column: Column) -> Column:
@@ -56,15 +53,15 @@ def python_lines(text: Column) -> Column:
 
 
 def is_cent_amount(amount: Column) -> Column:
-    """True when ``amount`` is a finite two-decimal value of exact integer cents.
+    """True when ``amount`` is the double nearest to a value of whole cents.
 
-    NULL for a NULL amount. Cheap arithmetic only (no decimal conversion).
+    Dividing the nearest whole number of cents by 100 is correctly rounded,
+    so it gives back exactly those amounts and no other. NULL for NULL.
     """
-    cents = amount * F.lit(100)
     return (
         ~F.isnan(amount)
         & (F.abs(amount) < F.lit(_MONEY_LIMIT))
-        & (F.abs(cents - F.rint(cents)) <= F.lit(_CENT_TOLERANCE) * F.greatest(F.lit(1.0), F.abs(cents)))
+        & (F.rint(amount * F.lit(100)) / F.lit(100.0) == amount)
     )
 
 
@@ -89,6 +86,7 @@ def half_up_cents_average(cents_sum: Column, count: Column) -> Column:
     without the double-rounding and summation-order effects of a floating
     point average. NULL when ``count`` is 0.
     """
-    twice = F.abs(cents_sum) * F.lit(2) + count
-    rounded = F.call_function("div", twice, count * F.lit(2))
+    total = F.abs(cents_sum)
+    rest = total % count
+    rounded = F.call_function("div", total, count) + F.when(rest >= count - rest, F.lit(1)).otherwise(F.lit(0))
     return F.when(count > F.lit(0), F.signum(cents_sum) * rounded / F.lit(100.0))

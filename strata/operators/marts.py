@@ -9,10 +9,13 @@ from strata.functions.columns import half_up_cents_average, is_cent_amount, mone
 from strata.schemas import GOLD_COLUMNS
 
 
-def daily_country_sales(df: DataFrame, sort: bool = True) -> DataFrame:
+def daily_country_sales(df: DataFrame, sort: bool = True, unique_orders: bool = False) -> DataFrame:
     """Orders, customers, revenue and average order value per ``(order_date, country)``.
 
     * ``order_count`` / ``customer_count``: exact distinct counts (NULL ignored).
+      With ``unique_orders=True`` the caller states that no ``order_id``
+      occurs twice (as after ``clean_orders``): orders are then counted
+      plainly, and a single distinct count is left to plan.
     * ``gross_revenue`` = ``round(sum(gross_amount), 2)`` and
       ``avg_order_value`` = ``round(avg(gross_amount), 2)`` (HALF_UP).
 
@@ -29,7 +32,7 @@ def daily_country_sales(df: DataFrame, sort: bool = True) -> DataFrame:
     """
     amount = F.col("gross_amount")
     groups = df.groupBy("order_date", "country").agg(
-        F.count_distinct("order_id").alias("order_count"),
+        (F.count("order_id") if unique_orders else F.count_distinct("order_id")).alias("order_count"),
         F.count_distinct("customer_id").alias("customer_count"),
         F.try_sum(money_cents(amount)).alias("_cents"),
         F.count(amount).alias("_n"),
