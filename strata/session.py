@@ -14,16 +14,21 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
+# Explicit choice of the session's owner: "true" rebalances the scans of the
+# text queries. Unset means no. Never inferred from the data.
+SPREAD_CONF = "spark.strata.spreadScans"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "strata") -> SparkSession:
     """A ``local[cores]`` session with UTC time, AQE on and no web UI.
 
-    Two settings only make sense on one machine with small data: file
+    Three settings only make sense on one machine with small data: file
     listing stays on the driver (a listing job only pays off on remote
-    storage), and AQE may coalesce down to 64 KB partitions, so that a
-    rebalanced partitioned write of a few MB still uses every core. At
-    cluster scale partitions are far above either floor.
+    storage), AQE may coalesce down to 64 KB partitions, so that a
+    rebalanced partitioned write of a few MB still uses every core, and the
+    text queries rebalance their scans (``SPREAD_CONF``), because a single
+    small file would otherwise keep one core busy. A cluster session leaves
+    that option unset: its tables have more splits than cores.
     """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -37,6 +42,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
+        .config(SPREAD_CONF, "true")
         .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
@@ -47,8 +53,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is read as is.
-    Only when it is unset (local tests) a fresh folder is created and set.
+    On a cluster this setting points at shared storage and is read as is; it
+    is an error there to leave it unset, because executors would write to
+    their own disks. Only a ``local`` session gets a fresh folder.
     """
     try:
         context = spark.sparkContext
@@ -60,11 +67,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured and context is not None:
         configured = context.getConf().get(_CHECKPOINT_CONF, None)
     if not configured:
+        if context is None or not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError(f"{_CHECKPOINT_CONF} must name a folder that all executors share.")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
-        if context is not None:
-            context.setCheckpointDir(configured)
-        else:
-            spark.conf.set(_CHECKPOINT_CONF, configured)
+        context.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 

@@ -3,9 +3,10 @@
 The batch bronze step re-reads every file in the landing folder on each run.
 This is the same scan (contract schema, PERMISSIVE CSV, audit columns) as a
 file stream with an ``availableNow`` trigger: each run appends only the
-files that landed since the previous run, and the checkpoint in the shared
-checkpoint folder records which files are done, so a file is ingested
-exactly once even when a run or an executor fails halfway.
+files that landed since the previous run. The checkpoint records which files
+are done, so a file is ingested exactly once even when a run or an executor
+fails halfway. Its folder is the caller's to name: it must be the same one,
+on shared storage, for every run that feeds a table.
 
 Differences from the full-overwrite batch step, by design: ``_batch_id``
 is the id of the run that ingested a row, and rows of a landing file that
@@ -20,7 +21,6 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.config import LayerConfig
 from strata.operators.cleanse import add_audit_columns
 from strata.schemas import RAW_ORDERS
-from strata.session import checkpoint_root
 from strata.sources.tables import ensure_schemas
 
 BRONZE_TABLE = "orders_raw"
@@ -39,7 +39,7 @@ def start_bronze_ingest(
     cfg: LayerConfig,
     batch_id: str,
     source_path: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     location_root: str | None = None,
     table: str = BRONZE_TABLE,
     max_files_per_trigger: int | None = None,
@@ -52,12 +52,11 @@ def start_bronze_ingest(
     """
     ensure_schemas(spark, cfg, location_root)
     fqn = cfg.table("bronze", table)
-    location = checkpoint or f"{checkpoint_root(spark)}/strata-stream-{fqn.replace('.', '_')}"
     bronze = add_audit_columns(landing_stream(spark, source_path, max_files_per_trigger), batch_id)
     return (
         bronze.writeStream.format(cfg.table_format)
         .outputMode("append")
-        .option("checkpointLocation", location)
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .toTable(fqn)
     )
@@ -68,21 +67,23 @@ def ingest_bronze(
     cfg: LayerConfig,
     batch_id: str,
     source_path: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     location_root: str | None = None,
     table: str = BRONZE_TABLE,
     max_files_per_trigger: int | None = None,
 ) -> dict:
-    """Run one incremental ingest to completion; returns rows appended and micro-batches.
+    """Run one incremental ingest to completion; returns the table and the rows appended.
 
-    The counts come from the query's progress reports (Spark keeps the last 100).
+    The rows are those that the table has gained (progress reports are kept
+    for the last batches only); so only one ingest may run on a table at a time.
     """
+    fqn = cfg.table("bronze", table)
+    before = spark.table(fqn).count() if spark.catalog.tableExists(fqn) else 0
     query = start_bronze_ingest(
         spark, cfg, batch_id, source_path, checkpoint, location_root, table, max_files_per_trigger
     )
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    progress = query.recentProgress
-    rows = sum(int(p.get("numInputRows", 0)) for p in progress)
-    return {"table": cfg.table("bronze", table), "rows": rows, "batches": len([p for p in progress if p.get("numInputRows")])}
+    after = spark.table(fqn).count() if spark.catalog.tableExists(fqn) else 0
+    return {"table": fqn, "rows": after - before}
