@@ -10,7 +10,7 @@ column expressions, so Catalyst sees one declarative plan per query:
 * ``strata.operators`` - cleansing, de-duplication, marts, quality, text jobs.
 * ``strata.plans``     - the bronze/silver/gold steps and the query registry.
 * ``strata.streaming`` - incremental landing-folder ingest for bronze.
-* ``strata.api``       - the step-by-step job API under its familiar names.
+* ``strata.llm``       - operators for preparing training data (self-contained).
 
 ``python -m strata {bronze,silver,gold,all} --env qa`` runs the steps.
 """

@@ -29,7 +29,7 @@ def deduplicate_latest(
     task across the network.
     """
     if not keys:
-        raise ValueError("At least one deduplication key is required.")
+        raise ValueError("deduplicate_latest needs the columns that make up a key")
     ordering = [F.col(order_by).desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in tie_breakers]
     window = Window.partitionBy(*keys).orderBy(*ordering)
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == F.lit(1)).drop(_RANK)

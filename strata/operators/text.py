@@ -30,8 +30,31 @@ MASK = "***REDACTED***"
 PYTHON_SEMANTICS = "(?U)"
 
 
+# Python's \s also has the four separators U+001C to U+001F.
+_SEPARATORS = r"\x1c-\x1f"
+
+
 def _py(pattern: str) -> str:
-    return PYTHON_SEMANTICS + pattern
+    """The Python regex as a Java one that matches the same text."""
+    out, in_class, i = [], False, 0
+    while i < len(pattern):
+        token = pattern[i : i + 2] if pattern[i] == "\\" else pattern[i]
+        if token == r"\s":
+            token = rf"\s{_SEPARATORS}" if in_class else rf"[\s{_SEPARATORS}]"
+            i += 1
+        elif token == r"\S" and not in_class:
+            token = rf"[^\s{_SEPARATORS}]"
+            i += 1
+        elif len(token) == 2:
+            i += 1
+        elif token == "[" and not in_class:
+            in_class = True
+        elif token == "]" and in_class:
+            in_class = False
+        out.append(token)
+        i += 1
+    return PYTHON_SEMANTICS + "".join(out)
+
 
 # The metrics-line marker and the empty-report message.
 METRICS_MARKER = "ETL_METRICS "
@@ -51,32 +74,52 @@ LINE_RULES: tuple[tuple[str, str, str], ...] = (
     ),
 )
 
-# Required top-level workflow keys
-# (name, Java regex showing the key, message, Java regex voiding it or None).
+_FLOW_ROOT = r"(?s)\A(?:[ \t]*(?:#[^\n]*|---[^\n]*)?\r?\n)*[ \t]*\{"
+
+
+def _key(names: str) -> tuple[str, str]:
+    """Regexes for a root key in block style, and for a key of a text whose root is a flow mapping."""
+    return rf"(?m)^(?:{names})[ \t]*:(?:[ \t]|$)", rf"{_FLOW_ROOT}(?:.*[{{,\s])?(?:{names})[ \t]*:[\s]"
+
+
+_EMPTY = r"(?:\{[ \t]*\}|\[[ \t]*\]|null|Null|NULL|~|\"\"|''|false|False|FALSE|no|No|NO|off|Off|OFF|0)"
+_JOBS = r"(?:jobs|\"jobs\"|'jobs')"
+
+# Required top-level workflow keys (name, message).
 # A YAML 1.1 reader takes on/yes/true (any of their three spellings) as the
 # boolean key True, which also counts as a trigger. "jobs" must also be
 # non-empty: block children on the following lines (a nested mapping, or a
 # sequence even at column 0), or an inline value other than the falsy ones.
-REQUIRED_MARKERS: tuple[tuple[str, str, str, str | None], ...] = (
+# Each marker: (name, Java regexes of which one shows the key, message, Java
+# regexes of which any voids it).
+REQUIRED_MARKERS: tuple[tuple[str, tuple[str, ...], str, tuple[str, ...]], ...] = (
     (
         "missing_trigger",
-        r"(?m)^(?:[\"']on[\"']|on|On|ON|yes|Yes|YES|true|True|TRUE)[ \t]*:(?:[ \t]|$)",
+        _key("[\"']on[\"']|on|On|ON|yes|Yes|YES|true|True|TRUE"),
         "missing trigger (`on:`)",
-        None,
+        (),
     ),
     (
         "missing_permissions",
-        r"(?m)^permissions[ \t]*:(?:[ \t]|$)",
+        _key("[\"']permissions[\"']|permissions"),
         "no top-level `permissions:` block (least privilege)",
-        None,
+        (),
     ),
     (
         "missing_jobs",
-        r"(?m)^jobs[ \t]*:(?:[ \t]*(?:#[^\n]*)?\r?\n(?:[ \t]*(?:#[^\n]*)?\r?\n)*(?:[ \t]+[^\s#]|-[ \t])|[ \t]+[^\s#])",
+        (
+            rf"(?m)^{_JOBS}[ \t]*:(?:[ \t]*(?:#[^\n]*)?\r?\n(?:[ \t]*(?:#[^\n]*)?\r?\n)*(?:[ \t]+[^\s#]|-[ \t])|[ \t]+[^\s#])",
+            rf"{_FLOW_ROOT}(?:.*[{{,\s])?{_JOBS}[ \t]*:[ \t]+[^\s,}}#]",
+        ),
         "no jobs defined",
-        r"(?m)^jobs[ \t]*:[ \t]+(?:\{[ \t]*\}|\[[ \t]*\]|null|Null|NULL|~|\"\"|''|false|False|FALSE|no|No|NO|off|Off|OFF|0)[ \t]*(?:#[^\n]*)?\r?$",
+        (
+            rf"(?m)^{_JOBS}[ \t]*:[ \t]+{_EMPTY}[ \t]*(?:#[^\n]*)?\r?$",
+            rf"{_FLOW_ROOT}(?:.*[{{,\s])?{_JOBS}[ \t]*:[ \t]+{_EMPTY}\s*[,}}]",
+        ),
     ),
 )
+# The root's indentation: that of the first line with content.
+_ROOT_INDENT = r"\A(?:[ \t]*(?:#[^\n]*)?\r?\n|(?:---|%)[^\n]*\n)*( +)[^\s#]"
 
 # Text clipping limits (characters).
 PROMPT_CHARS = 24_000
@@ -153,23 +196,56 @@ def extract_metrics(lines: DataFrame, line_col: str = "line") -> DataFrame:
     parsed once into the map (a plain filter on the parsed value would make
     Catalyst parse it again inside the pushed-down predicate).
     """
-    lines.sparkSession.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     line = F.col(line_col)
-    parsed = lines.filter(line.contains(METRICS_MARKER)).withColumn(
-        "payload", strip_whitespace(_after_marker(line))
-    )
-    payload = F.col("payload")
+    parsed = lines.filter(line.contains(METRICS_MARKER)).withColumn("payload", _payload(line))
+    return parsed.select(*lines.columns, "payload", F.explode(_parsed(F.col("payload"))).alias("metrics"))
+
+
+def _payload(line: Column) -> Column:
+    return strip_whitespace(_after_marker(line))
+
+
+def _metric_maps(line: Column) -> Column:
+    """The line's metrics as an array of one map, or an empty or NULL array."""
+    none = F.array().cast("array<map<string,string>>")
+    return F.when(line.contains(METRICS_MARKER), F.coalesce(_parsed(_payload(line)), none)).otherwise(none)
+
+
+def _parsed(payload: Column) -> Column:
+    """An array with the payload's map if it is exactly one JSON object; else empty or NULL."""
     as_field = F.from_json(
         F.concat(F.lit('{"v": '), payload, F.lit("}")),
         "struct<v:map<string,string>>",
         {"allowSingleQuotes": "false"},  # strict JSON: single-quoted strings are errors
     )
-    one_value = F.json_array_length(F.concat(F.lit("["), payload, F.lit("]"))) == F.lit(1)
-    exactly_one = F.when(
+    # NaN and the infinities are JSON to Python and to the parser above, but
+    # not to json_array_length, which gets zeros in their place. (A zero put
+    # inside a string changes nothing about its being one.)
+    finite = F.regexp_replace(payload, r"(?<=[\[,:\s])(?:NaN|-?Infinity)(?=[\s,\]}])", "0")
+    one_value = F.json_array_length(F.concat(F.lit("["), finite, F.lit("]"))) == F.lit(1)
+    return F.when(
         payload.startswith("{") & one_value,
-        F.filter(F.array(as_field["v"]), lambda m: m.isNotNull()),
+        F.transform(F.filter(F.array(as_field["v"]), lambda m: m.isNotNull()), _last_values),
+    )
+
+
+def _last_values(parsed: Column) -> Column:
+    """The parsed map with the last value of each key, and bare NaN or infinities without the parser's quotes."""
+    backwards = F.reverse(F.map_keys(parsed))
+    count = F.size(parsed)
+    entries = F.filter(
+        F.map_entries(parsed), lambda e, i: i == count - F.array_position(backwards, e["key"]).cast("int")
+    )
+    bare = F.array(*[F.lit(v) for v in ('"NaN"', '"Infinity"', '"-Infinity"')])
+    return F.map_from_entries(
+        F.transform(
+            entries,
+            lambda e: F.struct(
+                e["key"],
+                F.when(F.array_contains(bare, e["value"]), F.btrim(e["value"], F.lit('"'))).otherwise(e["value"]),
+            ),
+        )
     )
-    return parsed.select(*lines.columns, "payload", F.explode(exactly_one).alias("metrics"))
 
 
 def _after_marker(line: Column) -> Column:
@@ -183,18 +259,17 @@ def metrics_long(metrics: DataFrame, id_cols: Sequence[str] = ("line_id",)) -> D
     return metrics.select(*id_cols, F.explode("metrics").alias("key", "value"))
 
 
-def metric_keys(metrics: DataFrame, max_keys: int = 10_000) -> list[str]:
-    """Sorted union of all keys (an aggregate; only the distinct keys reach the driver)."""
-    keys = metrics.select(F.explode(F.map_keys("metrics")).alias("key")).distinct().limit(max_keys + 1)
-    found = sorted(r.key for r in keys.collect())
-    if len(found) > max_keys:
-        raise ValueError(f"More than {max_keys} distinct metric keys; the wide table would be unbounded.")
-    return found
+def metric_keys(metrics: DataFrame) -> DataFrame:
+    """All distinct keys, one row each, in order."""
+    return metrics.select(F.explode(F.map_keys("metrics")).alias("key")).distinct().orderBy("key")
+
 
+def metrics_wide(metrics: DataFrame, keys: Sequence[str], id_cols: Sequence[str] = ("line_id",)) -> DataFrame:
+    """One column per key of ``keys``, ``''`` where a line lacks the key.
 
-def metrics_wide(metrics: DataFrame, id_cols: Sequence[str] = ("line_id",), keys: Sequence[str] | None = None) -> DataFrame:
-    """One column per metric key (sorted), ``''`` where a line lacks the key."""
-    keys = list(keys) if keys is not None else metric_keys(metrics)
+    Columns are part of the plan, so the caller names them (``metric_keys``
+    lists what there is); the lines are then read and parsed once.
+    """
     clash = set(keys) & set(id_cols)
     if clash:
         raise ValueError(f"Metric keys {sorted(clash)} collide with id columns.")
@@ -202,22 +277,34 @@ def metrics_wide(metrics: DataFrame, id_cols: Sequence[str] = ("line_id",), keys
     return metrics.select(*id_cols, *[F.coalesce(m[k], F.lit("")).alias(k) for k in keys])
 
 
-def metrics_report(lines: DataFrame, metrics: DataFrame) -> DataFrame:
+def metrics_report(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """One row: ``log_lines``, ``metric_lines``, ``metric_keys`` (distinct) and ``note``.
 
     ``note`` is the fixed empty-report message when no line carried metrics.
-    One aggregate over a tagged union: every metrics row contributes a NULL
-    marker (counted as a metric line) followed by its keys (counted
-    distinct), so nothing is collected into a single row.
+    The lines are read once: each gives a row that counts it, a row that
+    counts its metrics if it has any, and a row for each key.
     """
-    marker = F.lit(None).cast("string")
-    tagged = lines.select(F.lit(True).alias("_log"), marker.alias("_key")).unionByName(
-        metrics.select(F.lit(False).alias("_log"), F.explode(F.concat(F.array(marker), F.map_keys("metrics"))).alias("_key"))
+    kept = lines.select(F.col(line_col).alias("line"))
+    maps = _metric_maps(F.col("line"))
+    tags = F.flatten(
+        F.array(
+            F.array(F.struct(F.lit(0).alias("kind"), F.lit(None).cast("string").alias("key"))),
+            F.flatten(
+                F.transform(
+                    maps,
+                    lambda m: F.concat(
+                        F.array(F.struct(F.lit(1).alias("kind"), F.lit(None).cast("string").alias("key"))),
+                        F.transform(F.map_keys(m), lambda k: F.struct(F.lit(2).alias("kind"), k.alias("key"))),
+                    ),
+                )
+            ),
+        )
     )
+    tagged = kept.select(F.explode(tags).alias("t")).select("t.*")
     counts = tagged.agg(
-        F.count_if(F.col("_log")).alias("log_lines"),
-        F.count_if(~F.col("_log") & F.col("_key").isNull()).alias("metric_lines"),
-        F.count_distinct("_key").alias("metric_keys"),
+        F.count_if(F.col("kind") == F.lit(0)).alias("log_lines"),
+        F.count_if(F.col("kind") == F.lit(1)).alias("metric_lines"),
+        F.count_distinct("key").alias("metric_keys"),
     )
     return counts.withColumn("note", F.when(F.col("metric_lines") == F.lit(0), F.lit(NO_METRICS_MESSAGE)))
 
@@ -246,12 +333,23 @@ def rule_scan(
     return hits.select(F.col(id_col), "line_no", *_rule_labels(rules, F.col("rule_idx")))
 
 
+def _root_text(text: Column) -> Column:
+    """The text with its root's indentation taken off every line."""
+    indent = F.regexp_extract(text, _ROOT_INDENT, 1)
+    return F.when(indent == F.lit(""), text).otherwise(F.regexp_replace(text, F.concat(F.lit("(?m)^"), indent), F.lit("")))
+
+
 def _marker_missing(text: Column, marker: tuple) -> Column:
+    """``text`` is the root text."""
     _, present, _, void = marker
-    found = text.rlike(present)
-    if void:
-        found = found & ~text.rlike(void)
-    return ~found
+
+    def any_of(patterns: tuple[str, ...]) -> Column:
+        found = F.lit(False)
+        for p in patterns:
+            found = found | text.rlike(p)
+        return found
+
+    return ~(any_of(present) & ~any_of(void))
 
 
 def required_markers(
@@ -263,9 +361,11 @@ def required_markers(
     """``(doc_id, rule, message)`` for every required marker a document lacks.
 
     Tested on the whole text (multi-line regex), so no line explode and no
-    shuffle. A line-pattern check, not a YAML parse.
+    shuffle. Keys may be quoted, the root may be indented, and it may be a
+    flow mapping. A pattern check, not a YAML parse: in a flow mapping a key
+    counts at any depth, and text inside block scalars counts as lines.
     """
-    text = F.col(text_col)
+    text = _root_text(F.col(text_col))
     missing = F.filter(
         F.array(*[F.when(_marker_missing(text, m), F.lit(i)) for i, m in enumerate(markers)]),
         lambda x: x.isNotNull(),
@@ -301,10 +401,11 @@ def _findings(text: Column, rules: Sequence[tuple[str, str, str]], markers: Sequ
         return F.filter(F.array(*hits).cast(f"array<{_FINDING}>"), lambda x: x.isNotNull())
 
     line_hits = F.flatten(F.transform(python_lines(text), on_line))
+    root = _root_text(text)
     doc_hits = F.filter(
         F.array(
             *[
-                F.when(_marker_missing(text, m), F.struct(F.lit(None).cast("int").alias("line_no"), F.lit(len(rules) + k).alias("rule_idx")))
+                F.when(_marker_missing(root, m), F.struct(F.lit(None).cast("int").alias("line_no"), F.lit(len(rules) + k).alias("rule_idx")))
                 for k, m in enumerate(markers)
             ]
         ).cast(f"array<{_FINDING}>"),

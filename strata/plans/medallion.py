@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from strata.config import LayerConfig
 from strata.operators.cleanse import add_audit_columns, clean_orders
 from strata.operators.marts import daily_country_sales
-from strata.operators.quality import collect_report, enforce, profile
+from strata.operators.quality import apply_gate, profile, verdict
 from strata.sources.files import read_raw_csv
 from strata.sources.tables import ensure_schemas, read_layer, write_layer
 
@@ -60,7 +60,8 @@ def metric_record(stage: str, payload: list):
 
     ``payload`` holds aliased columns in output order.
     """
-    record = F.to_json(F.struct(F.lit(stage).alias("stage"), *payload))
+    # A missing value is written as null, as json.dumps writes it.
+    record = F.to_json(F.struct(F.lit(stage).alias("stage"), *payload), {"ignoreNullFields": "false"})
     return F.struct(F.lit(stage).alias("stage"), F.concat(F.lit(METRICS_MARKER), record).alias("line"))
 
 
@@ -74,6 +75,17 @@ def _emit(stage: str, payload: dict, log: Callable[[str], None]) -> dict:
     return {"stage": stage, **payload}
 
 
+def metrics_sink(spark: SparkSession, table: str, log: Callable[[str], None] = print) -> Callable[[str], None]:
+    """A ``log`` for the steps that also appends each line to ``table`` as ``(logged_at, line)``."""
+
+    def write(line: str) -> None:
+        log(line)
+        row = spark.createDataFrame([(line,)], "line string").select(F.current_timestamp().alias("logged_at"), "line")
+        row.write.mode("append").saveAsTable(table)
+
+    return write
+
+
 def _write_counted(df: DataFrame, name: str, write: Callable[[DataFrame], str]) -> tuple[str, int]:
     observation = Observation(name)
     fqn = write(df.observe(observation, F.count(F.lit(1)).alias("rows")))
@@ -106,12 +118,13 @@ def run_silver(
     # a lost executor's blocks are recomputed from the bronze table.
     silver = clean_orders(bronze).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        report = collect_report(profile(bronze, silver))
-        enforce(report, cfg.max_rejection_rate, cfg.fail_on_violation)
+        report = profile(bronze, silver)
+        decided = verdict(report, cfg.max_rejection_rate, cfg.fail_on_violation, cfg.env, keep_counts=True).first()
+        apply_gate(decided, log)
         fqn = write_layer(silver, cfg, "silver", SILVER_TABLE, partition_by=["order_date"])
     finally:
         silver.unpersist()
-    return StepResult(fqn, _emit("silver", {"table": fqn, "batch_id": batch_id, **report.as_dict()}, log))
+    return StepResult(fqn, _emit("silver", {"table": fqn, "batch_id": batch_id, **{c: decided[c] for c in report.columns}}, log))
 
 
 def run_gold(
@@ -121,7 +134,8 @@ def run_gold(
     log: Callable[[str], None] = print,
 ) -> StepResult:
     silver = read_layer(spark, cfg, "silver", SILVER_TABLE)
-    gold = daily_country_sales(silver)
+    # Silver has one row per order; the table promises no order of rows.
+    gold = daily_country_sales(silver, sort=False, unique_orders=True)
     fqn, rows = _write_counted(gold, "gold", lambda df: write_layer(df, cfg, "gold", GOLD_TABLE))
     return StepResult(fqn, _emit("gold", {"table": fqn, "rows": rows, "batch_id": batch_id}, log))
 

@@ -76,13 +76,6 @@ def _q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _fixed():
-    # Imported lazily so this module stays plain text plus constants.
-    from strata.operators import text as T
-
-    return T
-
-
 PROFILE = f"""
 SELECT input_rows, output_rows, null_key_rows, duplicate_key_rows, rejected_rows,
        CAST(printf('%.4f', rate) AS DOUBLE) AS rejection_rate, rate
@@ -98,6 +91,62 @@ FROM (
 ) p
 """
 
+# The four credential patterns, in order of application.
+CREDENTIALS = (
+    ("access_token", r"(?i)\b(dapi[0-9a-f]{32,})"),
+    ("git_token", r"(?i)\b(gh[pousr]_[A-Za-z0-9]{20,})"),
+    ("api_key", r"(?i)\b(sk-[A-Za-z0-9\-_]{20,})"),
+    ("key_value", r"(?i)(password|passwd|secret|token|api[_-]?key)\s*[:=]\s*\S+"),
+)
+
+# Line rules. RE2 has no look-ahead; the first rule's "not an expression"
+# condition can't change a match, since an expression's first character is
+# none of those that must follow.
+LINE_RULES = (
+    (
+        "hard_coded_secret",
+        r"(?i)(password|token|api[_-]?key|client[_-]?secret)\s*:\s*[\"']?[A-Za-z0-9/+_\-]{8,}",
+        "possible hard-coded secret — use ${{ secrets.* }}",
+    ),
+    ("moving_ref", r"uses:\s*([^\s@]+)@(main|master)\s*$", "action pinned to a moving ref — pin to a version tag"),
+)
+CORPUS_RULES = LINE_RULES + (("credential_assignment", CREDENTIALS[3][1], "credential assigned in plain text"),)
+
+# Root keys of block-style workflow texts.
+TRIGGER = r"(?m)^(on|On|ON|yes|Yes|YES|true|True|TRUE|\"on\"|'on')[ \t]*:([ \t]|$)"
+PERMISSIONS = r"(?m)^(permissions|\"permissions\"|'permissions')[ \t]*:([ \t]|$)"
+JOBS = r"(?m)^(jobs|\"jobs\"|'jobs')[ \t]*:([ \t]+[^\s#]|[ \t]*(#[^\n]*)?\r?\n([ \t]*(#[^\n]*)?\r?\n)*([ \t]+[^\s#]|-[ \t]))"
+NO_JOBS = (
+    r"(?m)^(jobs|\"jobs\"|'jobs')[ \t]*:[ \t]+(\{[ \t]*\}|\[[ \t]*\]|null|Null|NULL|~|\"\"|''|"
+    r"false|False|FALSE|no|No|NO|off|Off|OFF|0)[ \t]*(#[^\n]*)?\r?$"
+)
+INDENT = r"\A([ \t]*(#[^\n]*)?\r?\n|(---|%)[^\n]*\n)*( +)[^\s#]"
+
+# One line per document and rule group, chosen by the id; the document follows.
+WORKFLOWS = """
+SELECT doc_id,
+  CASE doc_id % 7 WHEN 0 THEN 'on: push' || chr(10) WHEN 1 THEN '"on":' || chr(10) || '  push:' || chr(10)
+    WHEN 2 THEN 'true: push' || chr(10) WHEN 3 THEN '# on: push' || chr(10) WHEN 4 THEN 'once: push' || chr(10)
+    WHEN 5 THEN chr(39) || 'on' || chr(39) || ': [push]' || chr(10) ELSE '' END
+  || CASE doc_id % 5 WHEN 0 THEN 'permissions: read-all' || chr(10)
+    WHEN 1 THEN '"permissions":' || chr(10) || '  contents: read' || chr(10)
+    WHEN 2 THEN '  permissions: x' || chr(10) WHEN 3 THEN 'permission: x' || chr(10) ELSE '' END
+  || CASE doc_id % 11 WHEN 0 THEN 'jobs:' || chr(10) || '  a:' || chr(10) || '    steps: x' || chr(10)
+    WHEN 1 THEN 'jobs: {}' || chr(10) WHEN 2 THEN 'jobs:' || chr(10) WHEN 3 THEN chr(39) || 'jobs' || chr(39) || ': {a: b}' || chr(10)
+    WHEN 4 THEN 'jobs: null # none' || chr(10) WHEN 5 THEN 'jobs:' || chr(10) || '- a' || chr(10)
+    WHEN 6 THEN 'jobs: x' || chr(10) ELSE '' END
+  || CASE doc_id % 13 WHEN 0 THEN 'run: dapi' || h || chr(10) WHEN 1 THEN 'run: dapi' || substr(h, 1, 20) || chr(10)
+    WHEN 2 THEN 'run: GHP_' || h || chr(10) WHEN 3 THEN 'run: gho_' || d || chr(10)
+    WHEN 4 THEN 'run: sk-' || h || '_' || chr(10) WHEN 5 THEN 'run: sk-' || d || chr(10)
+    WHEN 6 THEN 'run: Password = ' || h || chr(10) ELSE '' END
+  || CASE doc_id % 6 WHEN 0 THEN '  token: ' || h || chr(10) WHEN 1 THEN '  token: ${{ secrets.TOKEN }}' || chr(10)
+    WHEN 2 THEN '  client_secret: ' || chr(39) || h || chr(39) || chr(10) WHEN 3 THEN '  api-key: short' || chr(10) ELSE '' END
+  || CASE doc_id % 4 WHEN 0 THEN '  uses: org/action' || d || '@main' || chr(10)
+    WHEN 1 THEN '  uses: org/action@v' || d || chr(10) WHEN 2 THEN '  uses: org/action@master  ' || chr(10) ELSE '' END
+  || coalesce(text, '') AS text
+FROM (SELECT *, md5(CAST(doc_id AS VARCHAR)) AS h, lpad(CAST(doc_id AS VARCHAR), 6, '0') AS d FROM documents) x
+"""
+
 VERDICT = f"""
 SELECT env, max_rejection_rate, fail_on_violation, all_rejected, duplicates_survived, rate_exceeded,
        NOT (all_rejected OR duplicates_survived OR rate_exceeded) AS passed,
@@ -227,109 +276,129 @@ FROM ({METRIC_PAYLOADS}) m
 
 
 def _redacted(expr: str) -> str:
-    T = _fixed()
-    for _, pattern in T.REDACTION_PATTERNS:
-        expr = f"regexp_replace({expr}, {_q(pattern)}, {_q(T.MASK)}, 'g')"
+    for _, pattern in CREDENTIALS:
+        expr = f"regexp_replace({expr}, {_q(pattern)}, '***REDACTED***', 'g')"
     return expr
 
 
-def _redact_text() -> str:
+def _redact_text(docs: str) -> str:
     return f"""
 SELECT doc_id, r AS redacted_text, r <> text AS redacted
-FROM (SELECT doc_id, text, {_redacted('text')} AS r FROM documents) d
+FROM (SELECT doc_id, text, {_redacted('text')} AS r FROM ({docs}) s) d
 """
 
 
-def _redaction_counts() -> str:
-    T = _fixed()
-    stages = ["SELECT lang, source, text AS s0 FROM documents"]
-    names = [n for n, _ in T.REDACTION_PATTERNS]
-    for i, (_, pattern) in enumerate(T.REDACTION_PATTERNS):
+def _redaction_counts(docs: str, by: str) -> str:
+    stages = [f"SELECT {by}, text AS s0 FROM ({docs}) d"]
+    names = [n for n, _ in CREDENTIALS]
+    for i, (_, pattern) in enumerate(CREDENTIALS):
         stages.append(
             f"SELECT *, len(regexp_extract_all(s{i}, {_q(pattern)})) AS c{i}, "
-            f"regexp_replace(s{i}, {_q(pattern)}, {_q(T.MASK)}, 'g') AS s{i + 1} FROM ({stages[-1]}) x{i}"
+            f"regexp_replace(s{i}, {_q(pattern)}, '***REDACTED***', 'g') AS s{i + 1} FROM ({stages[-1]}) x{i}"
         )
     total = " + ".join(f"c{i}" for i in range(len(names)))
     sums = ", ".join(f"CAST(sum(c{i}) AS BIGINT) AS {n}_hits" for i, n in enumerate(names))
     return f"""
-SELECT lang, source, count(*) AS documents, count(*) FILTER (WHERE {total} > 0) AS redacted_documents, {sums}
+SELECT {by}, count(*) AS documents, count(*) FILTER (WHERE {total} > 0) AS redacted_documents, {sums}
 FROM ({stages[-1]}) s
-GROUP BY lang, source
+GROUP BY {by}
 """
 
 
-# RE2 has no look-ahead. After the secret rule's "(?!\s*\$\{\{)" the pattern
-# needs an optional quote and then [A-Za-z0-9/+_\-]; "${{" can match neither,
-# so the look-ahead never changes a match and the oracle drops it.
-def _re2(pattern: str) -> str:
-    return pattern.replace(r"(?!\s*\$\{\{)", "")
-
-
-def _line_rules() -> tuple:
-    from strata.plans.queries import CORPUS_RULES
-
-    return CORPUS_RULES
-
-
-_LINES = """
+def _rule_scan(docs: str, rules: tuple) -> str:
+    lines = f"""
 SELECT doc_id, CAST(i AS INTEGER) AS line_no, arr[i] AS line
 FROM (SELECT doc_id, arr, unnest(range(1, len(arr) + 1)) AS i
-      FROM (SELECT doc_id, string_split(text, chr(10)) AS arr FROM documents) a) b
+      FROM (SELECT doc_id, string_split(text, chr(10)) AS arr FROM ({docs}) d) a) b
 """
-
-
-def _rule_scan() -> str:
     parts = [
-        f"SELECT doc_id, line_no, {_q(name)} AS rule, {_q(message)} AS message FROM ({_LINES}) l "
-        f"WHERE regexp_matches(line, {_q(_re2(rx))})"
-        for name, rx, message in _line_rules()
+        f"SELECT doc_id, line_no, {_q(name)} AS rule, {_q(message)} AS message FROM ({lines}) l "
+        f"WHERE regexp_matches(line, {_q(rx)})"
+        for name, rx, message in rules
     ]
     return "\nUNION ALL\n".join(parts)
 
 
-def _required_markers() -> str:
-    T = _fixed()
-    parts = []
-    for name, rx, message, void in T.REQUIRED_MARKERS:
-        present = f"regexp_matches(text, {_q(rx)})"
-        if void:
-            present = f"({present} AND NOT regexp_matches(text, {_q(void)}))"
-        parts.append(f"SELECT doc_id, {_q(name)} AS rule, {_q(message)} AS message FROM documents WHERE NOT {present}")
-    return "\nUNION ALL\n".join(parts)
+def _required_markers(docs: str) -> str:
+    indent = f"regexp_extract(text, {_q(INDENT)}, 4)"
+    root = f"SELECT doc_id, CASE WHEN {indent} = '' THEN text ELSE regexp_replace(text, '(?m)^' || {indent}, '', 'g') END AS text FROM ({docs}) s"
+    jobs = f"(regexp_matches(text, {_q(JOBS)}) AND NOT regexp_matches(text, {_q(NO_JOBS)}))"
+    return f"""
+SELECT doc_id, 'missing_trigger' AS rule, 'missing trigger (`on:`)' AS message FROM ({root}) d
+WHERE NOT regexp_matches(text, {_q(TRIGGER)})
+UNION ALL
+SELECT doc_id, 'missing_permissions', 'no top-level `permissions:` block (least privilege)' FROM ({root}) d
+WHERE NOT regexp_matches(text, {_q(PERMISSIONS)})
+UNION ALL
+SELECT doc_id, 'missing_jobs', 'no jobs defined' FROM ({root}) d WHERE NOT {jobs}
+"""
 
 
-def _rule_findings() -> str:
+def _rule_findings(docs: str, rules: tuple) -> str:
     return f"""
-SELECT doc_id, line_no, rule, message FROM ({_rule_scan()}) r
+SELECT doc_id, line_no, rule, message FROM ({_rule_scan(docs, rules)}) r
 UNION ALL
-SELECT doc_id, CAST(NULL AS INTEGER) AS line_no, rule, message FROM ({_required_markers()}) m
+SELECT doc_id, CAST(NULL AS INTEGER) AS line_no, rule, message FROM ({_required_markers(docs)}) m
 """
 
 
-def _findings_verdict() -> str:
+def _findings_verdict(docs: str) -> str:
     return f"""
-SELECT (SELECT count(*) FROM documents) AS documents,
+SELECT (SELECT count(*) FROM ({docs}) n) AS documents,
        count(*) AS findings,
        count(DISTINCT doc_id) AS documents_with_findings,
        count(*) = 0 AS passed
-FROM ({_rule_findings()}) f
+FROM ({_rule_findings(docs, CORPUS_RULES)}) f
 """
 
 
-def _clip_text() -> str:
-    T = _fixed()
+def _clip_text(docs: str) -> str:
     return f"""
 SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars,
-       substring(r, 1, {T.PROMPT_CHARS}) AS prompt_head,
-       substring(text, 1, {T.DIFF_CHARS}) AS diff_head,
-       length(text) > {T.DIFF_CHARS} AS diff_truncated,
-       right(r, {T.LOG_TAIL_CHARS}) AS log_tail
-FROM (SELECT doc_id, text, {_redacted('text')} AS r FROM documents) d
+       substring(r, 1, 24000) AS prompt_head,
+       substring(text, 1, 20000) AS diff_head,
+       length(text) > 20000 AS diff_truncated,
+       right(r, 8000) AS log_tail
+FROM (SELECT doc_id, text, {_redacted('text')} AS r FROM ({docs}) s) d
+"""
+
+
+METRIC_KEYS = f"SELECT DISTINCT unnest(json_keys(payload)) AS key FROM ({METRIC_PAYLOADS}) m"
+
+LOG_FILE_METRICS = f"SELECT payload, json_extract_string(payload, '$.stage') AS stage FROM ({METRIC_PAYLOADS}) m"
+
+# A file ends with a line break, which ends its last line.
+FILE_FINDINGS = f"""
+SELECT m.doc_id, m.rule, m.message, n.n_lines FROM ({_required_markers(WORKFLOWS)}) m
+JOIN (SELECT doc_id, CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines FROM ({WORKFLOWS}) w) n USING (doc_id)
+"""
+
+_ORDER_ONLY = f"SELECT regexp_extract(order_id, '^ORD-([0-9]+)', 1) AS k FROM ({VALID}) v"
+
+GATE_RULES = f"""
+SELECT env, CAST(0.05 AS DOUBLE) AS max_rejection_rate, env <> 'repeated' AS fail_on_violation,
+       input_rows, output_rows, null_key_rows, duplicate_key_rows, greatest(input_rows - output_rows, 0) AS rejected_rows,
+       env = 'rejected' AS all_rejected, env = 'repeated' AS duplicates_survived, env = 'rejected' AS rate_exceeded,
+       env = 'kept' AS passed,
+       CASE env WHEN 'kept' THEN 'pass' WHEN 'repeated' THEN 'warn' ELSE 'fail' END AS action,
+       CASE env
+         WHEN 'repeated' THEN printf('Data quality violations: %d duplicate business keys survived cleansing', duplicate_key_rows)
+         WHEN 'rejected' THEN 'Data quality violations: all source rows were rejected; rejection rate 100.00% exceeds threshold 5.00%'
+       END AS message
+FROM (
+  SELECT 'repeated' AS env, count(*) AS input_rows, count(*) AS output_rows, CAST(0 AS BIGINT) AS null_key_rows,
+         count(*) - count(DISTINCT k) AS duplicate_key_rows FROM ({_ORDER_ONLY}) a
+  UNION ALL
+  SELECT 'rejected', count(*), 0, count(*) FILTER (WHERE order_id IS NULL), 0 FROM ({FEED}) f
+  UNION ALL
+  SELECT 'kept', count(*), count(*), 0, count(*) - count(DISTINCT order_id) FROM ({CLEAN}) b
+) p
 """
 
 
 def all_oracles() -> dict[str, str]:
     oracles = dict(ORACLES)
+    docs = "SELECT * FROM documents"
     oracles.update(
         {
             "dedupe_latest": LINEITEM_DEDUP,
@@ -345,17 +414,24 @@ def all_oracles() -> dict[str, str]:
             "medallion_e2e": GOLD,
             "stream_ingest": FEED,
             "stage_metrics": STAGE_METRICS,
-            "redact_text": _redact_text(),
-            "redaction_counts": _redaction_counts(),
+            "redact_text": _redact_text(docs),
+            "redaction_counts": _redaction_counts(docs, "lang, source"),
             "extract_metrics": EXTRACT_METRICS,
             "metrics_long": METRICS_LONG,
             "metrics_wide": METRICS_WIDE,
             "metrics_report": METRICS_REPORT,
-            "rule_scan": _rule_scan(),
-            "required_markers": _required_markers(),
-            "rule_findings": _rule_findings(),
-            "findings_verdict": _findings_verdict(),
-            "clip_text": _clip_text(),
+            "rule_scan": _rule_scan(docs, CORPUS_RULES),
+            "required_markers": _required_markers(docs),
+            "rule_findings": _rule_findings(docs, CORPUS_RULES),
+            "findings_verdict": _findings_verdict(docs),
+            "clip_text": _clip_text(docs),
+            "metric_keys": METRIC_KEYS,
+            "log_file_metrics": LOG_FILE_METRICS,
+            "workflow_redaction": _redact_text(WORKFLOWS),
+            "workflow_redaction_counts": _redaction_counts(f"SELECT *, doc_id % 3 AS part FROM ({WORKFLOWS}) w", "part"),
+            "workflow_findings": _rule_findings(WORKFLOWS, LINE_RULES),
+            "workflow_file_findings": FILE_FINDINGS,
+            "quality_gate_rules": GATE_RULES,
         }
     )
     return oracles

@@ -29,8 +29,8 @@ from strata.operators import text as T
 from strata.plans import medallion as M
 from strata.schemas import RAW_COLUMNS
 from strata.session import scratch_path
-from strata.sources.feeds import load, log_lines, orders_feed
-from strata.sources.files import read_raw_csv, write_raw_csv
+from strata.sources.feeds import load, load_text, log_lines, orders_feed, workflow_texts
+from strata.sources.files import read_log_lines, read_numbered_lines, read_raw_csv, read_text_corpus, write_raw_csv
 from strata.sources.tables import ensure_schemas, read_layer, write_layer
 from strata.streaming.landing import ingest_bronze
 
@@ -48,6 +48,8 @@ LINEITEM_TIES = (
     "l_returnflag",
     "l_linestatus",
 )
+# Keys of the shaped log lines, in order.
+LOG_KEYS = ("event_id", "input", "stage")
 # Rule set of the corpus scan: the two workflow line rules plus the
 # key/value credential pattern, which the prose corpus does contain.
 CORPUS_RULES = T.LINE_RULES + (
@@ -63,6 +65,13 @@ def _gold(spark: SparkSession, sf_dir: str, sort: bool = True) -> DataFrame:
     return daily_country_sales(_clean(spark, sf_dir), sort=sort)
 
 
+def _feed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed written once, for queries that read it several times."""
+    path = scratch_path(spark, "feed")
+    orders_feed(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _unique(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
@@ -99,7 +108,7 @@ def q_dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_quality_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = orders_feed(spark, sf_dir)
+    feed = _feed_table(spark, sf_dir)
     return Q.profile(feed, clean_orders(feed))
 
 
@@ -108,12 +117,26 @@ def q_quality_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.verdicts(q_quality_profile(spark, sf_dir), settings)
 
 
+def q_quality_gate_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts where each rule fires: without dedup, with every row rejected, and with none."""
+    feed = _feed_table(spark, sf_dir)
+    valid = valid_orders(normalise_orders(feed))
+    lines = valid.withColumn("order_id", F.regexp_extract("order_id", "^ORD-([0-9]+)", 1))
+    cleaned = clean_orders(feed)
+    cases = {"repeated": Q.profile(lines, lines), "rejected": Q.profile(feed, feed.filter(F.lit(False))), "kept": Q.profile(cleaned, cleaned)}
+    parts = [
+        Q.verdict(profile, 0.05, case != "repeated", case, keep_counts=True).drop("rejection_rate")
+        for case, profile in cases.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def q_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.duplicate_keys(load(spark, sf_dir, "lineitem"), LINEITEM_KEYS)
 
 
 def q_table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = orders_feed(spark, sf_dir)
+    feed = _feed_table(spark, sf_dir)
     normalised = normalise_orders(feed).select(*RAW_COLUMNS)
     cleaned = clean_orders(feed).select(*RAW_COLUMNS)
     return Q.multiset_difference(normalised, cleaned)
@@ -121,7 +144,7 @@ def q_table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = preset("qa")
-    feed = orders_feed(spark, sf_dir)
+    feed = _feed_table(spark, sf_dir)
     clean = clean_orders(feed)
     return Q.table_row_counts(
         {
@@ -181,7 +204,7 @@ def q_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines come from the same one-row profile.
     """
     cfg = preset("qa")
-    feed = orders_feed(spark, sf_dir)
+    feed = _feed_table(spark, sf_dir)
     clean = clean_orders(feed)
     batch = F.lit(BATCH_ID).alias("batch_id")
     report = Q.profile(feed, clean)
@@ -205,11 +228,11 @@ def q_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_redact_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.redact_text(load(spark, sf_dir, "documents", spread=True))
+    return T.redact_text(load_text(spark, sf_dir, "documents"))
 
 
 def q_redaction_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.redaction_counts(load(spark, sf_dir, "documents", spread=True))
+    return T.redaction_counts(load_text(spark, sf_dir, "documents"))
 
 
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,32 +254,71 @@ def q_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_metrics_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.metrics_wide(_metrics(spark, sf_dir))
+    return T.metrics_wide(_metrics(spark, sf_dir), keys=LOG_KEYS)
+
+
+def q_metric_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.metric_keys(_metrics(spark, sf_dir))
 
 
 def q_metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = log_lines(spark, sf_dir)
-    return T.metrics_report(lines, T.extract_metrics(lines))
+    return T.metrics_report(log_lines(spark, sf_dir))
+
+
+def q_log_file_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log lines written as text files, scanned again and parsed."""
+    path = scratch_path(spark, "logs")
+    log_lines(spark, sf_dir).select("line").write.text(path)
+    return T.extract_metrics(read_log_lines(spark, path)).select("payload", F.col("metrics")["stage"].alias("stage"))
+
+
+def q_workflow_file_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The workflow texts written as a file each, scanned as a corpus and by line."""
+    path = scratch_path(spark, "workflows")
+    texts = workflow_texts(spark, sf_dir)
+    # One file per text: a folder for each id, written by as many tasks as the scan has.
+    texts.write.partitionBy("doc_id").text(path)
+    corpus = read_text_corpus(spark, path, "*.txt").select(_folder_id("doc_id"), "text")
+    lines = read_numbered_lines(spark, path).select(_folder_id("source_file"), "line_no", "line")
+    long = lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
+    return T.required_markers(corpus).join(long, "doc_id")
+
+
+def _folder_id(path: str):
+    return F.regexp_extract(path, "doc_id=(-?[0-9]+)", 1).cast("bigint").alias("doc_id")
+
+
+def q_workflow_redaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.redact_text(workflow_texts(spark, sf_dir))
+
+
+def q_workflow_redaction_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = workflow_texts(spark, sf_dir).withColumn("part", F.pmod("doc_id", F.lit(3)))
+    return T.redaction_counts(texts, by=("part",))
+
+
+def q_workflow_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.scan_findings(workflow_texts(spark, sf_dir))
 
 
 def q_rule_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.rule_scan(load(spark, sf_dir, "documents", spread=True), CORPUS_RULES)
+    return T.rule_scan(load_text(spark, sf_dir, "documents"), CORPUS_RULES)
 
 
 def q_required_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.required_markers(load(spark, sf_dir, "documents", spread=True))
+    return T.required_markers(load_text(spark, sf_dir, "documents"))
 
 
 def q_rule_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.scan_findings(load(spark, sf_dir, "documents", spread=True), CORPUS_RULES)
+    return T.scan_findings(load_text(spark, sf_dir, "documents"), CORPUS_RULES)
 
 
 def q_findings_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.findings_verdict(load(spark, sf_dir, "documents", spread=True), CORPUS_RULES)
+    return T.findings_verdict(load_text(spark, sf_dir, "documents"), CORPUS_RULES)
 
 
 def q_clip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.clip_text(load(spark, sf_dir, "documents", spread=True))
+    return T.clip_text(load_text(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
@@ -268,6 +330,7 @@ QUERIES: dict[str, Query] = {
     "dedupe_latest": q_dedupe_latest,
     "quality_profile": q_quality_profile,
     "quality_verdict": q_quality_verdict,
+    "quality_gate_rules": q_quality_gate_rules,
     "duplicate_keys": q_duplicate_keys,
     "table_diff": q_table_diff,
     "table_row_counts": q_table_row_counts,
@@ -284,6 +347,12 @@ QUERIES: dict[str, Query] = {
     "metrics_long": q_metrics_long,
     "metrics_wide": q_metrics_wide,
     "metrics_report": q_metrics_report,
+    "metric_keys": q_metric_keys,
+    "log_file_metrics": q_log_file_metrics,
+    "workflow_redaction": q_workflow_redaction,
+    "workflow_redaction_counts": q_workflow_redaction_counts,
+    "workflow_findings": q_workflow_findings,
+    "workflow_file_findings": q_workflow_file_findings,
     "rule_scan": q_rule_scan,
     "required_markers": q_required_markers,
     "rule_findings": q_rule_findings,

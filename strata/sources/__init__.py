@@ -1,15 +1,15 @@
 """Sources and sinks."""
 
-from strata.sources.feeds import broadcast_if_small, load, log_lines, orders_feed
+from strata.sources.feeds import load, load_text, log_lines, orders_feed, workflow_texts
 from strata.sources.files import read_log_lines, read_numbered_lines, read_raw_csv, read_text_corpus, write_raw_csv
 from strata.sources.seed import seed_feed
 from strata.sources.tables import ensure_schemas, list_schemas, read_layer, write_layer
 
 __all__ = [
-    "broadcast_if_small",
     "ensure_schemas",
     "list_schemas",
     "load",
+    "load_text",
     "log_lines",
     "orders_feed",
     "read_layer",
@@ -18,6 +18,7 @@ __all__ = [
     "read_raw_csv",
     "read_text_corpus",
     "seed_feed",
+    "workflow_texts",
     "write_layer",
     "write_raw_csv",
 ]

@@ -11,54 +11,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A dimension side is broadcast only when a bounded count proves it is small.
-# Meant for narrow projections (a key and a name): 10,000 such rows stay well
-# under a megabyte on every executor.
-BROADCAST_ROW_LIMIT = 10_000
+from strata.session import SPREAD_CONF
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """One driver table, ``<sf_dir>/<name>.parquet``.
 
-    ``spread=True`` is for tables whose per-row work is heavy (regex over
-    whole texts): see ``spread_scan``.
+    ``spread=True`` rebalances the rows right after the scan (a shuffle):
+    the caller's choice for a table of a few unsplittable files with heavy
+    per-row work.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_scan(df) if spread else df
+    return df.hint("rebalance") if spread else df
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Rebalance a scan that yields fewer input splits than the session has cores.
-
-    A file that cannot be split (one parquet row group, a gzip file) is read
-    by a single task, and so is all per-row work stacked on it; planned splits
-    even overstate the parallelism, since only the split holding a row
-    group's start reads it. In that case the rows are rebalanced round-robin
-    right after the scan, and AQE sizes the resulting partitions; filters and
-    column pruning still reach the reader. The rule bounds its own cost: it
-    fires only when the input has fewer splits than cores, i.e. at most
-    ``cores x maxPartitionBytes`` of data. A large input has more splits than
-    cores and is returned unchanged, without a shuffle.
-    """
-    try:
-        splits = df.rdd.getNumPartitions()
-        cores = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # e.g. a Spark Connect client (no RDD access): leave the plan alone
-        return df
-    if splits >= cores:
-        return df
-    return df.hint("rebalance")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after a bounded count shows ``df`` has <= ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the side is
-    left to the planner (sort-merge join, or AQE's runtime broadcast when the
-    shuffle statistics turn out small).
-    """
-    rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+def load_text(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table with heavy per-row text work, rebalanced if the session's ``SPREAD_CONF`` says so."""
+    return load(spark, sf_dir, name, spread=spark.conf.get(SPREAD_CONF, "false") == "true")
 
 
 def _every(column: Column, n: int) -> Column:
@@ -77,15 +46,16 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nation = broadcast_if_small(load(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
     customer_nation = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "inner").select(
         "c_custkey", "n_name"
     )
     # Both joins below have two sides that grow with the data, so they are
     # shuffle joins at any scale: "merge" keeps the planner from broadcasting
-    # a side whose filtered scan merely looks small (only nation, checked
-    # above, is broadcast), and AQE still splits skewed keys.
+    # a side whose filtered scan merely looks small. Nation is left to the
+    # planner, which broadcasts it below its byte threshold. AQE splits
+    # skewed keys.
     order_dim = orders.join(
         customer_nation.hint("merge"), orders.o_custkey == customer_nation.c_custkey, "inner"
     ).select("o_orderkey", "o_custkey", "n_name")
@@ -138,7 +108,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Most lines carry an ``ETL_METRICS {json}`` payload; every 7th event is a
     plain text line and every 11th a marker with a malformed payload.
     """
-    events = load(spark, sf_dir, "events", spread=True).select("event_id", "event_type", "props")
+    events = load_text(spark, sf_dir, "events").select("event_id", "event_type", "props")
     event_id = F.col("event_id")
     # The shape of the log lines.
     line = (
@@ -157,3 +127,61 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     return events.select(event_id.alias("line_id"), line.alias("line"))
+
+
+def workflow_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workflow-shaped texts over ``documents``: ``(doc_id, text)``.
+
+    Every document becomes the body of a small workflow file whose lines hit
+    and miss each credential pattern, line rule and required marker in turn.
+    """
+    docs = load_text(spark, sf_dir, "documents").select("doc_id", "text")
+    key, text = F.col("doc_id"), F.coalesce("text", F.lit(""))
+    digits = F.lpad(key.cast("string"), 6, "0")
+    hex_id = F.md5(key.cast("string"))
+
+    def one_of(modulus: int, *lines) -> Column:
+        chosen = F.lit("")
+        for k, line in enumerate(lines):
+            chosen = F.when(key % F.lit(modulus) == F.lit(k), line if isinstance(line, Column) else F.lit(line)).otherwise(chosen)
+        return chosen
+
+    # The shape of the workflow texts.
+    parts = [
+        one_of(7, "on: push\n", "\"on\":\n  push:\n", "true: push\n", "# on: push\n", "once: push\n", "'on': [push]\n"),
+        one_of(5, "permissions: read-all\n", "\"permissions\":\n  contents: read\n", "  permissions: x\n", "permission: x\n"),
+        one_of(
+            11,
+            "jobs:\n  a:\n    steps: x\n",
+            "jobs: {}\n",
+            "jobs:\n",
+            "'jobs': {a: b}\n",
+            "jobs: null # none\n",
+            "jobs:\n- a\n",
+            "jobs: x\n",
+        ),
+        one_of(
+            13,
+            F.concat(F.lit("run: dapi"), hex_id, F.lit("\n")),
+            F.concat(F.lit("run: dapi"), F.substring(hex_id, 1, 20), F.lit("\n")),
+            F.concat(F.lit("run: GHP_"), hex_id, F.lit("\n")),
+            F.concat(F.lit("run: gho_"), digits, F.lit("\n")),
+            F.concat(F.lit("run: sk-"), hex_id, F.lit("_\n")),
+            F.concat(F.lit("run: sk-"), digits, F.lit("\n")),
+            F.concat(F.lit("run: Password = "), hex_id, F.lit("\n")),
+        ),
+        one_of(
+            6,
+            F.concat(F.lit("  token: "), hex_id, F.lit("\n")),
+            "  token: ${{ secrets.TOKEN }}\n",
+            F.concat(F.lit("  client_secret: '"), hex_id, F.lit("'\n")),
+            "  api-key: short\n",
+        ),
+        one_of(
+            4,
+            F.concat(F.lit("  uses: org/action"), digits, F.lit("@main\n")),
+            F.concat(F.lit("  uses: org/action@v"), digits, F.lit("\n")),
+            "  uses: org/action@master  \n",
+        ),
+    ]
+    return docs.select(key, F.concat(*parts, text).alias("text"))

@@ -107,9 +107,7 @@ def test_multiset_difference_matches_counter(spark, left, right):
 yaml = __import__("pytest").importorskip("yaml")
 
 TRIGGERS = ["on: push", "on:\n  push:\n    branches: [main]", '"on": push', "'On': push", "true: x", "yes: x", "ON: push", "n: x", "onboard: x"]
-# Top-level keys start at column 0, as in workflow files; a document whose whole
-# mapping is indented is outside what the line markers recognise (see README).
-PERMISSIONS = ["permissions:\n  contents: read", "permissions: read-all", "permissions:", "permission: x", "env:\n  permissions: nested"]
+PERMISSIONS = ["permissions:\n  contents: read", '"permissions": read-all', "'permissions':\n  a: b", "permissions: read-all", "permissions:", "permission: x", "env:\n  permissions: nested"]
 JOBS = [
     "jobs:\n  build:\n    runs-on: x",
     "jobs: {}",
@@ -125,7 +123,10 @@ JOBS = [
     "jobs:\n  # note\n\n  b: 1",
     "jobs:   # note\n  b: 1",
     "jobs: ''",
+    '"jobs":\n  build:\n    runs-on: x',
+    "'jobs': {}",
 ]
+FLOW = ["on: push", "'on': push", "permissions: read-all", '"permissions": {a: b}', "jobs: {a: {b: c}}", "jobs: {}", "jobs: []", "name: x"]
 
 # At most one variant per top-level key: a repeated key is invalid for workflow
 # files (a YAML loader would silently keep the last one).
@@ -159,7 +160,9 @@ def _expected(text: str) -> set[str] | None:
 def test_required_markers_match_a_yaml_parse(spark, docs):
     from strata.operators import text as T
 
-    texts = ["\n".join(d) + "\n" for d in docs]
+    block = ["\n".join(d) + "\n" for d in docs]
+    texts = [*block, *("# note\n\n" + "".join(f"   {x}\n" for x in t.splitlines()) for t in block)]
+    texts += ["{" + ", ".join(FLOW[i] for i in sorted({hash(t + str(k)) % len(FLOW) for k in range(4)})) + "}\n" for t in block]
     expected = {i: _expected(t) for i, t in enumerate(texts)}
     rows = [(i, t) for i, t in enumerate(texts) if expected[i] is not None]
     if not rows:
@@ -174,7 +177,7 @@ def test_required_markers_match_a_yaml_parse(spark, docs):
 # ----------------------------------------------------------------------------- line rules vs Python re
 
 FRAGMENTS = ["token", "password", "API_KEY", "client-secret", ":", " ", "${{", " secrets.X }}", '"', "'", "abcdefgh12", "x",
-             "uses:", " actions/checkout", "@", "main", "master", "v4", "\n", "\r\n", "\r", "\t", "\u2028", "\x0c", "é"]
+             "uses:", " actions/checkout", "@", "main", "master", "v4", "\n", "\r\n", "\r", "\t", "\u2028", "\x0c", "é", "\x1f", "\x1c"]
 
 
 @settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -242,7 +245,7 @@ def test_clean_orders_matches_python(spark, rows):
 # ----------------------------------------------------------------------------- redaction hit counts vs Python re
 
 SECRET_BITS = ["token", "=", ": ", " ", "ghp_" + "a" * 20, "sk-" + "b" * 20, "dapi" + "0" * 32, "password", "x", "\n",
-               "ſecret", "\xa0", "api-key", "passwd:"]
+               "ſecret", "\xa0", "api-key", "passwd:", "\x1c", "\x1d", "\x1e", "\x1f", "\x85"]
 
 
 @settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -269,7 +272,7 @@ def test_redaction_hits_match_python(spark, texts):
 
 # ----------------------------------------------------------------------------- metrics payloads vs json.loads
 
-JSON_BITS = ['{', '}', '"a"', '"b"', ':', ',', ' ', '1', '2.50', 'true', 'null', '"x"', '[', ']', "'a'", '{"c": 3}', '-1', '01']
+JSON_BITS = ['{', '}', '"a"', '"b"', ':', ',', ' ', '1', '2.50', 'true', 'null', '"x"', '[', ']', "'a'", '{"c": 3}', '-1', '01', 'NaN', 'Infinity', '-Infinity', '"NaN"']
 json_values = st.recursive(
     st.one_of(st.none(), st.booleans(), st.integers(-10**6, 10**6), st.text("abc é", max_size=3)),
     lambda inner: st.one_of(st.lists(inner, max_size=2), st.dictionaries(st.sampled_from(["k", "l"]), inner, max_size=2)),

@@ -9,6 +9,7 @@ import re
 import pytest
 
 from __spark_entry__ import queries
+from strata.plans.queries import QUERIES
 from tests.conftest import SF_SMALL
 
 # Queries with eager side effects (they write tables/files when built).
@@ -30,7 +31,7 @@ def _formatted(df) -> str:
     return _explain(df, "formatted")
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - WRITES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
 def test_no_python_in_plans(spark, name):
     plan = _formatted(queries()[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
@@ -71,32 +72,41 @@ def test_text_jobs_do_not_shuffle_by_key(spark):
         assert "hashpartitioning" not in plan and "rangepartitioning" not in plan, name
 
 
-def test_spread_scan_is_a_no_op_for_split_inputs(spark, tmp_path):
-    from strata.sources.feeds import spread_scan
-
-    path = str(tmp_path / "many")
-    spark.range(0, 1000, 1, 32).write.parquet(path)
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    plan = _formatted(spread_scan(df))
-    if df.rdd.getNumPartitions() >= cores:
-        assert "Exchange" not in plan
-    else:
-        assert "RoundRobinPartitioning" in plan
-    one = spark.read.parquet(SF_SMALL + "/documents.parquet")
-    assert "RoundRobinPartitioning" in _formatted(spread_scan(one))
-
-
-def test_only_the_checked_dimension_is_broadcast(spark):
-    df = queries()["clean_orders"](spark, SF_SMALL)
-    lines = _plan(df).splitlines()
-    broadcasts = [i for i, line in enumerate(lines) if "BroadcastExchange" in line]
-    assert len(broadcasts) == 1, "\n".join(lines)
-    first_scan_below = next(line for line in lines[broadcasts[0]:] if "FileScan" in line)
-    assert "nation.parquet" in first_scan_below
+def test_scans_are_spread_only_on_request(spark):
+    from strata.session import SPREAD_CONF
+    from strata.sources.feeds import load, load_text
+
+    assert "Exchange" not in _formatted(load(spark, SF_SMALL, "documents"))
+    assert "RoundRobinPartitioning" in _formatted(load(spark, SF_SMALL, "documents", spread=True))
+    chosen = spark.conf.get(SPREAD_CONF)
+    try:
+        spark.conf.unset(SPREAD_CONF)
+        assert "Exchange" not in _formatted(load_text(spark, SF_SMALL, "documents"))
+    finally:
+        spark.conf.set(SPREAD_CONF, chosen)
+
+
+def test_the_fact_is_never_broadcast(spark):
+    plan = _plan(queries()["clean_orders"](spark, SF_SMALL))
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            # A dimension below the byte threshold, never what grows with the orders.
+            scan = next(x for x in lines[i:] if "FileScan" in x)
+            assert "lineitem.parquet" not in scan and "orders.parquet" not in scan
     assert sum("SortMergeJoin" in line for line in lines) == 2
 
 
+@pytest.mark.parametrize("name", ["table_diff", "table_row_counts", "stage_metrics", "quality_profile", "quality_verdict"])
+def test_the_feed_is_joined_once(spark, name):
+    # The feed is written once before; what is left reads that table.
+    assert "lineitem.parquet" not in _plan(queries()[name](spark, SF_SMALL))
+
+
+def test_log_lines_are_read_once(spark):
+    assert _plan(queries()["metrics_report"](spark, SF_SMALL)).count("events.parquet") == 1
+
+
 def test_metric_payloads_are_parsed_once(spark):
     df = queries()["extract_metrics"](spark, SF_SMALL)
     assert _plan(df).count("from_json(") == 1

@@ -46,18 +46,6 @@ def test_null_quantity_or_price_is_rejected_but_null_country_is_not(spark):
     assert [(r.order_id, r.country, r.order_date) for r in out] == [("O3", None, None)]
 
 
-def test_all_three_violations_in_order():
-    found = Q.violations(Q.QualityReport(100, 0, 0, 3), 0.05)
-    assert found == [
-        "all source rows were rejected",
-        "3 duplicate business keys survived cleansing",
-        "rejection rate 100.00% exceeds threshold 5.00%",
-    ]
-    with pytest.raises(Q.DataQualityError) as err:
-        Q.enforce(Q.QualityReport(100, 0, 0, 3), 0.05, True)
-    assert str(err.value) == "Data quality violations: " + "; ".join(found)
-
-
 def test_rate_is_rounded_for_output_only(spark):
     df = spark.createDataFrame([("a",)] * 3, "order_id string")
     one = spark.createDataFrame([("a",)], "order_id string")
@@ -79,4 +67,4 @@ def test_rejection_rate_rounds_like_python(spark, rejected, total):
     src = spark.createDataFrame([(f"k{i}",) for i in range(total)], "order_id string")
     res = spark.createDataFrame([(f"k{i}",) for i in range(total - rejected)], "order_id string")
     row = Q.profile(src, res).first()
-    assert row.rejection_rate == Q.QualityReport(total, total - rejected, 0, 0).as_dict()["rejection_rate"]
+    assert row.rejection_rate == round(rejected / total, 4)

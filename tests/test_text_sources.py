@@ -128,23 +128,39 @@ def test_metrics_long_and_wide(spark):
     m = T.extract_metrics(_log_df(spark))
     long = {(r.line_id, r.key): r.value for r in T.metrics_long(m).collect()}
     assert long[(2, "output_rows")] == "8"
-    wide = T.metrics_wide(m).orderBy("line_id")
+    keys = [r.key for r in T.metric_keys(m).collect()]
+    wide = T.metrics_wide(m, keys).orderBy("line_id")
     assert wide.columns == ["line_id", "input_rows", "output_rows", "rows", "stage"]
     assert [tuple(r) for r in wide.collect()] == [(2, "10", "8", "", "silver"), (5, "", "", "3", "gold")]
 
 
 def test_metrics_report(spark):
     lines = _log_df(spark)
-    row = T.metrics_report(lines, T.extract_metrics(lines)).first()
+    row = T.metrics_report(lines).first()
     assert (row.log_lines, row.metric_lines, row.metric_keys, row.note) == (7, 2, 4, None)
     empty = _log_df(spark, "nothing here\n")
-    row = T.metrics_report(empty, T.extract_metrics(empty)).first()
+    row = T.metrics_report(empty).first()
     assert (row.metric_lines, row.metric_keys) == (0, 0) and "No ETL_METRICS" in row.note
 
 
 def test_metrics_wide_empty(spark):
     m = T.extract_metrics(_log_df(spark, "nothing here\n"))
-    assert T.metrics_wide(m).columns == ["line_id"] and m.count() == 0
+    assert T.metric_keys(m).count() == 0 and T.metrics_wide(m, []).columns == ["line_id"] and m.count() == 0
+    with pytest.raises(ValueError):
+        T.metrics_wide(m, ["line_id"])
+
+
+def test_non_finite_metrics_are_kept(spark):
+    lines = ['ETL_METRICS {"a": NaN, "b": -Infinity, "c": Infinity, "d": "NaN, x", "e": [NaN]}', 'ETL_METRICS {"a": INF}', 'ETL_METRICS {"a": +Infinity}']
+    out = T.extract_metrics(spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "line_id long, line string")).collect()
+    assert [r.line_id for r in out] == [0]
+    assert {k: v for k, v in out[0].metrics.items() if k != "e"} == {"a": "NaN", "b": "-Infinity", "c": "Infinity", "d": "NaN, x"}
+
+
+def test_metrics_leave_the_session_alone(spark):
+    before = {r.key: r.value for r in spark.sql("SET").collect()}
+    T.extract_metrics(_log_df(spark)).count()
+    assert {r.key: r.value for r in spark.sql("SET").collect()} == before
 
 
 # ----------------------------------------------------------------------------- rule scans
@@ -315,5 +331,5 @@ def test_metrics_from_a_log_file_in_order(spark, tmp_path):
     metrics = T.extract_metrics(read_log_lines(spark, str(tmp_path)))
     stages = [r.metrics["stage"] for r in metrics.orderBy("source_file", "line_pos").collect()]
     assert stages == ["silver", "gold"]
-    wide = T.metrics_wide(metrics, id_cols=("source_file", "line_pos"))
+    wide = T.metrics_wide(metrics, [r.key for r in T.metric_keys(metrics).collect()], id_cols=("source_file", "line_pos"))
     assert wide.columns[2:] == ["input_rows", "output_rows", "rows", "stage"]
