@@ -88,4 +88,48 @@ QUERIES: dict[str, Query] = {
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"""
+SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+FROM {table}
+"""
+
+# DuckDB SQL where SQL can express the whole query and is quick enough; the
+# others are compared with brute force in tests/llm.
+ORACLES: dict[str, str] = {
+    "op1_decontamination": f"""
+WITH item AS ({_WORDS.format(key="CAST(item_id AS VARCHAR) AS item", table="benchmark")}),
+item_window AS (
+  SELECT item, k, array_to_string(words[i : i + k - 1], ' ') AS gram
+  FROM (SELECT item, words, k, unnest(range(1, len(words) - k + 2)) AS i
+        FROM (SELECT *, least(10, len(words)) AS k FROM item) a WHERE k > 0) b),
+doc AS ({_WORDS.format(key="doc_id", table="documents")}),
+hit AS (
+  SELECT doc_id, p, k, item
+  FROM (SELECT doc_id, k, p, array_to_string(words[p : p + k - 1], ' ') AS gram
+        FROM (SELECT doc_id, words, k, unnest(range(1, len(words) - k + 2)) AS p
+              FROM doc, (SELECT DISTINCT k FROM item_window) s WHERE len(words) >= k) c) d
+  JOIN item_window USING (k, gram)),
+marked AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(p, p + k)) AS place FROM hit) e GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, item FROM hit) f GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(marked.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+       sha256(coalesce(named.items, '')) AS items_sha256, coalesce(marked.n, 0) > 0 AS contaminated,
+       CASE WHEN len(words) = 0 THEN 0.0 ELSE coalesce(marked.n, 0) / len(words) END AS coverage
+FROM doc LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)
+""",
+    "op7_embedding_dedup": """
+WITH RECURSIVE vec AS (
+  SELECT vec_id, v FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) a
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND list_aggregate(list_transform(v, lambda x: abs(x)), 'max') > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vec a JOIN vec b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least_id, vec_id)) AS component_id,
+       vec_id <= coalesce(least_id, vec_id) AS kept
+FROM embeddings
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a) c USING (vec_id)
+LEFT JOIN (SELECT a AS vec_id, min(b) AS least_id FROM reach GROUP BY a) r USING (vec_id)
+""",
+}
