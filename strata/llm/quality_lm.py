@@ -22,9 +22,11 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -177,9 +179,12 @@ class Scorer:
         for lang, shard in pack or ():
             self.shards.setdefault(lang, np.zeros(1 << BITS, bool))[shard] = True
         self.tables: dict[tuple[str, int, str], tuple[np.ndarray, np.ndarray]] = {}
-        frame = rows.to_pandas().sort_values(["lang", "k", "kind", "key"])
-        for name, part in frame.groupby(["lang", "k", "kind"], sort=False):
-            self.tables[name] = (part["key"].to_numpy().astype(np.uint64), part["value"].to_numpy())
+        for name in product(pc.unique(rows["lang"]).to_pylist(), range(1, order + 1), "pg"):
+            same = [pc.equal(rows[column], value) for column, value in zip(("lang", "k", "kind"), name)]
+            part = rows.filter(pc.and_(pc.and_(same[0], same[1]), same[2]))
+            keys = part["key"].to_numpy().astype(np.uint64)
+            ascending = np.argsort(keys)
+            self.tables[name] = (keys[ascending], part["value"].to_numpy()[ascending])
 
     def _find(self, lang: str, k: int, kind: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         known, values = self.tables.get((lang, k, kind), (np.empty(0, np.uint64), np.empty(0)))

@@ -293,7 +293,7 @@ def _kneser_ney(texts, order):
     return logprob
 
 
-@pytest.mark.parametrize("pack_rows", [1_000_000, 40])
+@pytest.mark.parametrize("pack_rows", [1_000_000, 150])
 def test_perplexity_equals_the_definition(spark, pack_rows):
     rng = random.Random(3)
     word = lambda: rng.choice(["the", "cat", "sat", "on", "mat", "é", "a", "hat"])
