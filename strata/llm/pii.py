@@ -149,7 +149,7 @@ def _card(key: str, text: str) -> str:
 _NETWORKS = [ipaddress.ip_network(n) for n in ("10.0.0.0/8", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.168.0.0/16")]
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=20_000)
 def _ipv4(key: str, text: str) -> str:
     x = int(ipaddress.ip_address(".".join(str(int(p)) for p in text.split("."))))
     for net in _NETWORKS:
@@ -229,7 +229,7 @@ def entities(text: str) -> Iterator[tuple[str, int, int]]:
             yield kind, *m.span()
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=20_000)
 def _cached(key: str, kind: str, text: str) -> str:
     return surrogate(key, kind, text)
 

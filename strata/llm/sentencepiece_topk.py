@@ -25,6 +25,7 @@ import heapq
 import math
 import re
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 from functools import lru_cache
 from itertools import chain
 
@@ -39,7 +40,7 @@ from strata.llm.common import decode, map_batches, utf8
 K = 2
 ALPHA = 1.0
 SEED = 20
-CACHE = 600_000
+CACHE = 200_000
 _SPACE = "▁"
 # Spaces with the letters, or the other characters, that follow.
 _FIGURES = r"\d_\u00b2\u00b3\u00b9\u00bc-\u00be\u2070-\u209c\u2150-\u218b\u2460-\u249b"
@@ -47,7 +48,18 @@ _ATOM = re.compile(rf"{_SPACE}*[^\W{_FIGURES}]+|{_SPACE}*(?:[^\w{_SPACE}]|[{_FIG
 _SHORT = 64
 _ZIPF = 2.7
 _SCALE = 2.0
-_RECENT = 60_000
+_BUCKET_BITS = 20
+_FACTOR = 0x9E3779B97F4A7C15
+_MIX = 0xBF58476D1CE4E5B9
+_CELLS = 2_000_000
+_SLICE = 1_500_000
+
+
+def _hash(name: str) -> int:
+    h = 0
+    for c in name:
+        h = (h * _FACTOR + ord(c) + 1) % (1 << 64)
+    return (h ^ (h >> 29)) * _MIX % (1 << 64)
 
 
 class Pieces:
@@ -78,45 +90,27 @@ class Pieces:
         if len(self.byte_ids) < 256:
             raise ValueError("the model has no byte pieces")
 
-        # A tree of characters with weights e^logp, scaled by length so that
-        # products stay in range; 0 for what only begins a piece.
-        self.tree: dict[str, list] = {}
-        for piece, (_, lp) in self.table.items():
-            kids = self.tree
-            for c in piece:
-                node = kids.setdefault(c, [{}, 0.0])
-                kids = node[0]
-            node[1] = math.exp(lp + _SCALE * len(piece))
-
-    def masses(self, atom: str) -> tuple[list[float], list[float], list[int]]:
-        """At each position: the weight of all paths to the end and of the best one, and where that steps to."""
-        n = len(atom)
-        mass, best, to = [0.0] * n + [1.0], [0.0] * n + [1.0], [0] * n
-        tree = self.tree
-        for i in range(n - 1, -1, -1):
-            z = b = 0.0
-            at, j, kids = 0, i, tree
-            for c in atom[i:]:
-                node = kids.get(c)
-                if node is None:
-                    break
-                kids, w = node
-                j += 1
-                if w:
-                    z += w * mass[j]
-                    w *= best[j]
-                    if w > b:
-                        b, at = w, j
-            if atom[i] not in self.table:
-                w = self.byte_weight(atom[i])
-                z += w * mass[i + 1]
-                if w * best[i + 1] > b:
-                    b, at = w * best[i + 1], i + 1
-            mass[i], best[i], to[i] = z, b, at
-        return mass, best, to
-
-    def byte_weight(self, c: str) -> float:
-        return math.exp(self.byte_logp * len(c.encode("utf-8", "replace")) + _SCALE)
+        # Weights e^logp, scaled by length so that products stay in range,
+        # found by a hash of the characters: sorted hashes, and where each
+        # value of their upper bits begins.
+        names = sorted(self.table, key=_hash)
+        self.hashes = np.array([_hash(n) for n in names], np.uint64)
+        self.weights = np.array([math.exp(self.table[n][1] + _SCALE * len(n)) for n in names])
+        upper = (self.hashes >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
+        self.starts = np.searchsorted(upper, np.arange((1 << _BUCKET_BITS) + 1)).astype(np.int32)
+        self.deepest = int(np.diff(self.starts).max())
+        self.hashes = np.concatenate([self.hashes, np.zeros(self.deepest, np.uint64)])
+        self.weights = np.concatenate([self.weights, np.zeros(self.deepest)])
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The weight of the piece with each hash, 0 where there is none."""
+        at = self.starts[(hashes >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)]
+        out = np.zeros(len(hashes))
+        for _ in range(self.deepest):
+            hit = self.hashes[at] == hashes
+            out[hit] = self.weights[at[hit]]
+            at += 1
+        return out
 
     def spell(self, atom: str, cuts: Sequence[int]) -> tuple[int, ...]:
         """The ids of the path that steps to ``cuts``."""
@@ -128,59 +122,6 @@ class Pieces:
             i = j
         return tuple(ids)
 
-    def other(self, atom: str, solved: tuple[list[float], list[float], list[int]], uniform) -> tuple[tuple[int, ...], float] | None:
-        """A path that is not the best one, drawn by probability, and that probability's logarithm."""
-        mass, best, to = solved
-        n = len(atom)
-        rest = 1.0 - best[0] / mass[0]
-        if rest <= 1e-12:
-            return None
-        # Where it leaves the best path.
-        u, kept, i, cuts, weight = uniform() * rest, 1.0, 0, [], 1.0
-        while True:
-            j = to[i]
-            hit = self.table.get(atom[i:j])
-            w = math.exp(hit[1] + _SCALE * (j - i)) if hit else self.byte_weight(atom[i])
-            q = w * mass[j] / mass[i]
-            u -= kept * (1.0 - q)
-            if u < 0.0 and q < 1.0:
-                break
-            if j == n:
-                return None
-            kept *= q
-            weight *= w
-            cuts.append(j)
-            i = j
-        shun = to[i]
-        while i < n:
-            ends, weights, total = [], [], 0.0
-            j, kids = i, self.tree
-            for c in atom[i:]:
-                node = kids.get(c)
-                if node is None:
-                    break
-                kids, w = node
-                j += 1
-                if w and j != shun:
-                    ends.append(j)
-                    weights.append(w)
-                    total += w * mass[j]
-            if i + 1 != shun and atom[i] not in self.table:
-                ends.append(i + 1)
-                weights.append(self.byte_weight(atom[i]))
-                total += weights[-1] * mass[i + 1]
-            if not ends:
-                return None
-            u = uniform() * total
-            for j, w in zip(ends, weights):
-                u -= w * mass[j]
-                if u < 0.0:
-                    break
-            weight *= w
-            cuts.append(j)
-            i, shun = j, -1
-        return tuple(cuts), math.log(weight / mass[0])
-
     def edges(self, atom: str, i: int) -> list[tuple[int, tuple[int, ...], float]]:
         """``(end, ids, log probability)`` of each piece that starts at ``i``."""
         out = []
@@ -195,6 +136,101 @@ class Pieces:
         return out
 
 
+class Solved:
+    """The lattices of atoms of one length, as arrays.
+
+    ``weight[a, i, j]`` belongs to the piece from ``i`` to ``j + 1``; ``mass``
+    and ``best`` are the weights of all paths to the end and of the best
+    one; ``to`` is where the best one steps.
+    """
+
+    def __init__(self, pieces: Pieces, atoms: list[str]):
+        n = self.length = len(atoms[0])
+        codes = np.frombuffer("".join(atoms).encode("utf-32-le", "replace"), np.uint32).reshape(-1, n).astype(np.uint64)
+        rows = len(codes)
+        self.weight = np.zeros((rows, n, n))
+        for i in range(n):
+            h = np.zeros(rows, np.uint64)
+            for j in range(i, min(n, i + pieces.longest)):
+                h = h * np.uint64(_FACTOR) + codes[:, j] + np.uint64(1)
+                self.weight[:, i, j] = pieces.find((h ^ (h >> np.uint64(29))) * np.uint64(_MIX))
+            bare = np.flatnonzero(self.weight[:, i, i] == 0.0)
+            if len(bare):
+                c = codes[bare, i]
+                size = 1 + (c >= 0x80).astype(int) + (c >= 0x800) + (c >= 0x10000)
+                self.weight[bare, i, i] = np.exp(pieces.byte_logp * size + _SCALE)
+        self.mass, self.best = np.ones((rows, n + 1)), np.ones((rows, n + 1))
+        self.to = np.zeros((rows, n), np.int64)
+        for i in range(n - 1, -1, -1):
+            self.mass[:, i] = (self.weight[:, i, i:] * self.mass[:, i + 1 :]).sum(axis=1)
+            ways = self.weight[:, i, i:] * self.best[:, i + 1 :]
+            k = ways.argmax(axis=1)
+            self.best[:, i] = ways[np.arange(rows), k]
+            self.to[:, i] = i + 1 + k
+
+    def paths(self) -> list[tuple[int, ...]]:
+        """The best path of each atom, as the ends of its pieces."""
+        out = []
+        for to in self.to.tolist():
+            path, i = [], 0
+            while i < self.length:
+                i = to[i]
+                path.append(i)
+            out.append(tuple(path))
+        return out
+
+    def pick(self, rows: np.ndarray, u: np.ndarray) -> tuple[list[tuple[int, ...]], np.ndarray]:
+        """The path of each row whose interval holds ``u``, and its log probability.
+
+        At every position the best path's piece comes first, so that path
+        has the interval from 0 to its probability, and any path an interval
+        of its probability's length.
+        """
+        n, count = self.length, len(rows)
+        cuts = np.zeros((count, n + 1), bool)
+        logp = np.zeros(count)
+        live, at, u = np.arange(count), np.zeros(count, np.int64), u.copy()
+        while len(live):
+            a, i = rows[live], at[live]
+            q = self.weight[a, i] * self.mass[a, 1:] / self.mass[a, i][:, None]
+            k = np.arange(len(live))
+            ahead = self.to[a, i] - 1
+            first = q[k, ahead]
+            here = u[live]
+            leaves = here >= first
+            q[k, ahead] = 0.0
+            below = np.cumsum(q, axis=1)
+            step = np.where(leaves, (below > (here - first)[:, None]).argmax(axis=1), ahead)
+            # Beyond the last interval only by rounding: the last piece there is.
+            over = leaves & (below[:, -1] <= here - first)
+            if over.any():
+                last = n - 1 - (q[over][:, ::-1] > 0).argmax(axis=1)
+                step[over] = np.where(below[over, -1] > 0, last, ahead[over])
+            took_best = step == ahead
+            width = np.where(took_best, first, q[k, step])
+            start = np.where(took_best, 0.0, first + below[k, step] - q[k, step])
+            u[live] = np.clip((here - start) / width, 0.0, 1.0)
+            logp[live] += np.log(width)
+            cuts[live, step + 1] = True
+            at[live] = step + 1
+            live = live[step + 1 < n]
+        ends = [[] for _ in range(count)]
+        for row, end in zip(*(x.tolist() for x in np.nonzero(cuts))):
+            ends[row].append(end)
+        return [tuple(e) for e in ends], logp
+
+
+def by_length(atoms: list[str]) -> Iterator[list[int]]:
+    """The atoms' places, in groups of one length and bounded size."""
+    groups: dict[int, list[int]] = {}
+    for place, atom in enumerate(atoms):
+        groups.setdefault(len(atom), []).append(place)
+    for n, places in sorted(groups.items()):
+        size = max(1, _CELLS // (n * n))
+        for at in range(0, len(places), size):
+            yield places[at : at + size]
+
+
 class Lattice:
     """An atom's segmentations: at each position, the pieces with their conditional probabilities."""
 
@@ -261,138 +297,211 @@ class Lattice:
             depth += 1
         return tuple(path), logp
 
+    def pick(self, u: float) -> tuple[tuple[int, ...], float]:
+        """As ``Solved.pick``, for one long atom."""
+        i, cuts, logp, on_best = 0, [], 0.0, list(zip((0, *self.best), self.best))
+        ahead = dict(on_best)
+        while i < len(self.steps):
+            here = self.steps[i]
+            best = ahead.get(i, here[0][0])
+            order = sorted(here, key=lambda step: step[0] != best)
+            for j, _, q in order:
+                if u < q:
+                    break
+                u -= q
+            u = min(max(u / q, 0.0), 1.0)
+            logp += math.log(q)
+            cuts.append(j)
+            i = j
+        return tuple(cuts), logp
+
 
 class _Numbers(dict):
-    """Atom -> its number; new atoms are solved when they are first asked for."""
+    """Atom -> its number; atoms that are new are listed as they are first asked for."""
 
-    def __init__(self, pieces: Pieces):
-        self.pieces = pieces
-        self.ids: list[tuple[int, ...]] = []
-        self.logp = np.zeros(1024)
-        self.single = np.zeros(1024, bool)
-        self.recent: dict[str, tuple] = {}
+    def __init__(self):
+        self.new: list[str] = []
 
     def __missing__(self, atom: str) -> int:
-        n = len(self.ids)
-        if n == len(self.logp):
-            self.logp, self.single = np.resize(self.logp, 2 * n), np.resize(self.single, 2 * n)
-        if len(atom) > _SHORT:
-            lattice = Lattice(self.pieces, atom)
-            path, self.logp[n], self.single[n] = lattice.best, lattice.logp_best, lattice.ways == 1
-        else:
-            mass, best, to = self.recent[atom] = self.pieces.masses(atom)
-            path, i = [], 0
-            while i < len(atom):
-                i = to[i]
-                path.append(i)
-            self.logp[n], self.single[n] = math.log(best[0] / mass[0]), best[0] == mass[0]
-        self.ids.append(self.pieces.spell(atom, path))
-        self[atom] = n
-        return n
+        number = self[atom] = len(self)
+        self.new.append(atom)
+        return number
+
+
+@dataclass
+class _Text:
+    """One text's search: its atoms, what is known of them, samples found and sets still queued."""
+
+    atoms: list[str]
+    numbers: np.ndarray
+    best: np.ndarray
+    single: np.ndarray
+    rng: np.random.Generator
+    queue: list = field(default_factory=list)
+    found: list = field(default_factory=list)
+    serial: int = 0
 
 
 class Sampler:
-    """The worker's solved atoms, and the search over a text's chain of them."""
+    """The worker's solved atoms, and the search over texts as chains of them."""
 
     def __init__(self, pieces: Pieces, cache: int = CACHE):
         self.pieces, self.cache = pieces, cache
-        self.known = _Numbers(pieces)
-        self.lattices: dict[str, Lattice] = {}
-
-    def _lattice(self, atom: str) -> Lattice:
-        """The atom's lattice, kept until the text is done."""
-        if atom not in self.lattices:
-            self.lattices[atom] = Lattice(self.pieces, atom)
-        return self.lattices[atom]
-
-    def _other(self, atom: str) -> tuple[tuple[int, ...], float] | None:
-        if len(atom) > _SHORT:
-            lattice = self._lattice(atom)
-            return lattice.sample([lattice.best], self.uniform)
-        solved = self.known.recent.get(atom)
-        if solved is None:
-            solved = self.known.recent[atom] = self.pieces.masses(atom)
-        return self.pieces.other(atom, solved, self.uniform)
-
-    def topk(self, text: str, k: int, rng: np.random.Generator) -> list[tuple[list[int], float, float, float]]:
-        """At most ``k`` distinct segmentations: ids, log probability, perturbed value, inclusion probability."""
-        if len(self.known) > self.cache:
-            self.known = _Numbers(self.pieces)
-        known = self.known
-        atoms = _ATOM.findall(_SPACE + text.replace(" ", _SPACE)) if text else []
-        numbers = np.fromiter(map(known.__getitem__, atoms), np.int64, len(atoms))
-        best, single = known.logp[numbers], known.single[numbers]
-        size = len(atoms)
-        # A set: steps before `at` are fixed as in `base`, the paths in `without` are excluded at `at`.
-        queue: list[tuple[float, int, int, dict[int, tuple], list[tuple[int, ...]]]] = [(-float(rng.gumbel()), 0, 0, {}, [])]
-        serial, out = 1, []
-        uniform = self.uniform = rng.random
-        while queue and len(out) < k:
-            bound, _, at, base, without = heapq.heappop(queue)
-            value = -bound
-            # Other than the best path, by step: path and log probability.
-            chosen = {s: c for s, c in base.items() if s < at}
-            logps = best.copy()
-            for s, (_, lp) in chosen.items():
-                logps[s] = lp
-            free = at
-            if without:
-                drawn = self._lattice(atoms[at]).sample(without, uniform)
-                if drawn is None:  # nothing but rounding errors was left
-                    continue
-                chosen[at], logps[at] = drawn, drawn[1]
-                free = at + 1
-            odd = np.flatnonzero(uniform(size - free) >= np.exp(best[free:])) + free
-            for s in odd[~single[odd]].tolist():
-                drawn = self._other(atoms[s])
-                if drawn is not None:
-                    chosen[s], logps[s] = drawn, drawn[1]
-            total = float(logps.sum())
-            out.append((chosen, total, value))
-            # The sets that leave this segmentation at one step each.
-            rest = -np.expm1(logps[at:])
-            rest[single[at:]] = 0.0
-            if without:
-                lattice = self._lattice(atoms[at])
-                gone = sum(math.exp(lattice.path_logp(p)) for p in without)
-                rest[0] = rest[0] - gone if len(without) + 1 < lattice.ways else 0.0
-            steps = np.flatnonzero(rest > 1e-12)
-            if not len(steps):
+        self.forget()
+
+    def forget(self) -> None:
+        self.number = _Numbers()
+        self.ids: list[tuple[int, ...]] = []
+        self.logp = np.zeros(1 << 14)
+        self.single = np.zeros(1 << 14, bool)
+        self.solved: dict[str, tuple[Solved, int]] = {}
+
+    def _learn(self) -> None:
+        """Best paths of the new atoms, those of one length at a time."""
+        atoms, self.number.new = self.number.new, []
+        first, need = len(self.ids), len(self.ids) + len(atoms)
+        while need > len(self.logp):
+            self.logp, self.single = np.resize(self.logp, 2 * len(self.logp)), np.resize(self.single, 2 * len(self.single))
+        self.ids += [()] * len(atoms)
+        for places in by_length(atoms):
+            group = [atoms[p] for p in places]
+            if len(group[0]) > _SHORT:
+                for p, atom in zip(places, group):
+                    lattice = Lattice(self.pieces, atom)
+                    self.ids[first + p] = self.pieces.spell(atom, lattice.best)
+                    self.logp[first + p], self.single[first + p] = lattice.logp_best, lattice.ways == 1
                 continue
-            before = np.concatenate(([0.0], np.cumsum(logps)))[at + steps]
-            location = before + np.log(rest[steps])
-            noise = -np.log(np.maximum(uniform(len(steps)), 1e-300))
-            with np.errstate(over="ignore"):
-                maxima = location - np.log(np.exp(location - value) + noise)
-            want = k + 1 - len(out)
-            take = np.argpartition(-maxima, want - 1)[:want] if len(maxima) > want else np.arange(len(maxima))
-            for t in take.tolist():
-                s = at + int(steps[t])
-                path = chosen[s][0] if s in chosen else self._lattice(atoms[s]).best
-                heapq.heappush(queue, (-float(maxima[t]), serial, s, chosen, [*without, path] if s == at else [path]))
-                serial += 1
-        threshold = -queue[0][0] if queue else -math.inf
-        result = []
-        for chosen, total, value in out:
-            ids = list(map(known.ids.__getitem__, numbers.tolist()))
-            for s, (path, _) in chosen.items():
-                ids[s] = self.pieces.spell(atoms[s], path)
-            inclusion = 1.0 if threshold == -math.inf else -math.expm1(-math.exp(min(total - threshold, 700.0)))
-            result.append((list(chain.from_iterable(ids)), total, value, inclusion))
-        self.lattices.clear()
-        if len(known.recent) > _RECENT:
-            known.recent.clear()
-        if max(map(len, atoms), default=0) > _SHORT:  # not worth their memory once the text is done
-            self.known = _Numbers(self.pieces)
-        return result
-
-    @staticmethod
-    def _path_logp(lattice: Lattice, path: tuple[int, ...]) -> float:
-        i, total = 0, 0.0
-        for e in path:
-            i, _, q = lattice.steps[i][e]
-            total += math.log(q)
-        return total
+            solved = self._keep(group)
+            at = first + np.array(places)
+            self.logp[at] = np.log(solved.best[:, 0] / solved.mass[:, 0])
+            self.single[at] = solved.best[:, 0] == solved.mass[:, 0]
+            for p, atom, path in zip(places, group, solved.paths()):
+                self.ids[first + p] = self.pieces.spell(atom, path)
+
+    def _pick(self, atoms: list[str], u: np.ndarray) -> list[tuple[tuple[int, ...], float]]:
+        """The path that each atom's ``u`` points to, and its log probability."""
+        out: list = [None] * len(atoms)
+        unknown = [a for a in dict.fromkeys(atoms) if a not in self.solved and len(a) <= _SHORT]
+        for places in by_length(unknown):
+            self._keep([unknown[p] for p in places])
+        together: dict[int, list[int]] = {}
+        for p, atom in enumerate(atoms):
+            if len(atom) > _SHORT:
+                out[p] = Lattice(self.pieces, atom).pick(float(u[p]))
+            else:
+                together.setdefault(id(self.solved[atom][0]), []).append(p)
+        for places in together.values():
+            rows = np.array([self.solved[atoms[p]][1] for p in places])
+            paths, logp = self.solved[atoms[places[0]]][0].pick(rows, u[places])
+            for p, path, lp in zip(places, paths, logp.tolist()):
+                out[p] = (path, lp)
+        return out
+
+    def _keep(self, group: list[str]) -> Solved:
+        """Solves atoms of one length and keeps their lattices until the batch is done."""
+        solved = Solved(self.pieces, group)
+        self.solved.update((atom, (solved, row)) for row, atom in enumerate(group))
+        return solved
+
+    def topk(self, texts: list[str], k: int, rngs: list[np.random.Generator]) -> list[list[tuple[list[int], float, float, float]]]:
+        """For each text at most ``k`` distinct segmentations: ids, log probability, perturbed value, inclusion probability."""
+        if len(self.number) > self.cache:
+            self.forget()
+        chains = [_ATOM.findall(_SPACE + t.replace(" ", _SPACE)) if t else [] for t in texts]
+        chained = [np.fromiter(map(self.number.__getitem__, atoms), np.int64, len(atoms)) for atoms in chains]
+        longest = max(map(len, self.number.new), default=0)
+        self._learn()
+        states = []
+        for atoms, numbers, rng in zip(chains, chained, rngs):
+            state = _Text(atoms, numbers, self.logp[numbers], self.single[numbers], rng)
+            # A set: steps before `at` are fixed as in `base`, the paths in `without` are excluded at `at`.
+            state.queue.append((-float(rng.gumbel()), 0, 0, {}, ()))
+            states.append(state)
+        for _ in range(k):
+            self._round(states, k)
+        out = []
+        for s in states:
+            threshold = -s.queue[0][0] if s.queue else -math.inf
+            plain = list(map(self.ids.__getitem__, s.numbers.tolist()))
+            rows = []
+            for chosen, total, value in s.found:
+                ids = plain.copy()
+                for step, (path, _) in chosen.items():
+                    ids[step] = self.pieces.spell(s.atoms[step], path)
+                inclusion = 1.0 if threshold == -math.inf else -math.expm1(-math.exp(min(total - threshold, 700.0)))
+                rows.append((list(chain.from_iterable(ids)), total, value, inclusion))
+            out.append(rows)
+        self.solved = {}
+        if longest > _SHORT:  # not worth the memory
+            self.forget()
+        return out
+
+    def _round(self, states: list[_Text], k: int) -> None:
+        """The next sample of every text that has one left."""
+        work, atoms, uniforms = [], [], []
+        for s in states:
+            while s.queue:
+                bound, _, at, base, without = heapq.heappop(s.queue)
+                chosen = {step: c for step, c in base.items() if step < at}
+                excluded, free, lattice = [], at, None
+                if without:
+                    lattice = Lattice(self.pieces, s.atoms[at])
+                    excluded = [lattice.best if p is None else p for p in without]
+                    drawn = lattice.sample(excluded, s.rng.random)
+                    if drawn is None:  # nothing but rounding errors was left
+                        continue
+                    chosen[at], free = drawn, at + 1
+                u = s.rng.random(len(s.atoms) - free)
+                odd = np.flatnonzero((u >= np.exp(s.best[free:])) & ~s.single[free:])
+                steps = (odd + free).tolist()
+                work.append((s, -bound, at, chosen, excluded, lattice, steps))
+                atoms += [s.atoms[step] for step in steps]
+                uniforms.append(u[odd])
+                break
+        picked = iter(self._pick(atoms, np.concatenate(uniforms)) if atoms else [])
+        for s, value, at, chosen, excluded, lattice, steps in work:
+            chosen.update(zip(steps, picked))
+            self._split(s, k, value, at, chosen, excluded, lattice)
+
+    def _split(self, s: _Text, k: int, value: float, at: int, chosen: dict, excluded: list, lattice: Lattice | None) -> None:
+        """Records a sample and queues the sets that leave it at one step each."""
+        logps = s.best.copy()
+        for step, (_, lp) in chosen.items():
+            logps[step] = lp
+        total = float(logps.sum())
+        s.found.append((chosen, total, value))
+        rest = -np.expm1(logps[at:])
+        rest[s.single[at:]] = 0.0
+        if excluded:
+            gone = sum(math.exp(lattice.path_logp(p)) for p in excluded)
+            rest[0] = rest[0] - gone if len(excluded) + 1 < lattice.ways else 0.0
+        steps = np.flatnonzero(rest > 1e-12)
+        if not len(steps):
+            return
+        before = np.concatenate(([0.0], np.cumsum(logps)))[at + steps]
+        location = before + np.log(rest[steps])
+        noise = -np.log(np.maximum(s.rng.random(len(steps)), 1e-300))
+        with np.errstate(over="ignore"):
+            maxima = location - np.log(np.exp(location - value) + noise)
+        want = k + 1 - len(s.found)
+        take = np.argpartition(-maxima, want - 1)[:want] if len(maxima) > want else np.arange(len(maxima))
+        for t in take.tolist():
+            step = at + int(steps[t])
+            path = chosen[step][0] if step in chosen else None  # None: the best one
+            s.serial += 1
+            heapq.heappush(s.queue, (-float(maxima[t]), s.serial, step, chosen, (*excluded, path) if step == at else (path,)))
+
+
+def slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Runs of texts that are solved together: ``_SLICE`` bytes and 500 texts at most, or one text."""
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if i > start and (i - start == 500 or held + size > _SLICE):
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 @lru_cache(maxsize=1)
@@ -435,14 +544,21 @@ def sample_segmentations(
     kind = src.schema[key].dataType.simpleString()
     fields = [("ids", pa.list_(pa.int32())), ("logp", pa.float64()), ("perturbed", pa.float64()), ("inclusion", pa.float64())]
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = _sampler(model_file, alpha)
+        try:
+            for batch in batches:
+                yield from sample(sampler, batch)
+        finally:  # the worker lives on with other work
+            sampler.forget()
+
+    def sample(sampler: Sampler, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         seeds, texts = batch["seed"].to_pylist(), batch["text"].to_pylist()
-        for at in range(0, len(texts), 500):
+        for at, end in slices([len(t) for t in texts]):
             sizes, columns = [], ([], [], [], [])
-            for name, text in zip(seeds[at : at + 500], texts[at : at + 500]):
-                rng = np.random.Generator(np.random.Philox(key=[xxhash.xxh3_64_intdigest(name.encode(), seed), 0]))
-                samples = sampler.topk(decode(text), k, rng)
+            part = [decode(t) for t in texts[at:end]]
+            rngs = [np.random.Generator(np.random.Philox(key=[xxhash.xxh3_64_intdigest(name.encode(), seed), 0])) for name in seeds[at:end]]
+            for samples in sampler.topk(part, k, rngs):
                 sizes.append(len(samples))
                 for row in samples:
                     for column, value in zip(columns, row):
@@ -452,9 +568,9 @@ def sample_segmentations(
             ids = pa.ListArray.from_arrays(pa.array(lengths), flat)
             structs = pa.StructArray.from_arrays([ids, *(pa.array(c, pa.float64()) for c in columns[1:])], [n for n, _ in fields])
             offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch[key].slice(at, 500), pa.ListArray.from_arrays(offsets, structs)], [key, "samples"])
+            yield pa.RecordBatch.from_arrays([batch[key].slice(at, end - at), pa.ListArray.from_arrays(offsets, structs)], [key, "samples"])
 
-    out = map_batches(src, run, f"{key} {kind}, samples array<{SAMPLE}>")
+    out = src.mapInArrow(run, f"{key} {kind}, samples array<{SAMPLE}>")
     return out.withColumnRenamed(key, id_col)
 
 

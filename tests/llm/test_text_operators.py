@@ -245,7 +245,7 @@ def test_samples_follow_the_distribution_without_replacement(pieces, text):
     sampler, runs = sentencepiece_topk.Sampler(pieces), 3000
     first, second, weight = collections.Counter(), collections.Counter(), 0.0
     for n in range(runs):
-        got = sampler.topk(text, 3, np.random.Generator(np.random.Philox(key=[n, 1])))
+        got = sampler.topk([text], 3, [np.random.Generator(np.random.Philox(key=[n, 1]))])[0]
         ids = [tuple(g[0]) for g in got]
         assert len(set(ids)) == len(ids) == min(3, len(every))
         assert all(abs(every[i] - g[1]) < 1e-9 for i, g in zip(ids, got))
@@ -262,7 +262,7 @@ def test_samples_follow_the_distribution_without_replacement(pieces, text):
 
 def test_all_segmentations_of_a_small_lattice_are_found(pieces):
     every = _all_paths(pieces, "the")
-    got = sentencepiece_topk.Sampler(pieces).topk("the", 50, np.random.default_rng(3))
+    got = sentencepiece_topk.Sampler(pieces).topk(["the"], 50, [np.random.default_rng(3)])[0]
     assert {tuple(g[0]) for g in got} == set(every) and all(g[3] == 1.0 for g in got)
 
 
