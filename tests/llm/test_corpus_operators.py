@@ -342,6 +342,34 @@ def test_quality_accuracy_on_held_out_labels(spark):
     assert len(junk) >= 4 and sum(junk) / len(junk) <= 0.5
 
 
+def test_quality_rejects_junk_and_foreign_words(spark):
+    """Kept shares of clean, junk and toxic documents without a label in training, by language."""
+    sf = SF_SMALL.replace("sf0.001", "sf0.1")
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    held = {r.doc_id: r for r in labels.where("pmod(hash(doc_id), 4) = 1").collect()}
+    kept = collections.defaultdict(list)
+    for r in quality_lm.quality_scores(docs, labels.where("pmod(hash(doc_id), 4) <> 1")).where("n_chars > 0").collect():
+        if r.doc_id in held:
+            kept[r.lang, held[r.doc_id].quality, held[r.doc_id].toxic].append(r.accepted)
+    share = {key: sum(x) / len(x) for key, x in kept.items()}
+    assert all(share[lang, 1, 0] >= 0.95 for lang in ("en", "de", "es", "fr")), share
+    # Only English has the documents that its stretches' limits need, and foreign words in its toxic ones.
+    assert share["en", 0, 0] <= 0.1 and share["en", 1, 1] <= 0.2, share
+
+
+def test_stretches_follow_their_definition():
+    text = ("ab cd\u3000" + "x" * 70 + " " + "yz " * 60).encode()
+    points, cost = quality_lm._points(text), np.random.default_rng(1).uniform(0.1, 9, len(text.decode()))
+    words, at = [], 0
+    for k in range(1, len(points) + 1):
+        if k == len(points) or chr(points[k]).isspace() or k - at == quality_lm.WORD:
+            words.append(cost[at:k].sum() / (k - at + 2))
+            at = k
+    windows = [cost[k : k + quality_lm.WINDOW].mean() for k in range(len(cost) - quality_lm.WINDOW + 1)]
+    assert quality_lm.stretches(points, cost) == pytest.approx((max(words), max(windows), -min(windows)))
+    assert quality_lm.stretches(points[:9], cost[:9])[1:] == (None, None)
+
+
 # --------------------------------------------------------------------------- chat
 
 
