@@ -187,13 +187,13 @@ def links(classes: DataFrame, radius: int = RADIUS, tile: int = TILE, hot_group:
 
 
 def _members(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, tile: int, hot_group: int) -> DataFrame:
-    """``(id, text_hash, fp, component_id)`` for every row."""
+    """``(id, text_hash, fp, root, component_id)`` for every row."""
     fps = scratch(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     classes = scratch(fps.groupBy("fp").agg(F.min("id").alias("least")), "classes")
     joined = connected_components(links(classes.select("fp"), radius, tile, hot_group)).withColumnRenamed("node", "fp")
     rooted = scratch(classes.join(joined, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return fps.join(rooted.join(named, "root").select("fp", "component_id"), "fp")
+    return fps.join(rooted.join(named, "root").select("fp", "root", "component_id"), "fp")
 
 
 def simhash_components(
@@ -234,10 +234,13 @@ def keep_one(
 ) -> DataFrame:
     """``docs`` with one row of each SimHash component, all columns as they are.
 
-    The row that stays is one with the component's smallest id; of several
-    such rows (an id that is repeated inside a component) any one stays.
+    The row that stays has the component's smallest id, and of several texts
+    with it (an id that is repeated inside a component) the one with the
+    smallest hash; of equal rows any one stays. An id that is repeated in
+    different components stays in each, as does a null id where a component
+    has no other.
     """
     kept = _members(docs, id_col, text_col, shingle, radius, tile, hot_group).where(F.col("id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("component_id").alias("strata_id"), F.col("text_hash").alias("strata_hash")).distinct()
+    kept = kept.groupBy(F.col("root").alias("strata_root")).agg(F.first("id").alias("strata_id"), F.min("text_hash").alias("strata_hash"))
     same = F.col(id_col).eqNullSafe(F.col("strata_id")) & (F.xxhash64(text_col) == F.col("strata_hash"))
-    return docs.join(kept, same, "left_semi").dropDuplicates([id_col])
+    return docs.join(kept, same).dropDuplicates(["strata_root"]).drop("strata_root", "strata_id", "strata_hash")

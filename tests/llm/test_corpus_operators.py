@@ -122,6 +122,14 @@ def test_simhash_of_repeated_and_null_ids(spark):
     assert simhash.simhash_components(df.limit(0)).collect() == [] and simhash.keep_one(df.limit(0)).collect() == []
 
 
+def test_keep_one_keeps_a_row_of_every_component(spark):
+    rows = [(7, "z", 0), (7, "quite another text", 1), (7, "quite another text", 2), (8, "quite another text", 3), (None, "lone words stand here", 4), (None, "and others over there", 5), (None, "z", 6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, n int")
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == [(-1, "and others over there"), (-1, "lone words stand here"), (7, "quite another text"), (7, "z")]
+
+
 # --------------------------------------------------------------------------- embeddings
 
 
