@@ -129,12 +129,10 @@ def _alphabets(texts: DataFrame) -> dict[str, Alphabet]:
 
     counts = texts.select("lang", "text").mapInArrow(count, "lang string, point int, n bigint").groupBy("lang", "point").agg(F.sum("n").alias("n"))
     found: dict[str, list[int]] = {}
-    top = counts.groupBy("point").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "point").limit((1 << BITS) - 2)
-    shared = [r["point"] for r in top.collect()]
     # At most one row for each language and character.
     for r in counts.orderBy("lang", F.desc("n"), "point").collect():
         found.setdefault(r["lang"], []).append(r["point"])
-    return {lang: Alphabet(shared) for lang in found}
+    return {lang: Alphabet(points) for lang, points in found.items()}
 
 
 def _counts(texts: DataFrame, alphabets: dict[str, Alphabet], order: int) -> DataFrame:

@@ -378,6 +378,26 @@ def test_stretches_follow_their_definition():
     assert quality_lm.stretches(points[:9], cost[:9])[1:] == (None, None)
 
 
+def test_alphabets_lose_no_character(spark):
+    wide = quality_lm.Alphabet([*range(0x4E00, 0x4E00 + 6000), 0x61, 0x10FFFF])
+    points = np.array([0x61, 0x10FFFF, *range(0x4E00, 0x4E00 + 6000), 0x62, 0x4E00], np.uint32)
+    symbols, starts = wide.symbols(points)
+    parts = [tuple(x.tolist()) for x in np.split(symbols, starts[1:])]
+    assert len(set(parts[:6002])) == 6002 and parts[6002] == (0,) and parts[6003] == parts[2] and symbols.max() < 1 << quality_lm.BITS
+    assert all(0 not in x and 1 not in x for x in parts[:6002]) and {len(x) for x in parts[:6002]} == {1, 2}
+    # A large language beside it changes nothing for a small one.
+    rng = random.Random(6)
+    small = [(i, "".join(rng.choice("ωψχφυ ") for _ in range(60)), "el") for i in range(12)]
+    large = [(100 + i, "".join(chr(0x4E00 + (700 * i + k) % 5000) for k in range(1400)), "zh") for i in range(8)]
+    got = []
+    for rows in (small, small + large):
+        labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in rows], "doc_id bigint, quality int, toxic int")
+        scores = quality_lm.quality_scores(spark.createDataFrame(rows, DOCS), labels, pack_rows=2_000).collect()
+        got.append({r.doc_id: r.perplexity for r in scores if r.lang == "el"})
+        assert all(r.perplexity > 1 for r in scores)
+    assert got[0] == pytest.approx(got[1])
+
+
 # --------------------------------------------------------------------------- chat
 
 
