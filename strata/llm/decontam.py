@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator, Sequence
-from functools import lru_cache
+from functools import lru_cache, partial, reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -209,13 +209,13 @@ def _automaton(names: tuple[str, ...], texts: tuple[bytes, ...], width: int) ->
     return SuffixAutomaton([(n, t.split()) for n, t in zip(names, texts)], width)
 
 
-def _scanned(docs: DataFrame, text_col: str, benchmark: DataFrame, item_id: str, item_text: str, width: int, shard_bytes: int, finish, schema: str) -> DataFrame:
+def _scanned(docs: DataFrame, text_col: str, packed_items: DataFrame, width: int, finish, schema: str) -> DataFrame:
     """``finish(batch, texts, marks, items, automaton)`` after every shard has been scanned."""
     marks_col, items_col = free_name(docs, "marks"), free_name(docs, "items")
     spark = docs.sparkSession
     state = docs.withColumn(marks_col, F.lit(None).cast("binary")).withColumn(items_col, F.array().cast("array<string>"))
     carried = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in state.schema.fields)
-    shards = _shards(benchmark, item_id, item_text, width, shard_bytes).toLocalIterator()
+    shards = packed_items.toLocalIterator()
     shard = next(shards, None)
     while True:
         after = next(shards, None)
@@ -293,7 +293,7 @@ def find_contamination(
         f"{key} {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, "
         "coverage double, spans array<struct<start: int, end: int>>"
     )
-    out = _scanned(src, "text", benchmark, item_id, item_text, width, shard_bytes, finish, schema)
+    out = _scanned(src, "text", _shards(benchmark, item_id, item_text, width, shard_bytes), width, finish, schema)
     return out.withColumnRenamed(key, id_col)
 
 
@@ -310,23 +310,26 @@ def remove_contamination(
     """``docs`` without benchmark passages; all columns are kept as they are but the text.
 
     Marked runs are cut out of the text, again and again until no window is
-    left (a cut may join two halves of another window). A document of which
+    left (a cut may join two halves of another window); with more than one
+    shard, what was cut goes over all shards again. A document of which
     more than ``max_coverage`` is marked goes whole. Untouched texts are
     returned byte for byte, nulls included.
     """
-    columns = docs.columns
+    columns, cut_col = docs.columns, free_name(docs, "cut")
+    shards = _shards(benchmark, item_id, item_text, width, shard_bytes)
+    alone = shards.limit(2).count() < 2
 
-    def finish(batch, texts, marks, items, automaton) -> Iterator[pa.RecordBatch]:
+    def finish(batch, texts, marks, items, automaton, first=True) -> Iterator[pa.RecordBatch]:
         keep, changed = [], {}
         for k, (text, m) in enumerate(zip(texts, marks)):
-            if m and sum(m) > max_coverage * len(m):
+            if first and m and sum(m) > max_coverage * len(m):
                 keep.append(False)
                 continue
             keep.append(True)
             while m:
                 text = cut(text, spans_of(text, m))
                 changed[k] = text
-                m = automaton.scan(words_of(text))[0]
+                m = automaton.scan(words_of(text))[0] if alone else None
         arrays = [batch[c] for c in columns]
         if changed:
             at = columns.index(text_col)
@@ -334,7 +337,18 @@ def remove_contamination(
             for k, text in changed.items():
                 whole[k] = text.decode("utf-8", errors="replace")
             arrays[at] = pa.array(whole, arrays[at].type)
-        yield pa.RecordBatch.from_arrays(arrays, columns).filter(pa.array(keep, pa.bool_()))
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return _scanned(docs, text_col, benchmark, item_id, item_text, width, shard_bytes, finish, schema)
+        arrays.append(pa.array([k in changed for k in range(len(keep))], pa.bool_()))
+        yield pa.RecordBatch.from_arrays(arrays, [*columns, cut_col]).filter(pa.array(keep, pa.bool_()))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", `{cut_col}` boolean"
+    out = _scanned(docs, text_col, shards, width, finish, schema)
+    if alone:
+        return out.drop(cut_col)
+    parts = []
+    while True:
+        out = scratch(out, "decontam")
+        parts.append(out.where(~F.col(cut_col)).drop(cut_col))
+        rest = out.where(F.col(cut_col)).drop(cut_col)
+        if not rest.take(1):
+            return reduce(DataFrame.unionByName, parts)
+        out = _scanned(rest, text_col, shards, width, partial(finish, first=False), schema)

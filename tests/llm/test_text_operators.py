@@ -87,6 +87,16 @@ def test_removal_leaves_no_window_and_keeps_clean_texts(spark, shard):
         assert all(hit == 0 for _, hit, _ in _contamination(list(got.values()), [(1, item), (2, other)], 10))
 
 
+def test_removal_goes_over_all_shards_again(spark):
+    """Cutting one item joins a window of another, which may lie in any other shard."""
+    items = [(i, f"p{i} q{i} r{i} s{i}") for i in range(12)]
+    texts = [f"one two three four p{a} q{a} p{b} q{b} p{c} q{c} r{c} s{c} r{b} s{b} r{a} s{a} five six seven eight nine ten eleven twelve thirteen" for a, b, c in zip(range(12), [*range(1, 12), 0], [*range(2, 12), 0, 1])]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    for shard in (1 << 20, 20):
+        left = decontam.remove_contamination(docs_of(spark, texts), bench, width=4, shard_bytes=shard).collect()
+        assert len(left) == 12 and {tuple(r.text.split()) for r in left} == {tuple("one two three four five six seven eight nine ten eleven twelve thirteen".split())}
+
+
 def test_decontamination_of_empty_tables(spark):
     none, bench = docs_of(spark, []), spark.createDataFrame([], "item_id bigint, text string")
     assert decontam.find_contamination(none, bench).collect() == []
