@@ -15,12 +15,15 @@ from strata.llm.chat import format_chats
 from strata.llm.common import table
 from strata.llm.decontam import find_contamination
 from strata.llm.embedding_dedup import embedding_components
+from strata.llm.periodic_runs import find_runs, with_cycles
 from strata.llm.pii import replace_pii
 from strata.llm.quality_lm import quality_scores
 from strata.llm.sentencepiece_topk import sample_segmentations
 from strata.llm.simhash import simhash_components
 from strata.llm.suffix_dedup import remove_repeats
+from strata.llm.token_alignment import align_tokens, link_counts
 from strata.llm.token_counts import token_counts
+from strata.llm.url_filter import url_verdicts
 from strata.llm.warc import derivatives, response_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +78,36 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizers = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    aligned = align_tokens(table(spark, sf_dir, "documents"), *tokenizers)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return link_counts(aligned.withColumn("groups_sha256", digest).drop("groups"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(with_cycles(table(spark, sf_dir, "documents")))
+    first = F.get("runs", F.lit(0))
+    # Runs are sorted by start, then period, so the first of equals stays.
+    best = F.aggregate("runs", first, lambda best, run: F.when(run["length"] * best["period"] > best["length"] * run["period"], run).otherwise(best))
+    found = found.withColumn("best", best)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
@@ -86,6 +119,9 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_url_filter": op13_url_filter,
 }
 
 _WORDS = r"""
