@@ -16,8 +16,8 @@ a shuffle join, in which no key is hot, because a pair outside the frequent
 ones is in no more documents than the rarest of those.
 
 Bounds: ``CHUNK`` characters of text at a time (a longer document alone);
-the memo of windows starts anew when it is full; windows longer than
-``MEMO_TOKENS`` tokens are solved each time. The broadcast
+the memo of windows starts anew when it is full; windows of more than
+``KEY / 4`` tokens on a side are aligned each time. The broadcast
 holds ``FREQUENT`` pairs of ids with their counts at any size of the corpus.
 """
 
@@ -31,6 +31,7 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, Window
@@ -38,9 +39,9 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import free_name, map_batches, scratch, utf8
 
-CHUNK = 4 << 20
-MEMO_WINDOWS = 200_000
-MEMO_TOKENS = 64
+CHUNK = 2 << 20
+MEMO_WINDOWS = 150_000
+KEY = 32
 FREQUENT = 1 << 19
 
 # Scripts whose letters, digits and spaces have long been settled, so that two
@@ -86,9 +87,9 @@ class Tokens:
         self.space_a = np.array([t[:1] == b" " for t in bytes_a])
         self.space_b = np.array([p[:1] == "▁" for p in pieces])
         # Decimal ids as they stand in groups: the first of a side, and those after it.
-        self.names = [*map(str, range(len(bytes_a))), *("," + str(i) for i in range(len(bytes_a)))]
-        self.names_b = len(self.names)
-        self.names += [*("|" + str(i) for i in range(len(pieces))), *("," + str(i) for i in range(len(pieces)))]
+        marks = (("", bytes_a), (",", bytes_a), ("|", bytes_b), (",", bytes_b))
+        self.names = pa.array([mark + str(i) for mark, side in marks for i in range(len(side))], pa.string())
+        self.names_b = 2 * len(bytes_a)
         self._ranks = self._by_rank(path_a, bytes_a)
 
     def _by_rank(self, path_a: str, bytes_a: list[bytes]) -> tiktoken.Encoding | None:
@@ -139,68 +140,54 @@ def shared_ends(a: np.ndarray, b: np.ndarray, tokens: Tokens) -> tuple[np.ndarra
 
 
 class Windows:
-    """Aligned windows, memoised by their two id tuples and numbered in the order they were met."""
+    """Aligned windows, memoised by their two id tuples and numbered in the order they were met.
+
+    The memo is columnar: a key of ``KEY`` bytes holds up to eight ids of
+    each side (plus one, so that an absent id is 0), and equal keys are equal
+    id tuples. Longer windows are aligned each time they occur.
+    """
 
     def __init__(self, tokens: Tokens):
         self.tokens = tokens
+        self.packs = max(len(tokens.size_a), len(tokens.size_b)) < 1 << 16
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[tuple[bytes, bytes], int] = {}
-        self.text: list[str] = []
+        self.keys = pa.array([], pa.binary(KEY))
+        self.texts = pa.array([], pa.string())
         self.groups, self.links, self.pairs = (np.zeros(0, np.int64) for _ in range(3))
 
     def full(self) -> bool:
-        return len(self.text) > MEMO_WINDOWS or len(self.pairs) > 10 * MEMO_WINDOWS
+        return len(self.texts) > MEMO_WINDOWS or len(self.pairs) > 10 * MEMO_WINDOWS
 
     def numbers(self, a: np.ndarray, b: np.ndarray, from_a: np.ndarray, to_a: np.ndarray, from_b: np.ndarray, to_b: np.ndarray) -> np.ndarray:
         """The number of each window ``a[from_a:to_a]``, ``b[from_b:to_b]``; new ones are aligned."""
         size_a, size_b = to_a - from_a, to_b - from_b
-        out = np.empty(len(from_a), np.int64)
-        # Up to four ids a side are packed into one integer a side (an absent
-        # id is 0), so equal integers are equal id tuples.
-        short = (size_a <= 4) & (size_b <= 4) & (len(self.tokens.size_a) < 1 << 16) & (len(self.tokens.size_b) < 1 << 16)
-        packed = []
-        for ids, begin, size in ((a, from_a, size_a), (b, from_b, size_b)):
-            side = np.zeros(int(short.sum()), np.uint64)
-            for k in range(4):
-                there = size[short] > k
-                side[there] |= (ids[begin[short][there] + k].astype(np.uint64) + np.uint64(1)) << np.uint64(16 * k)
-            packed.append(side)
-        order = np.lexsort(packed)
-        left, right = packed[0][order], packed[1][order]
-        new = np.concatenate([[True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])])[: len(order)]
-        same = np.empty(len(order), np.int64)
-        same[order] = np.cumsum(new) - 1
-        few = np.flatnonzero(short)[order[new]]  # one window of each short kind
+        short = (size_a <= KEY // 4) & (size_b <= KEY // 4) & self.packs
+        packed = np.zeros((int(short.sum()), KEY // 2), np.uint16)
+        for half, ids, begin, size in ((0, a, from_a[short], size_a[short]), (KEY // 4, b, from_b[short], size_b[short])):
+            for k in range(KEY // 4):
+                there = np.flatnonzero(size > k)
+                packed[there, half + k] = ids[begin[there] + k] + 1
+        kinds = pa.Array.from_buffers(pa.binary(KEY), len(packed), [None, pa.py_buffer(packed.tobytes())]).dictionary_encode()
+        same = kinds.indices.to_numpy(zero_copy_only=False)
+        number = pc.index_in(kinds.dictionary, value_set=self.keys).to_numpy(zero_copy_only=False).astype(np.float64)
+        new = np.flatnonzero(np.isnan(number))
+        number[new] = len(self.texts) + np.arange(len(new))
+        # The aligned ones: the first window of each new kind, then all long ones.
+        first = np.empty(len(kinds.dictionary), np.int64)
+        first[same[::-1]] = np.flatnonzero(short)[::-1]
         long = np.flatnonzero(~short)
-
-        raw_a, raw_b = a.tobytes(), b.tobytes()
-        missing: dict[tuple[bytes, bytes], int] = {}  # by key, its place among the new ones
-        chosen: list[int] = []
-        found = []
-        asked = np.concatenate([few, long])
-        for w, s, e, t, u in zip(asked.tolist(), *((4 * x[asked]).tolist() for x in (from_a, to_a, from_b, to_b))):
-            key = (raw_a[s:e], raw_b[t:u])
-            k = self.number.get(key)
-            if k is None:
-                k = missing.get(key)
-                if k is None:
-                    k = missing[key] = len(self.text) + len(chosen)
-                    chosen.append(w)
-            found.append(k)
-        found = np.array(found, np.int64)
-        out[short] = found[: len(few)][same]
-        out[long] = found[len(few) :]
-        at = np.array(chosen, np.int64)
+        at = np.concatenate([first[new], long])
+        out = np.empty(len(from_a), np.int64)
+        out[short] = number.astype(np.int64)[same]
+        out[long] = len(self.texts) + len(new) + np.arange(len(long))
+        self.keys = pa.concat_arrays([self.keys, kinds.dictionary.take(pa.array(new)), pa.nulls(len(long), pa.binary(KEY))])
         self._align(a[_spread(from_a[at], size_a[at])], b[_spread(from_b[at], size_b[at])], size_a[at], size_b[at])
-        self.number.update((key, k) for key, k in missing.items() if len(key[0]) + len(key[1]) <= 4 * MEMO_TOKENS)
         return out
 
     def _align(self, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> None:
         """Adds windows whose tokens lie one after another in ``a`` and ``b``."""
-        if not len(size_a):
-            return
         to_a, to_b = shared_ends(a, b, self.tokens)
         count_a, count_b = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
         window = np.searchsorted(np.cumsum(size_a), to_a, side="left")
@@ -213,22 +200,22 @@ class Windows:
         # Names: the A ids of a group, then its B ids; the first of each side has its own mark.
         total = count_a + count_b
         rank = np.arange(total.sum()) - np.repeat(_offsets(total)[:-1], total)
-        on_a = rank < np.repeat(count_a, total)
-        lead = (rank == 0) | (rank == np.repeat(count_a, total))
+        split = np.repeat(count_a, total)
+        on_a = rank < split
         code = np.empty(len(rank), np.int64)
-        code[on_a] = a + np.where(lead[on_a], 0, len(self.tokens.size_a))
-        code[~on_a] = self.tokens.names_b + b + np.where(lead[~on_a], 0, len(self.tokens.size_b))
-        names = self.tokens.names
-        spelled = [names[c] for c in code.tolist()]
-        ends = _offsets(total)
-        of_group = ["".join(spelled[s:e]) for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
-        ends = _offsets(groups)
-        self.text += [";".join(of_group[s:e]) for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        code[on_a] = a + np.where(rank[on_a] == 0, 0, len(self.tokens.size_a))
+        code[~on_a] = self.tokens.names_b + b + np.where(rank[~on_a] == split[~on_a], 0, len(self.tokens.size_b))
+        spelled = _joined(self.tokens.names.take(pa.array(code)), _offsets(total), "")
+        self.texts = pa.concat_arrays([self.texts, _joined(spelled, _offsets(groups), ";")])
         self.groups = np.concatenate([self.groups, groups])
         self.links = np.concatenate([self.links, links])
         self.pairs = np.concatenate([self.pairs, pair_a << 32 | pair_b])
 
 
+def _joined(parts: pa.StringArray, offsets: np.ndarray, separator: str) -> pa.StringArray:
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), parts), separator)
+
+
 def _lossless(texts: list[bytes], ids: list[list[int]], spelled: list[bytes]) -> list[bool]:
     """Whether the tokens of each text give its bytes."""
     return [b"".join(map(spelled.__getitem__, i)) == t for t, i in zip(texts, ids)]
@@ -267,7 +254,6 @@ def _chunk(texts: list[str], tokens: Tokens, windows: Windows) -> dict[str, pa.A
     doc = np.searchsorted(doc_ends, to_a, side="left")
     per_doc = _offsets(np.bincount(doc, minlength=n))
     groups, links = windows.groups[numbers], windows.links[numbers]
-    names = [windows.text[w] for w in numbers.tolist()]
     pair = windows.pairs[_spread(_offsets(windows.links)[numbers], links)]
     pair_doc = np.repeat(doc, links)
     if len(tokens.size_a) <= 1 << 16 and len(tokens.size_b) <= 1 << 16 and n < 1 << 30:
@@ -282,7 +268,7 @@ def _chunk(texts: list[str], tokens: Tokens, windows: Windows) -> dict[str, pa.A
         "n_b": pa.array(count_b),
         "n_groups": pa.array(np.diff(_offsets(groups)[per_doc])),
         "n_links": pa.array(np.diff(_offsets(links)[per_doc])),
-        "groups": pa.array([";".join(names[s:e]) for s, e in zip(per_doc[:-1].tolist(), per_doc[1:].tolist())], pa.string()),
+        "groups": _joined(windows.texts.take(pa.array(numbers)), per_doc, ";"),
         "pairs": pa.ListArray.from_arrays(pa.array(_offsets(np.bincount(pair_doc, minlength=n)).astype(np.int32)), struct),
     }
 
