@@ -169,3 +169,54 @@ LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a) c USING (vec_
 LEFT JOIN (SELECT a AS vec_id, min(b) AS least_id FROM reach GROUP BY a) r USING (vec_id)
 """,
 }
+
+
+def _url_oracle(order: int = 5) -> str:
+    """The URL models in SQL, one pair of CTEs per context length."""
+    share = "(n{side} + kinds{side} * {shorter}) / (seen{side} + kinds{side})"
+    sides = {"p": "a", "q": "r"}
+
+    def probability(name: str, shorter: str) -> str:
+        side = sides[name]
+        return f"CASE WHEN seen{side} + kinds{side} > 0 THEN {share.format(side=side, shorter=shorter)} ELSE {shorter} END AS {name}"
+
+    first = ", ".join(probability(name, "(1.0::DOUBLE / (symbols + 1))") for name in sides)
+    levels = [f"level1 AS (SELECT gram, asked, {first} FROM model WHERE length(gram) = 1)"]
+    for size in range(2, order + 2):
+        columns = ", ".join(probability(name, f"s.{name}") for name in sides)
+        levels.append(f"level{size} AS (SELECT m.gram, m.asked, {columns} FROM model m JOIN level{size - 1} s ON substr(m.gram, 2) = s.gram WHERE length(m.gram) = {size})")
+    union = " UNION ALL ".join(f"SELECT * FROM level{size}" for size in range(1, order + 2))
+    fits = "(host = '{0}' OR host LIKE '%.{0}') AND path LIKE '{1}%'"
+    cases = [("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"), ("net", "/", "block")]
+    rule = " ".join(f"WHEN {fits.format(h, p)} THEN '{h}{p}'" for h, p, _ in cases)
+    ruled = " ".join(f"WHEN {fits.format(h, p)} THEN '{v}'" for h, p, v in cases)
+    return f"""
+WITH url AS (SELECT page_id, row_number() OVER () AS k, coalesce(url, '') AS u FROM pages),
+rest AS (SELECT *, strpos(u, '://') AS mark, CASE WHEN strpos(u, '://') > 0 THEN substr(u, strpos(u, '://') + 3) ELSE '' END AS rest FROM url),
+cut AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM rest),
+part AS (SELECT *, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, substr(rest, length(raw) + 1) AS after FROM cut),
+pathed AS (SELECT *, regexp_extract(after, '^[^?#]*') AS path, CASE WHEN mark > 0 THEN host || after ELSE u END AS text FROM part),
+page AS (SELECT page_id, k, host, path, text, CASE {rule} END AS rule, CASE {ruled} END AS ruled, substr(md5(text), 1, 1) IN ('0', '1', '2') AS aside FROM pathed),
+held AS (SELECT *, ruled IS NOT NULL AND aside AS held FROM page),
+gram AS (SELECT k, ruled, held, substr(s, greatest(1, i - {order}), i + 1 - greatest(1, i - {order})) AS gram
+         FROM (SELECT *, chr(2) || text || chr(3) AS s, unnest(range(2, length(text) + 3)) AS i FROM held) a),
+trained AS (SELECT gram, count(*) FILTER (ruled = 'allow' AND NOT held) AS na, count(*) FILTER (ruled = 'block' AND NOT held) AS nr FROM gram GROUP BY gram),
+ending AS (SELECT right(gram, m) AS gram, sum(na)::BIGINT AS na, sum(nr)::BIGINT AS nr, bool_or(m = length(gram)) AS asked
+           FROM (SELECT *, unnest(range(1, length(gram) + 1)) AS m FROM trained) b GROUP BY right(gram, m)),
+model AS (SELECT *, sum(na) OVER w AS seena, count(*) FILTER (na > 0) OVER w AS kindsa, sum(nr) OVER w AS seenr, count(*) FILTER (nr > 0) OVER w AS kindsr,
+                 count(*) FILTER (na + nr > 0) OVER w AS symbols
+          FROM ending WINDOW w AS (PARTITION BY substr(gram, 1, length(gram) - 1), length(gram))),
+{", ".join(levels)},
+ratio AS (SELECT gram, round((ln(p) - ln(q)) * 1000000)::BIGINT AS ratio FROM ({union}) c WHERE asked),
+score AS (SELECT k, any_value(ruled) AS ruled, sum(ratio)::BIGINT AS total, count(*) AS n FROM gram JOIN ratio USING (gram) WHERE ruled IS NULL OR held GROUP BY k),
+step AS (SELECT greatest(-20000, least(20000, floor(total / (n * 1000))))::BIGINT AS step, count(*) FILTER (ruled = 'allow') AS good, count(*) FILTER (ruled = 'block') AS bad
+         FROM score WHERE ruled IS NOT NULL GROUP BY 1),
+above AS (SELECT step, sum(good) OVER (ORDER BY step DESC) * sum(bad) OVER () - sum(bad) OVER (ORDER BY step DESC) * sum(good) OVER () AS gain FROM step),
+best AS (SELECT coalesce((SELECT step FROM above WHERE gain > 0 ORDER BY gain DESC, step DESC LIMIT 1), 0) AS step)
+SELECT page_id, host, path, rule, coalesce(held.ruled, CASE WHEN total >= n * best.step * 1000 THEN 'allow' ELSE 'block' END) AS verdict,
+       CASE WHEN held.ruled IS NULL THEN total / n END AS score
+FROM held LEFT JOIN score USING (k) CROSS JOIN best
+"""
+
+
+ORACLES["op13_url_filter"] = _url_oracle()

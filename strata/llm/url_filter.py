@@ -82,12 +82,14 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule], give: str = "name
 
 def grams_of(text: Column, order: int) -> Column:
     """Each symbol of the text and its end, with up to ``order`` symbols before it (the text's start is one)."""
-    symbols = F.split(F.concat(F.lit(_START), text, F.lit(_END)), "")
-    symbols = F.filter(symbols, lambda c: c != "")
-    return F.transform(
-        F.sequence(F.lit(2), F.length(text) + 2),
-        lambda i: F.array_join(F.slice(symbols, F.greatest(F.lit(1), i - order), F.least(i, F.lit(order + 1))), ""),
-    )
+    symbols = F.filter(F.split(F.concat(F.lit(_START), text, F.lit(_END)), ""), lambda c: c != "")
+
+    def cut(s: Column) -> Column:
+        window = lambda i: F.array_join(F.slice(s, F.greatest(F.lit(1), i - order), F.least(i, F.lit(order + 1))), "")
+        return F.transform(F.sequence(F.lit(2), F.size(s)), window)
+
+    # The array is bound once; named inside the function, it would be split again for every symbol.
+    return F.flatten(F.transform(F.array(symbols), cut))
 
 
 def _log_ratios(grams: DataFrame, order: int) -> DataFrame:
