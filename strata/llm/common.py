@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -26,15 +28,45 @@ def decode(data: bytes) -> str:
     return data.decode("utf-8", errors="replace")
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``fn`` over every Arrow batch of ``df``; empty batches are skipped."""
+def release_memory() -> None:
+    """Gives memory that a task has freed back to the system; its Python worker lives on with other work."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not every C library has it
+        pass
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def released(run: Callable[[Batches], Batches], forget: Callable[[], None] | None = None) -> Callable[[Batches], Batches]:
+    """``run``, with ``forget`` called and memory given back when the task ends."""
+
+    def task(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            if forget:
+                forget()
+            release_memory()
+
+    return task
+
+
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str, forget: Callable[[], None] | None = None) -> DataFrame:
+    """``fn`` over every Arrow batch of ``df``; empty batches are skipped.
+
+    ``forget`` drops what ``fn`` keeps between batches; it runs when the task ends.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 yield from fn(batch)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run, forget), schema)
 
 
 def scratch(df: DataFrame, label: str) -> DataFrame:

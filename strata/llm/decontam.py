@@ -239,7 +239,7 @@ def _scanned(docs: DataFrame, text_col: str, packed_items: DataFrame, width: int
                 names = [n for n in batch.schema.names if n not in (marks_col, items_col)]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(marks, pa.binary()), pa.array(items, pa.list_(pa.string()))], [*names, marks_col, items_col])
 
-        state = map_batches(state, scan, schema if last else carried)
+        state = map_batches(state, scan, schema if last else carried, _automaton.cache_clear)
         if last:
             return state
         state, shard = scratch(state, "decontam"), after

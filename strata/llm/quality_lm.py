@@ -39,10 +39,10 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import decode, map_batches, scratch, utf8
+from strata.llm.common import released, decode, map_batches, scratch, utf8
 
 ORDER = 5
 BITS = 12
@@ -54,7 +54,7 @@ WINDOW = 128
 WORD = 64
 ERRORS = 3.0
 BROADCAST_IDS = 1_000_000
-_KEYS = 2_000_000
+_KEYS = 500_000
 _START = 1
 
 
@@ -127,7 +127,7 @@ def _alphabets(texts: DataFrame) -> dict[str, Alphabet]:
             used = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used.astype(np.int32)), pa.array(total[used])], ["lang", "point", "n"])
 
-    counts = texts.select("lang", "text").mapInArrow(count, "lang string, point int, n bigint").groupBy("lang", "point").agg(F.sum("n").alias("n"))
+    counts = texts.select("lang", "text").mapInArrow(released(count), "lang string, point int, n bigint").groupBy("lang", "point").agg(F.sum("n").alias("n"))
     found: dict[str, list[int]] = {}
     # At most one row for each language and character.
     for r in counts.orderBy("lang", F.desc("n"), "point").collect():
@@ -157,7 +157,7 @@ def _counts(texts: DataFrame, alphabets: dict[str, Alphabet], order: int) -> Dat
                     held, size = {}, 0
         yield from flush()
 
-    return texts.select("lang", "text").mapInArrow(run, "lang string, key bigint, n bigint").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    return texts.select("lang", "text").mapInArrow(released(run), "lang string, key bigint, n bigint").groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
 def _low(key: Column, chars: int) -> Column:
@@ -192,9 +192,10 @@ def train(texts: DataFrame, alphabets: dict[str, Alphabet], order: int = ORDER)
         rows = tables[k].join(d, "lang", "left").na.fill({"d1": 0.5, "d2": 1.0, "d3": 1.5})
         cut = F.when(n == 1, F.col("d1")).when(n == 2, F.col("d2")).otherwise(F.col("d3"))
         rows = rows.select("lang", "key", F.shiftrightunsigned("key", BITS).alias("context"), (n - cut).alias("left"), cut.alias("cut"), "n")
-        contexts = rows.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("cut").alias("freed"))
-        contexts = contexts.select("lang", "context", "total", (F.col("freed") / F.col("total")).alias("weight"))
-        rows = rows.join(contexts, ["lang", "context"])
+        # A context has at most as many rows as there are symbols.
+        same = Window.partitionBy("lang", "context")
+        rows = rows.withColumns({"total": F.sum("n").over(same), "freed": F.sum("cut").over(same)}).withColumn("weight", F.col("freed") / F.col("total"))
+        contexts = rows.groupBy("lang", "context").agg(F.first("weight").alias("weight"))
         if lower is None:
             rows = rows.join(sizes, "lang")
             below = F.lit(1.0) / F.col("size")
@@ -370,6 +371,7 @@ def _scores(texts: DataFrame, model: DataFrame, alphabets: dict[str, Alphabet],
 
             state = map_batches(state, run, ends if last else f"{shape}, text binary, part binary")
             state = scratch(state, "scores")
+            shared.destroy()
         parts.append(state)
     return scratch(reduce(DataFrame.unionByName, parts), "scores")
 

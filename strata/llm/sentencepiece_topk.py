@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import decode, map_batches, utf8
+from strata.llm.common import decode, map_batches, released, utf8
 
 K = 2
 ALPHA = 1.0
@@ -549,7 +549,7 @@ def sample_segmentations(
         try:
             for batch in batches:
                 yield from sample(sampler, batch)
-        finally:  # the worker lives on with other work
+        finally:
             sampler.forget()
 
     def sample(sampler: Sampler, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -570,7 +570,7 @@ def sample_segmentations(
             offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch[key].slice(at, end - at), pa.ListArray.from_arrays(offsets, structs)], [key, "samples"])
 
-    out = src.mapInArrow(run, f"{key} {kind}, samples array<{SAMPLE}>")
+    out = src.mapInArrow(released(run, _sampler.cache_clear), f"{key} {kind}, samples array<{SAMPLE}>")
     return out.withColumnRenamed(key, id_col)
 
 

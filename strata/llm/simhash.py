@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_batches, scratch, utf8
+from strata.llm.common import released, map_batches, scratch, utf8
 from strata.llm.components import connected_components, local_roots
 
 SHINGLE = 3
@@ -183,7 +183,7 @@ def links(classes: DataFrame, radius: int = RADIUS, tile: int = TILE, hot_group:
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     rows = grouped(classes, radius, hot_group).repartition("key", "sub")
-    return rows.sortWithinPartitions("key", "sub", F.bit_count("fp"), "fp").mapInArrow(compare, "u bigint, v bigint")
+    return rows.sortWithinPartitions("key", "sub", F.bit_count("fp"), "fp").mapInArrow(released(compare), "u bigint, v bigint")
 
 
 def _members(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, tile: int, hot_group: int) -> DataFrame:

@@ -37,7 +37,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import free_name, map_batches, scratch, utf8
+from strata.llm.common import free_name, released, scratch, utf8
 
 CHUNK = 2 << 20
 MEMO_WINDOWS = 150_000
@@ -307,7 +307,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_i
                 size += len(texts[i]) if i < len(texts) else 0
 
     schema = f"{key} {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, pairs array<struct<a:int,b:int,n:bigint>>"
-    return src.mapInArrow(align, schema).withColumnRenamed(key, id_col)
+    return src.mapInArrow(released(align), schema).withColumnRenamed(key, id_col)
 
 
 def link_counts(aligned: DataFrame, frequent: int = FREQUENT) -> DataFrame:
