@@ -32,6 +32,10 @@ from strata.llm.common import map_batches
 
 DEFAULT_KEY = "strata-surrogates"
 _ROUNDS = 8
+# Characters that are permuted together: below 2**256 strings, what the rounds mix.
+_CHUNK = 48
+# Longer entities are not kept in the task's cache.
+_CACHED = 256
 
 _LATIN = "abcdefghijklmnopqrstuvwxyz"
 _CYRILLIC = "".join(chr(c) for c in range(0x430, 0x450))
@@ -67,7 +71,9 @@ _HINT = re.compile(rf"[@\d]|(?i:key|token|secret|passw)|\b(?:{_TITLES})\b")
 
 
 def _digest(key: str, *parts: object) -> int:
-    return int.from_bytes(hashlib.blake2b("\x1f".join(map(str, parts)).encode(), key=hashlib.sha256(key.encode()).digest(), digest_size=16).digest(), "big")
+    # Numbers of any size: Python writes long ones in hexadecimal only.
+    named = (str(p) if not isinstance(p, int) or p.bit_length() < 10_000 else hex(p) for p in parts)
+    return int.from_bytes(hashlib.blake2b("\x1f".join(named).encode(), key=hashlib.sha256(key.encode()).digest(), digest_size=16).digest(), "big")
 
 
 def _permute(key: str, domain: str, x: int, size: int, back: bool = False) -> int:
@@ -91,6 +97,28 @@ def derange(key: str, domain: str, x: int, size: int) -> int:
     return _permute(key, domain, (_permute(key, domain, x, size) + 1) % size, size, back=True)
 
 
+def _derange_all(key: str, domain: str, digits: list[int], bases: list[int]) -> list[int]:
+    """A keyed one-to-one map of mixed-radix numbers, ``_CHUNK`` digits at a time.
+
+    Each chunk's map depends on the chunks before it, so long strings that
+    differ early differ throughout, and the cost grows with the length only.
+    """
+    out: list[int] = []
+    for at in range(0, len(digits), _CHUNK):
+        part, sizes = digits[at : at + _CHUNK], bases[at : at + _CHUNK]
+        x = 0
+        for d, base in zip(part, sizes):
+            x = x * base + d
+        x = derange(key, domain, x, math.prod(sizes))
+        new = []
+        for base in reversed(sizes):
+            x, d = divmod(x, base)
+            new.append(d)
+        out += reversed(new)
+        domain = f"{domain[:64]}|{_digest(key, domain, at, *part):x}"
+    return out
+
+
 def _script(word: str) -> str:
     name = unicodedata.name(next((c for c in word if c.isalpha()), " "), "")
     return next((s for s in _ALPHABETS if name.startswith(s.upper())), "latin")
@@ -103,26 +131,13 @@ def _by_format(key: str, domain: str, text: str, keep: int = 0) -> str:
         low = c.lower()
         kind = "0123456789" if "0" <= c <= "9" else next((a for a in _ALPHABETS.values() if low in a), None)
         alphabets.append(kind if i >= keep else None)
-    size = math.prod(len(a) for a in alphabets if a)
-    if size == 1:
+    changing = [(c.lower(), a) for c, a in zip(text, alphabets) if a]
+    if not changing:
         return text
-    x = 0
-    shape = []
-    for c, a in zip(text, alphabets):
-        if a:
-            x = x * len(a) + a.index(c.lower())
-            shape.append(a[0])  # case is carried over, so spellings in other case stay one entity
-        else:
-            shape.append(f"={c}")
-    x = derange(key, f"{domain}|{''.join(shape)}", x, size)
-    out = []
-    for c, a in zip(reversed(text), reversed(alphabets)):
-        if a:
-            x, k = divmod(x, len(a))
-            out.append(a[k].upper() if c != c.lower() else a[k])
-        else:
-            out.append(c)
-    return "".join(reversed(out))
+    # Case is carried over, so spellings in other case stay one entity.
+    shape = "".join(a[0] if a else f"={c}" for c, a in zip(text, alphabets))
+    new = iter(_derange_all(key, f"{domain}|{shape}", [a.index(c) for c, a in changing], [len(a) for _, a in changing]))
+    return "".join((a[k].upper() if c != c.lower() else a[k]) if a and (k := next(new)) >= 0 else c for c, a in zip(text, alphabets))
 
 
 def _email(key: str, text: str) -> str:
@@ -149,7 +164,6 @@ def _card(key: str, text: str) -> str:
 _NETWORKS = [ipaddress.ip_network(n) for n in ("10.0.0.0/8", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.168.0.0/16")]
 
 
-@lru_cache(maxsize=20_000)
 def _ipv4(key: str, text: str) -> str:
     x = int(ipaddress.ip_address(".".join(str(int(p)) for p in text.split("."))))
     for net in _NETWORKS:
@@ -168,8 +182,8 @@ _HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 def _secret(key: str, text: str) -> str:
     """Hexadecimal values stay so; others never become one."""
     if _HEX.fullmatch(text):
-        size = 16 ** len(text)
-        new = f"{derange(key, f'hex{len(text)}', int(text, 16), size):0{len(text)}x}"
+        digits = _derange_all(key, f"hex{len(text)}", [int(c, 16) for c in text], [16] * len(text))
+        new = "".join(f"{d:x}" for d in digits)
         return new.upper() if text != text.lower() else new
     while True:
         text = _by_format(key, "secret", text)
@@ -229,7 +243,7 @@ def entities(text: str) -> Iterator[tuple[str, int, int]]:
             yield kind, *m.span()
 
 
-@lru_cache(maxsize=20_000)
+@lru_cache(maxsize=5_000)
 def _cached(key: str, kind: str, text: str) -> str:
     return surrogate(key, kind, text)
 
@@ -238,7 +252,7 @@ def replace_text(key: str, text: str) -> tuple[str, list[tuple[str, str, str]]]:
     """The text with its surrogates, and ``(kind, entity, surrogate)`` for each."""
     out, found, at = [], [], 0
     for kind, a, b in entities(text):
-        new = _cached(key, kind, text[a:b])
+        new = (_cached if b - a <= _CACHED else surrogate)(key, kind, text[a:b])
         found.append((kind, text[a:b], new))
         out += [text[at:a], new]
         at = b
@@ -249,9 +263,14 @@ def replace_pii(docs: DataFrame, text_col: str = "text", key: str = DEFAULT_KEY,
     """``docs`` with surrogates in ``text_col``; with ``entities_col``, also the list of replacements.
 
     All other columns are kept as they are. Null texts stay null, with no
-    entities; texts without entities are returned unchanged.
+    entities; texts without entities are returned unchanged. Repeated rows
+    each get the same replacements, an empty table gives an empty result, and
+    texts and entities of any length are replaced whole. ``entities_col`` must
+    be a new name.
     """
     columns = docs.columns
+    if entities_col and entities_col.lower() in (c.lower() for c in columns):
+        raise ValueError(f"docs already has a column {entities_col}")
     at = columns.index(text_col)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -271,7 +290,7 @@ def replace_pii(docs: DataFrame, text_col: str = "text", key: str = DEFAULT_KEY,
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     if entities_col:
         schema += f", `{entities_col}` array<struct<kind: string, entity: string, surrogate: string>>"
-    return map_batches(docs, run, schema)
+    return map_batches(docs, run, schema, _cached.cache_clear)
 
 
 def collisions(replaced: DataFrame, entities_col: str) -> DataFrame:
