@@ -35,8 +35,11 @@ _BREAK = re.compile(
     re.I,
 )
 _TAG = re.compile(r"<[/!?a-zA-Z][^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TITLE = re.compile(r"<title\b", re.I)
+_TITLE_END = re.compile(r"</title\s*>", re.I)
+_ANCHOR = re.compile(r"<a\b", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*", re.I)
+_VALUE = re.compile(r"\"([^\"]*)\"|'([^']*)'|([^\s>]+)")
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 
 
@@ -83,9 +86,46 @@ def parse(record: bytes) -> tuple[dict[str, str], bytes] | None:
     return fields, rest[: int(length)]
 
 
+def _without_tags(page: str, breaks: str | None = None) -> str:
+    """``page`` without its tags; those of blocks become ``breaks``.
+
+    A tag ends at the next ``>``. What follows the last one of the page holds
+    no tag, so no opening is looked through to the page's end in vain.
+    """
+    end = page.rfind(">") + 1
+    head = page[:end]
+    if breaks is not None:
+        head = _BREAK.sub(breaks, head)
+        return _without_tags(head) + page[end:]
+    return _TAG.sub("", head) + page[end:]
+
+
+def title_of(page: str) -> str | None:
+    """What stands between the first ``<title ...>`` that is closed, and its end tag."""
+    opened = _TITLE.search(page)
+    start = page.find(">", opened.end()) if opened else -1
+    # Without an end tag after this opening there is none after a later one.
+    closed = _TITLE_END.search(page, start + 1) if start >= 0 else None
+    return page[start + 1 : closed.start()] if closed else None
+
+
+def links_of(page: str) -> Iterator[str]:
+    """The first ``href`` of each ``<a ...>``, in order; a quoted value may hold ``>``."""
+    at = 0
+    while anchor := _ANCHOR.search(page, at):
+        end = page.find(">", anchor.end())
+        end = len(page) if end < 0 else end
+        at = end  # another opening before it has no other attributes
+        for name in _HREF.finditer(page, anchor.end(), end):
+            if value := _VALUE.match(page, name.end()):
+                yield next(v for v in value.groups() if v is not None)
+                at = value.end()
+                break
+
+
 def plain_text(page: str) -> str:
     """The text of an HTML page: a line for each block, blanks collapsed, without scripts, styles and comments."""
-    bare = html.unescape(_TAG.sub("", _BREAK.sub("\n", _DROP.sub(" ", page))))
+    bare = html.unescape(_without_tags(_DROP.sub(" ", page), "\n"))
     return "\n".join(line for line in (" ".join(x.split()) for x in bare.split("\n")) if line)
 
 
@@ -113,9 +153,9 @@ def derive(record: bytes) -> list[dict]:
     is_html = "html" in kind.lower()
     fields = [("http-status", decode(status).strip()), *((f"http-header-{n.lower()}", v) for n, v in http), ("source-payload-digest", payload_digest)]
     if is_html:
-        title = _TITLE.search(page)
-        fields += [("title", " ".join(html.unescape(_TAG.sub("", title[1])).split()))] if title else []
-        fields += [("outlink", " ".join(html.unescape("".join(m)).split())) for m in _LINK.findall(_DROP.sub(" ", page))]
+        title = title_of(page)
+        fields += [("title", " ".join(html.unescape(_without_tags(title)).split()))] if title is not None else []
+        fields += [("outlink", " ".join(html.unescape(link).split())) for link in links_of(_DROP.sub(" ", page))]
     blocks = [("metadata", "application/warc-fields", "".join(f"{n}: {' '.join(v.split())}\r\n" for n, v in fields).encode("utf-8", "replace"))]
     if is_html or kind.lower().startswith("text/"):
         text = plain_text(page) if is_html else page
