@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -330,3 +332,56 @@ def test_other_and_broken_records_give_nothing(spark):
         if r.record_type == "conversion":
             assert bytes(r.block).decode() == "ü"
     assert got == {(0, "metadata"): 1, (0, "conversion"): 1, (1, "metadata"): 1}
+
+
+# --------------------------------------------------------------------------- hostile pages and long entities
+
+_PLAIN_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+_PLAIN_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(["<a ", "<A", "<a\n", "href=", "HREF = ", '"', "'", ">", "x", " ", "<title", "<title>", "</title>", "</title ", "<p>", "</p", "<b", "=", "<abbr>", "<", "/"]), max_size=25))
+def test_page_scanners_equal_single_patterns(parts):
+    page = "".join(parts)
+    title = _PLAIN_TITLE.search(page)
+    assert warc.title_of(page) == (title and title[1])
+    assert list(warc.links_of(page)) == ["".join(m) for m in _PLAIN_LINK.findall(page)]
+    assert warc._without_tags(page, "\n") == warc._TAG.sub("", warc._BREAK.sub("\n", page))
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<title>", '<a href="', "<p ", "<!--", "</title ", "<a href "])
+def test_hostile_pages_take_linear_time(spark, unit):
+    def seconds(size):
+        page = unit * (size // len(unit))
+        started = time.process_time()
+        warc.plain_text(page), list(warc.links_of(page)), warc.title_of(page)
+        return time.process_time() - started
+
+    assert seconds(4_000_000) < 60  # a quadratic scan takes hours
+
+
+def test_derivatives_of_a_hostile_page(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/", "<title>" * 100_000 + "text" + "<a " * 100_000)], "page_id bigint, url string, html string")
+    assert {r.record_type for r in warc.derivatives(warc.response_records(pages)).collect()} == {"metadata", "conversion"}
+
+
+@pytest.mark.parametrize("text", ["token: " + "aZ" * 1550, "token: " + "f0" * 2000, "x" * 4000 + "@example.com", "Dr B" + "b" * 4000, "token: " + "Zq9" * 350_000])
+def test_long_entities_are_replaced_whole(text):
+    new, ((kind, entity, given_name),) = pii.replace_text("k", text)
+    assert len(new) == len(text) and len(entity) > 3000
+    at = [k for k, (a, b) in enumerate(zip(entity, given_name)) if a == b]
+    assert len(at) < len(entity) / 5  # changed throughout, not at one end only
+    assert pii.replace_text("k", text) == (new, [(kind, entity, given_name)])
+
+
+def test_long_formats_stay_one_to_one():
+    texts = ["".join(p) * 40 for p in itertools.product("abc", "abc", "01")] + [c * 60 + "q" for c in "abcdef"] + ["a" * 60 + c for c in "abcdef"]
+    assert len({pii._by_format("k", "d", t) for t in texts}) == len(set(texts))
+    assert all(pii._by_format("k", "d", t) != t for t in texts)
+
+
+def test_entities_column_must_be_new(spark):
+    with pytest.raises(ValueError, match="already has"):
+        pii.replace_pii(docs_of(spark, ["a"]), entities_col="Lang")
+    assert pii.replace_pii(docs_of(spark, []), entities_col="found").collect() == []
