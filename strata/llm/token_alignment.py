@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import free_name, released, scratch, utf8
 
-CHUNK = 2 << 20
-MEMO_WINDOWS = 150_000
+CHUNK = 1 << 20
+MEMO_WINDOWS = 120_000
 KEY = 32
 FREQUENT = 1 << 19
 
