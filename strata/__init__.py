@@ -12,9 +12,3 @@ column expressions, so Catalyst sees one declarative plan per query:
 * ``strata.streaming`` - incremental landing-folder ingest for bronze.
 * ``strata.llm``       - operators for preparing training data (self-contained).
 
-``python -m strata {bronze,silver,gold,all} --env qa`` runs the steps.
-"""
-
-from strata.config import ConfigError, LayerConfig, preset
-
-__all__ = ["ConfigError", "LayerConfig", "preset"]

@@ -1,13 +1,13 @@
 """The bronze, silver and gold steps and their metrics lines.
 
 * bronze: contract CSV scan of the landing folder + audit columns -> table.
-* silver: bronze table -> ``clean_orders`` -> quality gate -> table
-  partitioned by ``order_date``. The gate runs before the write, so a strict
-  failure leaves the silver table untouched.
+* silver: bronze table -> ``clean_orders`` -> staged version partitioned by
+  ``order_date`` -> quality gate on its files -> published. A strict failure,
+  or a job lost on the way, leaves the silver table as it was.
 * gold: silver table -> ``daily_country_sales`` -> table.
 
 Each step ends with one ``ETL_METRICS {json}`` line. Row counts of written
-tables come from an ``Observation`` on the write itself instead of a second
+versions come from an ``Observation`` on the write itself instead of a second
 job over the data.
 """
 
@@ -18,8 +18,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import LayerConfig
@@ -27,8 +26,10 @@ from strata.operators.cleanse import add_audit_columns, clean_orders
 from strata.operators.marts import daily_country_sales
 from strata.operators.quality import apply_gate, profile, verdict
 from strata.sources.files import read_raw_csv
-from strata.sources.tables import ensure_schemas, read_layer, write_layer
+from strata.sources.tables import ensure_schemas, read_layer
+from strata.sources.versions import check_version, discard_version, publish_version, stage_version
 
+# Table names, the metrics marker, and the fields of each line below.
 BRONZE_TABLE = "orders_raw"
 SILVER_TABLE = "orders_clean"
 GOLD_TABLE = "daily_country_sales"
@@ -86,12 +87,6 @@ def metrics_sink(spark: SparkSession, table: str, log: Callable[[str], None] = p
     return write
 
 
-def _write_counted(df: DataFrame, name: str, write: Callable[[DataFrame], str]) -> tuple[str, int]:
-    observation = Observation(name)
-    fqn = write(df.observe(observation, F.count(F.lit(1)).alias("rows")))
-    return fqn, int(observation.get["rows"])
-
-
 def run_bronze(
     spark: SparkSession,
     cfg: LayerConfig,
@@ -103,8 +98,9 @@ def run_bronze(
     ensure_schemas(spark, cfg, location_root)
     raw = read_raw_csv(spark, source_path or cfg.source_path)
     bronze = add_audit_columns(raw, batch_id)
-    fqn, rows = _write_counted(bronze, "bronze", lambda df: write_layer(df, cfg, "bronze", BRONZE_TABLE))
-    return StepResult(fqn, _emit("bronze", {"table": fqn, "rows": rows, "batch_id": batch_id}, log))
+    staged = stage_version(bronze, cfg, "bronze", BRONZE_TABLE)
+    fqn = publish_version(spark, cfg, staged)
+    return StepResult(fqn, _emit("bronze", {"table": fqn, "rows": staged.rows, "batch_id": batch_id}, log))
 
 
 def run_silver(
@@ -114,16 +110,17 @@ def run_silver(
     log: Callable[[str], None] = print,
 ) -> StepResult:
     bronze = read_layer(spark, cfg, "bronze", BRONZE_TABLE)
-    # Persisted (memory, then disk) so profile and write share one computation;
-    # a lost executor's blocks are recomputed from the bronze table.
-    silver = clean_orders(bronze).persist(StorageLevel.MEMORY_AND_DISK)
+    staged = stage_version(clean_orders(bronze), cfg, "silver", SILVER_TABLE, partition_by=["order_date"])
     try:
-        report = profile(bronze, silver)
+        # The audit reads one column of the files that are to be published.
+        report = profile(bronze, staged.read(spark))
         decided = verdict(report, cfg.max_rejection_rate, cfg.fail_on_violation, cfg.env, keep_counts=True).first()
+        check_version(staged, decided["output_rows"])
         apply_gate(decided, log)
-        fqn = write_layer(silver, cfg, "silver", SILVER_TABLE, partition_by=["order_date"])
-    finally:
-        silver.unpersist()
+    except Exception:
+        discard_version(spark, staged)
+        raise
+    fqn = publish_version(spark, cfg, staged)
     return StepResult(fqn, _emit("silver", {"table": fqn, "batch_id": batch_id, **{c: decided[c] for c in report.columns}}, log))
 
 
@@ -136,8 +133,9 @@ def run_gold(
     silver = read_layer(spark, cfg, "silver", SILVER_TABLE)
     # Silver has one row per order; the table promises no order of rows.
     gold = daily_country_sales(silver, sort=False, unique_orders=True)
-    fqn, rows = _write_counted(gold, "gold", lambda df: write_layer(df, cfg, "gold", GOLD_TABLE))
-    return StepResult(fqn, _emit("gold", {"table": fqn, "rows": rows, "batch_id": batch_id}, log))
+    staged = stage_version(gold, cfg, "gold", GOLD_TABLE)
+    fqn = publish_version(spark, cfg, staged)
+    return StepResult(fqn, _emit("gold", {"table": fqn, "rows": staged.rows, "batch_id": batch_id}, log))
 
 
 def run_all(

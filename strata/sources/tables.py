@@ -1,7 +1,7 @@
-"""Layer tables: schema creation, reads and full-overwrite writes.
+"""The catalogue side of the layers: their schemas, and tables that are replaced as a whole.
 
-All persistence of the bronze/silver/gold steps goes through here, so table
-naming is decided in one place (``LayerConfig.table``).
+A layer's rows are read by its name and replaced by publishing a new version
+(see ``strata.sources.versions``).
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.config import LAYERS, LayerConfig
+from strata.sources.versions import publish_version, quoted, stage_version
 
 
 def ensure_schemas(spark: SparkSession, cfg: LayerConfig, location_root: str | None = None) -> list[str]:
@@ -22,13 +23,17 @@ def ensure_schemas(spark: SparkSession, cfg: LayerConfig, location_root: str | N
     created = []
     for layer in LAYERS:
         namespace = cfg.namespace(layer)
-        quoted = ".".join(f"`{part}`" for part in namespace.split("."))
-        location = f" LOCATION '{location_root}/{cfg.schema(layer)}.db'" if location_root else ""
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted}{location}")
+        location = f" LOCATION {_literal(f'{location_root}/{cfg.schema(layer)}.db')}" if location_root else ""
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(namespace)}{location}")
         created.append(namespace)
     return created
 
 
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def list_schemas(spark: SparkSession, catalog: str | None = None) -> DataFrame:
     """``SHOW SCHEMAS [IN catalog]`` as a DataFrame (one column, ``namespace``)."""
     return spark.sql(f"SHOW SCHEMAS IN `{catalog}`" if catalog else "SHOW SCHEMAS")
@@ -39,27 +44,7 @@ def read_layer(spark: SparkSession, cfg: LayerConfig, layer: str, name: str) ->
 
 
 def write_layer(
-    df: DataFrame,
-    cfg: LayerConfig,
-    layer: str,
-    name: str,
-    mode: str = "overwrite",
-    partition_by: Sequence[str] | None = None,
+    df: DataFrame, cfg: LayerConfig, layer: str, name: str, partition_by: Sequence[str] | None = None
 ) -> str:
-    """Write ``df`` as a managed table and return its qualified name.
-
-    Each run replaces the whole table. With ``partition_by`` the rows are
-    first rebalanced on the partition columns: every task then writes few
-    partition folders, and AQE splits a partition value that holds a large
-    share of the rows over several tasks instead of one.
-    """
-    fqn = cfg.table(layer, name)
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    writer = df.write.format(cfg.table_format).mode(mode)
-    if cfg.table_format == "delta":
-        writer = writer.option("overwriteSchema", "true")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(fqn)
-    return fqn
+    """Replace a layer table by ``df`` in one step and return its qualified name."""
+    return publish_version(df.sparkSession, cfg, stage_version(df, cfg, layer, name, partition_by))
