@@ -264,17 +264,41 @@ def metric_keys(metrics: DataFrame) -> DataFrame:
     return metrics.select(F.explode(F.map_keys("metrics")).alias("key")).distinct().orderBy("key")
 
 
-def metrics_wide(metrics: DataFrame, keys: Sequence[str], id_cols: Sequence[str] = ("line_id",)) -> DataFrame:
-    """One column per key of ``keys``, ``''`` where a line lacks the key.
+def key_union(metrics: DataFrame) -> list[str]:
+    """The sorted union of the keys of all lines, rare ones included.
 
-    Columns are part of the plan, so the caller names them (``metric_keys``
-    lists what there is); the lines are then read and parsed once.
+    One aggregate over the lines: each task sends each of its key sets once,
+    and one row with the union comes back, as wide as the table it names.
+    (A variant schema of the payloads, ``schema_of_variant_agg``, would not
+    do: payloads with ``NaN`` or a repeated key are no variants.)
     """
-    clash = set(keys) & set(id_cols)
-    if clash:
+    shapes = metrics.select(F.sort_array(F.map_keys("metrics")).alias("keys")).distinct()
+    union = shapes.select(F.explode("keys").alias("key")).agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    return list(union.first()["keys"])
+
+
+def metrics_wide(metrics: DataFrame, keys: Sequence[str] | None = None, id_cols: Sequence[str] = ("line_id",)) -> DataFrame:
+    """One column per key, ``''`` where a line lacks it; all keys of all lines, in order, if none are named.
+
+    Columns are part of the plan, so without ``keys`` the lines are read once
+    more, for the union of their keys. Keys that differ only in case would be
+    one column to Spark: a key whose lower-case form is taken, by an id column
+    or a key before it in order, gets underscores in front until its name is
+    free, so no key is lost.
+    """
+    if keys is None:
+        keys = key_union(metrics)
+    elif clash := set(keys) & set(id_cols):
         raise ValueError(f"Metric keys {sorted(clash)} collide with id columns.")
-    m = F.col("metrics")
-    return metrics.select(*id_cols, *[F.coalesce(m[k], F.lit("")).alias(k) for k in keys])
+    taken = {c.lower() for c in id_cols}
+    columns = []
+    for key in keys:
+        name = key
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        columns.append(F.coalesce(F.col("metrics")[key], F.lit("")).alias(name))
+    return metrics.select(*id_cols, *columns)
 
 
 def metrics_report(lines: DataFrame, line_col: str = "line") -> DataFrame:

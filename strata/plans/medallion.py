@@ -27,7 +27,7 @@ from strata.operators.marts import daily_country_sales
 from strata.operators.quality import apply_gate, profile, verdict
 from strata.sources.files import read_raw_csv
 from strata.sources.tables import ensure_schemas, read_layer
-from strata.sources.versions import check_version, discard_version, publish_version, stage_version
+from strata.sources.versions import check_version, discard_version, publish_version, quoted, stage_version
 
 # Table names, the metrics marker, and the fields of each line below.
 BRONZE_TABLE = "orders_raw"
@@ -77,16 +77,32 @@ def _emit(stage: str, payload: dict, log: Callable[[str], None]) -> dict:
 
 
 def metrics_sink(spark: SparkSession, table: str, log: Callable[[str], None] = print) -> Callable[[str], None]:
-    """A ``log`` for the steps that also appends each line to ``table`` as ``(logged_at, line)``."""
+    """A ``log`` for the steps that also keeps each metrics line in ``table`` (see ``write_metrics``)."""
 
     def write(line: str) -> None:
         log(line)
-        row = spark.createDataFrame([(line,)], "line string").select(F.current_timestamp().alias("logged_at"), "line")
-        row.write.mode("append").saveAsTable(table)
+        if line.startswith(METRICS_MARKER):
+            payload = json.loads(line.removeprefix(METRICS_MARKER))
+            write_metrics(spark.createDataFrame([(payload["stage"], line)], "stage string, line string"), table, str(payload.get("batch_id", "")))
 
     return write
 
 
+def write_metrics(lines: DataFrame, table: str, batch_id: str) -> str:
+    """Keep the ``(stage, line)`` rows of a batch in ``table``, one partition for each batch and stage.
+
+    Idempotent: a batch that runs again replaces its own lines, and only
+    those of the stages that it brings, in one dynamic overwrite.
+    """
+    spark = lines.sparkSession
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {quoted(table)} (line STRING, batch_id STRING, stage STRING) USING parquet "
+        "OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (batch_id, stage)"
+    )
+    lines.select("line", F.lit(batch_id).alias("batch_id"), "stage").write.insertInto(table, overwrite=True)
+    return table
+
+
 def run_bronze(
     spark: SparkSession,
     cfg: LayerConfig,

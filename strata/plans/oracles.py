@@ -266,6 +266,21 @@ FROM ({METRIC_PAYLOADS}) m
 """
 
 
+_RARE = f"""
+SELECT line_id, CASE WHEN line_id % 499 = 3 AND line LIKE '%}}' THEN substring(line, 1, length(line) - 1) || ', "retry": ' || CAST(line_id % 5 AS VARCHAR) || '}}' ELSE line END AS line
+FROM ({LOG}) l
+"""
+
+METRICS_WIDE_RARE_KEY = f"""
+SELECT line_id,
+       coalesce(json_extract_string(payload, '$.event_id'), '') AS event_id,
+       coalesce(json_extract_string(payload, '$.input'), '') AS input,
+       coalesce(json_extract_string(payload, '$.retry'), '') AS retry,
+       coalesce(json_extract_string(payload, '$.stage'), '') AS stage
+FROM ({METRIC_PAYLOADS.replace(LOG, _RARE)}) m
+"""
+
+
 METRICS_REPORT = f"""
 SELECT (SELECT count(*) FROM ({LOG}) l) AS log_lines,
        count(*) AS metric_lines,
@@ -373,6 +388,28 @@ SELECT m.doc_id, m.rule, m.message, n.n_lines FROM ({_required_markers(WORKFLOWS
 JOIN (SELECT doc_id, CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines FROM ({WORKFLOWS}) w) n USING (doc_id)
 """
 
+LOG_LINE_NUMBERS = f"""
+SELECT CAST(floor(line_id / 50000) AS BIGINT) AS part, row_number() OVER (PARTITION BY floor(line_id / 50000) ORDER BY line_id) AS line_no, line
+FROM ({LOG}) l
+"""
+
+_REJECTED = """
+SELECT 'l_linenumber' AS "column", 'first' AS value, l_orderkey FROM lineitem WHERE (l_orderkey + l_linenumber) % 61 = 0
+UNION ALL
+SELECT 'l_quantity', 'q' || CAST((l_orderkey + l_linenumber) % 10 AS VARCHAR), l_orderkey FROM lineitem WHERE (l_orderkey + l_linenumber) % 37 = 0
+UNION ALL
+SELECT 'l_shipdate', 'someday', l_orderkey FROM lineitem WHERE (l_orderkey + l_linenumber) % 53 = 0
+"""
+
+REJECTED_FIELDS = _REJECTED
+
+CSV_REJECTIONS = f"""
+SELECT c AS "column", count(value) AS rejected, min(value) AS example
+FROM (VALUES ('l_orderkey'), ('l_linenumber'), ('l_quantity'), ('l_shipdate'), ('l_returnflag')) n(c)
+LEFT JOIN ({_REJECTED}) r ON r."column" = c
+GROUP BY c
+"""
+
 _ORDER_ONLY = f"SELECT regexp_extract(order_id, '^ORD-([0-9]+)', 1) AS k FROM ({VALID}) v"
 
 GATE_RULES = f"""
@@ -419,7 +456,12 @@ def all_oracles() -> dict[str, str]:
             "extract_metrics": EXTRACT_METRICS,
             "metrics_long": METRICS_LONG,
             "metrics_wide": METRICS_WIDE,
+            "metrics_wide_rare_key": METRICS_WIDE_RARE_KEY,
             "metrics_report": METRICS_REPORT,
+            "log_line_numbers": LOG_LINE_NUMBERS,
+            "stage_metrics_table": f"SELECT 'B-001' AS batch_id, * FROM ({STAGE_METRICS}) s UNION ALL SELECT 'B-002', * FROM ({STAGE_METRICS}) g WHERE stage = 'gold'",
+            "csv_rejections": CSV_REJECTIONS,
+            "csv_rejected_fields": REJECTED_FIELDS,
             "rule_scan": _rule_scan(docs, CORPUS_RULES),
             "required_markers": _required_markers(docs),
             "rule_findings": _rule_findings(docs, CORPUS_RULES),

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.config import LayerConfig, preset
 from strata.operators import (
@@ -30,7 +31,17 @@ from strata.plans import medallion as M
 from strata.schemas import RAW_COLUMNS
 from strata.session import scratch_path
 from strata.sources.feeds import load, load_text, log_lines, orders_feed, workflow_texts
-from strata.sources.files import read_log_lines, read_numbered_lines, read_raw_csv, read_text_corpus, write_raw_csv
+from strata.sources.files import (
+    number_lines,
+    read_csv_with_corrupt,
+    read_log_lines,
+    read_numbered_lines,
+    read_raw_csv,
+    read_text_corpus,
+    rejected_fields,
+    rejection_report,
+    write_raw_csv,
+)
 from strata.sources.tables import ensure_schemas, read_layer, write_layer
 from strata.streaming.landing import ingest_bronze
 
@@ -48,8 +59,15 @@ LINEITEM_TIES = (
     "l_returnflag",
     "l_linestatus",
 )
-# Keys of the shaped log lines, in order.
-LOG_KEYS = ("event_id", "input", "stage")
+LINES_PER_FILE = 50_000
+BROKEN_CONTRACT = (
+    StructType()
+    .add("l_orderkey", "long")
+    .add("l_linenumber", "integer")
+    .add("l_quantity", "double")
+    .add("l_shipdate", "date")
+    .add("l_returnflag", "string")
+)
 # Rule set of the corpus scan: the two workflow line rules plus the
 # key/value credential pattern, which the prose corpus does contain.
 CORPUS_RULES = T.LINE_RULES + (
@@ -257,7 +275,15 @@ def q_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_metrics_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.metrics_wide(_metrics(spark, sf_dir), keys=LOG_KEYS)
+    return T.metrics_wide(_metrics(spark, sf_dir))
+
+
+def q_metrics_wide_rare_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide table where one line in 499 has a key of its own, which nobody has named."""
+    lines = log_lines(spark, sf_dir)
+    rare = (F.pmod("line_id", F.lit(499)) == 3) & F.col("line").endswith("}")
+    extra = F.concat(F.col("line").substr(F.lit(1), F.length("line") - 1), F.lit(', "retry": '), F.pmod("line_id", F.lit(5)).cast("string"), F.lit("}"))
+    return T.metrics_wide(T.extract_metrics(lines.withColumn("line", F.when(rare, extra).otherwise(F.col("line")))))
 
 
 def q_metric_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,6 +301,51 @@ def q_log_file_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.extract_metrics(read_log_lines(spark, path)).select("payload", F.col("metrics")["stage"].alias("stage"))
 
 
+def q_log_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log lines in files of up to ``LINES_PER_FILE``, numbered through splittable scans."""
+    path = scratch_path(spark, "numbered")
+    lines = log_lines(spark, sf_dir).withColumn("part", F.floor(F.col("line_id") / LINES_PER_FILE))
+    lines.repartition("part").sortWithinPartitions("part", "line_id").select("line", "part").write.partitionBy("part").text(path)
+    part = F.regexp_extract("source_file", "part=(-?[0-9]+)", 1).cast("bigint").alias("part")
+    return number_lines(spark, path).select(part, "line_no", "line")
+
+
+def q_stage_metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metric lines of a batch that runs twice, read from the table that keeps each once."""
+    cfg = LayerConfig(env="qa").with_prefix(_unique("mt"))
+    ensure_schemas(spark, cfg, scratch_path(spark, "metrics"))
+    lines = q_stage_metrics(spark, sf_dir)
+    table = cfg.table("gold", "run_metrics")
+    for _ in range(2):
+        M.write_metrics(lines, table, BATCH_ID)
+    M.write_metrics(lines.where("stage = 'gold'"), table, "B-002")
+    return spark.read.table(table).select("batch_id", "stage", "line")
+
+
+def _broken_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as CSV whose numbers and dates are broken in places, read under its contract."""
+    lineitem = load(spark, sf_dir, "lineitem")
+    key = F.col("l_orderkey") + F.col("l_linenumber")
+    text = {
+        "l_orderkey": F.col("l_orderkey").cast("string"),
+        "l_linenumber": F.when(key % 61 == 0, F.lit("first")).otherwise(F.col("l_linenumber").cast("string")),
+        "l_quantity": F.when(key % 37 == 0, F.concat(F.lit("q"), F.pmod(key, F.lit(10)).cast("string"))).otherwise(F.col("l_quantity").cast("string")),
+        "l_shipdate": F.when(key % 53 == 0, F.lit("someday")).when(key % 59 == 0, F.lit(None)).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")),
+        "l_returnflag": F.col("l_returnflag"),
+    }
+    landing = write_raw_csv(lineitem.select(*[c.alias(n) for n, c in text.items()]), f"{scratch_path(spark, 'broken')}/lineitem")
+    return read_csv_with_corrupt(spark, landing, BROKEN_CONTRACT)
+
+
+def q_csv_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejection_report(_broken_csv(spark, sf_dir), BROKEN_CONTRACT)
+
+
+def q_csv_rejected_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _broken_csv(spark, sf_dir)
+    return rejected_fields(raw, BROKEN_CONTRACT).select("column", "value", F.split("record", ",")[0].cast("bigint").alias("l_orderkey"))
+
+
 def q_workflow_file_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The workflow texts written as a file each, scanned as a corpus and by line."""
     path = scratch_path(spark, "workflows")
@@ -349,9 +420,14 @@ QUERIES: dict[str, Query] = {
     "extract_metrics": q_extract_metrics,
     "metrics_long": q_metrics_long,
     "metrics_wide": q_metrics_wide,
+    "metrics_wide_rare_key": q_metrics_wide_rare_key,
     "metrics_report": q_metrics_report,
     "metric_keys": q_metric_keys,
     "log_file_metrics": q_log_file_metrics,
+    "log_line_numbers": q_log_line_numbers,
+    "stage_metrics_table": q_stage_metrics_table,
+    "csv_rejections": q_csv_rejections,
+    "csv_rejected_fields": q_csv_rejected_fields,
     "workflow_redaction": q_workflow_redaction,
     "workflow_redaction_counts": q_workflow_redaction_counts,
     "workflow_findings": q_workflow_findings,
