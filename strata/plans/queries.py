@@ -25,6 +25,7 @@ from strata.operators import (
     normalise_orders,
     valid_orders,
 )
+from strata.functions.columns import python_lines
 from strata.operators import quality as Q
 from strata.operators import text as T
 from strata.plans import medallion as M
@@ -35,11 +36,11 @@ from strata.sources.files import (
     number_lines,
     read_csv_with_corrupt,
     read_log_lines,
-    read_numbered_lines,
+    read_packed_corpus,
     read_raw_csv,
-    read_text_corpus,
     rejected_fields,
     rejection_report,
+    write_packed_corpus,
     write_raw_csv,
 )
 from strata.sources.tables import ensure_schemas, read_layer, write_layer
@@ -347,19 +348,12 @@ def q_csv_rejected_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_workflow_file_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The workflow texts written as a file each, scanned as a corpus and by line."""
-    path = scratch_path(spark, "workflows")
-    texts = workflow_texts(spark, sf_dir)
-    # One file per text: a folder for each id, written by as many tasks as the scan has.
-    texts.write.partitionBy("doc_id").text(path)
-    corpus = read_text_corpus(spark, path, "*.txt").select(_folder_id("doc_id"), "text")
-    lines = read_numbered_lines(spark, path).select(_folder_id("source_file"), "line_no", "line")
-    long = lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
-    return T.required_markers(corpus).join(long, "doc_id")
-
-
-def _folder_id(path: str):
-    return F.regexp_extract(path, "doc_id=(-?[0-9]+)", 1).cast("bigint").alias("doc_id")
+    """The workflow texts packed into a few files, read again, with each text's lines counted."""
+    path = write_packed_corpus(workflow_texts(spark, sf_dir), scratch_path(spark, "workflows"))
+    # As a file of its own, a text would end with a line break.
+    n_lines = F.size(python_lines(F.concat("text", F.lit("\n")))).cast("bigint")
+    corpus = read_packed_corpus(spark, path).withColumn("doc_id", F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), n_lines.alias("n_lines")))
+    return T.required_markers(corpus).select("doc_id.doc_id", "rule", "message", "doc_id.n_lines")
 
 
 def q_workflow_redaction(spark: SparkSession, sf_dir: str) -> DataFrame:

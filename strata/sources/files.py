@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -106,6 +106,49 @@ def read_text_corpus(spark: SparkSession, path: str, glob: str = "*.{yml,yaml}")
     )
 
 
+# A packed corpus holds many texts in a file: each record is a name, a unit
+# separator and the text (none after the name for a NULL text), and ends with
+# a record separator. Inside a record both separators, and the escape itself,
+# are written as an escape and a letter.
+_RECORD, _UNIT, _ESCAPE = "\x1e", "\x1f", "\x1b"
+_ESCAPES = ((_ESCAPE, "e"), (_RECORD, "r"), (_UNIT, "u"))
+
+
+def _escaped(text: Column) -> Column:
+    for char, letter in _ESCAPES:
+        text = F.replace(text, F.lit(char), F.lit(_ESCAPE + letter))
+    return text
+
+
+def _unescaped(text: Column) -> Column:
+    for char, letter in reversed(_ESCAPES):
+        text = F.replace(text, F.lit(_ESCAPE + letter), F.lit(char))
+    return text
+
+
+def write_packed_corpus(df: DataFrame, path: str, name_col: str = "doc_id", text_col: str = "text") -> str:
+    """Write texts to as many files as ``df`` has partitions, however many texts there are.
+
+    A NULL name is written as an empty one. Any text comes back as it was,
+    separators and line breaks included.
+    """
+    name = F.coalesce(F.col(name_col).cast("string"), F.lit(""))
+    text = F.col(text_col)
+    record = F.concat(_escaped(name), F.when(text.isNull(), F.lit("")).otherwise(F.concat(F.lit(_UNIT), _escaped(text))))
+    df.select(record.alias("value")).write.option("lineSep", _RECORD).text(path)
+    return path
+
+
+def read_packed_corpus(spark: SparkSession, path: str) -> DataFrame:
+    """``(doc_id, text)`` of a packed corpus.
+
+    Splittable: a record belongs to the split in which it begins, so a large
+    file is read by many tasks and the driver lists files, not texts.
+    """
+    record = spark.read.option("lineSep", _RECORD).text(path).select(F.split("value", _UNIT, 2).alias("r"))
+    return record.select(_unescaped(F.col("r")[0]).alias("doc_id"), _unescaped(F.get("r", F.lit(1))).alias("text"))
+
+
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
     """Log files as ``(source_file, line_pos, line)``; ``line_pos`` orders lines within a file.
 

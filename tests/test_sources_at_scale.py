@@ -134,3 +134,23 @@ def test_keys_that_spark_would_take_for_one_stay_apart(spark):
 def test_no_metrics_give_a_table_without_keys(spark):
     none = _metrics(spark, "nothing")
     assert T.key_union(none) == [] and T.metrics_wide(none).columns == ["line_id"]
+
+
+def test_packed_corpus_gives_back_any_text(spark, small_splits, tmp_path):
+    rng = random.Random(3)
+    texts = [None, "", "plain", "\x1e", "\x1f\x1b", "\x1be\x1br\x1bu", "\n\r\n", "a" * 9000, *("".join(rng.choice("ab\x1b\x1e\x1feru\né😀") for _ in range(rng.randrange(300))) for _ in range(300))]
+    rows = [(f"n{i}\x1f/{i}", t) for i, t in enumerate(texts)] + [("n2\x1f/2", "plain"), ("", None)]
+    df = spark.createDataFrame(rows, "name string, body string").coalesce(2)
+    path = files.write_packed_corpus(df, f"file://{tmp_path}/packed", "name", "body")
+    written = [f for f in os.listdir(f"{tmp_path}/packed") if f.startswith("part-")]
+    back = files.read_packed_corpus(spark, path)
+    assert len(written) <= 2 and back.rdd.getNumPartitions() > 5  # few files, many tasks
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_packed_corpus_of_numbers_nulls_and_nothing(spark, tmp_path):
+    df = spark.createDataFrame([(-7, "x"), (None, "y")], "doc_id bigint, text string")
+    path = files.write_packed_corpus(df, f"file://{tmp_path}/a")
+    assert sorted(map(tuple, files.read_packed_corpus(spark, path).collect())) == [("", "y"), ("-7", "x")]
+    path = files.write_packed_corpus(df.limit(0), f"file://{tmp_path}/b")
+    assert files.read_packed_corpus(spark, path).collect() == []
