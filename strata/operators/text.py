@@ -7,12 +7,13 @@ aggregating reports shuffle, and those pre-aggregate on the map side.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.columns import python_lines, strip_whitespace
+from strata.operators.structure import bound, root_block
 
 # Credential patterns, applied in this order; every match
 # becomes the mask. (name, Java regex)
@@ -74,12 +75,10 @@ LINE_RULES: tuple[tuple[str, str, str], ...] = (
     ),
 )
 
-_FLOW_ROOT = r"(?s)\A(?:[ \t]*(?:#[^\n]*|---[^\n]*)?\r?\n)*[ \t]*\{"
 
-
-def _key(names: str) -> tuple[str, str]:
-    """Regexes for a root key in block style, and for a key of a text whose root is a flow mapping."""
-    return rf"(?m)^(?:{names})[ \t]*:(?:[ \t]|$)", rf"{_FLOW_ROOT}(?:.*[{{,\s])?(?:{names})[ \t]*:[\s]"
+def _key(names: str) -> tuple[str, ...]:
+    """The regex for a root key (flow roots are rewritten in block style first)."""
+    return (rf"(?m)^(?:{names})[ \t]*:(?:[ \t]|$)",)
 
 
 _EMPTY = r"(?:\{[ \t]*\}|\[[ \t]*\]|null|Null|NULL|~|\"\"|''|false|False|FALSE|no|No|NO|off|Off|OFF|0)"
@@ -109,12 +108,12 @@ REQUIRED_MARKERS: tuple[tuple[str, tuple[str, ...], str, tuple[str, ...]], ...]
         "missing_jobs",
         (
             rf"(?m)^{_JOBS}[ \t]*:(?:[ \t]*(?:#[^\n]*)?\r?\n(?:[ \t]*(?:#[^\n]*)?\r?\n)*(?:[ \t]+[^\s#]|-[ \t])|[ \t]+[^\s#])",
-            rf"{_FLOW_ROOT}(?:.*[{{,\s])?{_JOBS}[ \t]*:[ \t]+[^\s,}}#]",
         ),
         "no jobs defined",
         (
             rf"(?m)^{_JOBS}[ \t]*:[ \t]+{_EMPTY}[ \t]*(?:#[^\n]*)?\r?$",
-            rf"{_FLOW_ROOT}(?:.*[{{,\s])?{_JOBS}[ \t]*:[ \t]+{_EMPTY}\s*[,}}]",
+            # A flow value over several lines without any content.
+            rf"(?m)^{_JOBS}[ \t]*:[ \t]+[\[{{][ \t]*(?:#[^\n]*)?\r?\n(?:[ \t]*\r?\n)*+(?![ \t]+x)",
         ),
     ),
 )
@@ -357,10 +356,14 @@ def rule_scan(
     return hits.select(F.col(id_col), "line_no", *_rule_labels(rules, F.col("rule_idx")))
 
 
-def _root_text(text: Column) -> Column:
-    """The text with its root's indentation taken off every line."""
-    indent = F.regexp_extract(text, _ROOT_INDENT, 1)
-    return F.when(indent == F.lit(""), text).otherwise(F.regexp_replace(text, F.concat(F.lit("(?m)^"), indent), F.lit("")))
+def _with_root(text: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` on the text with its root in block style, and the root's indentation taken off every line."""
+
+    def unindented(text: Column) -> Column:
+        indent = F.regexp_extract(text, _ROOT_INDENT, 1)
+        return F.when(indent == F.lit(""), text).otherwise(F.regexp_replace(text, F.concat(F.lit("(?m)^"), indent), F.lit("")))
+
+    return bound(root_block(text), lambda block: bound(unindented(block), use))
 
 
 def _marker_missing(text: Column, marker: tuple) -> Column:
@@ -386,14 +389,15 @@ def required_markers(
 
     Tested on the whole text (multi-line regex), so no line explode and no
     shuffle. Keys may be quoted, the root may be indented, and it may be a
-    flow mapping. A pattern check, not a YAML parse: in a flow mapping a key
-    counts at any depth, and text inside block scalars counts as lines.
+    flow mapping. Only keys of the root count: what stands in block scalars,
+    in quotations, or in flow collections at any depth is masked first (see
+    ``strata.operators.structure``).
     """
-    text = _root_text(F.col(text_col))
-    missing = F.filter(
-        F.array(*[F.when(_marker_missing(text, m), F.lit(i)) for i, m in enumerate(markers)]),
-        lambda x: x.isNotNull(),
-    )
+
+    def lacks(root: Column) -> Column:
+        return F.filter(F.array(*[F.when(_marker_missing(root, m), F.lit(i)) for i, m in enumerate(markers)]), lambda x: x.isNotNull())
+
+    missing = _with_root(F.col(text_col), lacks)
     found = docs.select(F.col(id_col), F.explode(missing).alias("rule_idx"))
     return found.select(F.col(id_col), *_rule_labels(markers, F.col("rule_idx")))
 
@@ -425,17 +429,15 @@ def _findings(text: Column, rules: Sequence[tuple[str, str, str]], markers: Sequ
         return F.filter(F.array(*hits).cast(f"array<{_FINDING}>"), lambda x: x.isNotNull())
 
     line_hits = F.flatten(F.transform(python_lines(text), on_line))
-    root = _root_text(text)
-    doc_hits = F.filter(
-        F.array(
-            *[
-                F.when(_marker_missing(root, m), F.struct(F.lit(None).cast("int").alias("line_no"), F.lit(len(rules) + k).alias("rule_idx")))
-                for k, m in enumerate(markers)
-            ]
-        ).cast(f"array<{_FINDING}>"),
-        lambda x: x.isNotNull(),
-    )
-    return F.concat(line_hits, doc_hits)
+
+    def lacks(root: Column) -> Column:
+        hits = [
+            F.when(_marker_missing(root, m), F.struct(F.lit(None).cast("int").alias("line_no"), F.lit(len(rules) + k).alias("rule_idx")))
+            for k, m in enumerate(markers)
+        ]
+        return F.filter(F.array(*hits).cast(f"array<{_FINDING}>"), lambda x: x.isNotNull())
+
+    return F.concat(line_hits, _with_root(text, lacks))
 
 
 def scan_findings(

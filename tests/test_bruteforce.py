@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 from datetime import date, datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal
@@ -126,7 +127,23 @@ JOBS = [
     '"jobs":\n  build:\n    runs-on: x',
     "'jobs': {}",
 ]
-FLOW = ["on: push", "'on': push", "permissions: read-all", '"permissions": {a: b}', "jobs: {a: {b: c}}", "jobs: {}", "jobs: []", "name: x"]
+FLOW_KEYS = ["on: push", "'on': push", '"on":push', "permissions: read-all", '"permissions": {a: b}', "jobs: {a: {b: c}}", "jobs: {}", "jobs: [ ]", "jobs: {a: [{}]}", "jobs: ''"]
+# Values that hold what looks like root keys, and are none.
+DECOYS = [
+    "name: {on: x, permissions: y, jobs: {a: b}}",
+    "name: {\non: push\n, jobs: {a: b},\npermissions: x}",
+    "name: [a,\n  {jobs: 1},\n  'on: x',\n]",
+    "name: |\n  on: push\n  jobs: {\n\n   permissions: x",
+    "name: >-\n   jobs:\n     a: b\n   don't [",
+    "steps:\n  - run: |\n      {\n      jobs: \"\n    uses: x\n  - run: >2\n      '",
+    "steps:\n- |\n  on: {\n- a",
+    "name: \"on: x\n  jobs: y\"",
+    "name: 'it''s {\n  permissions: [\n\n  on: z'",
+    "name: plain {text [ with marks",
+    "name: a # {",
+    "if: ${{ github.ref }}",
+    "list: [a, b] # on: [",
+]
 
 # At most one variant per top-level key: a repeated key is invalid for workflow
 # files (a YAML loader would silently keep the last one).
@@ -134,7 +151,8 @@ documents = st.tuples(
     st.one_of(st.none(), st.sampled_from(TRIGGERS)),
     st.one_of(st.none(), st.sampled_from(PERMISSIONS)),
     st.one_of(st.none(), st.sampled_from(JOBS)),
-    st.sampled_from([None, "name: CI"]),
+    st.sampled_from([None, "top: CI"]),
+    st.one_of(st.none(), st.sampled_from(DECOYS)),
 ).map(lambda parts: [p for p in parts if p is not None]).filter(bool).flatmap(st.permutations)
 
 
@@ -155,14 +173,26 @@ def _expected(text: str) -> set[str] | None:
     return missing
 
 
-@settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(documents, min_size=1, max_size=12))
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(documents, min_size=1, max_size=40))
 def test_required_markers_match_a_yaml_parse(spark, docs):
-    from strata.operators import text as T
-
     block = ["\n".join(d) + "\n" for d in docs]
     texts = [*block, *("# note\n\n" + "".join(f"   {x}\n" for x in t.splitlines()) for t in block)]
-    texts += ["{" + ", ".join(FLOW[i] for i in sorted({hash(t + str(k)) % len(FLOW) for k in range(4)})) + "}\n" for t in block]
+    _compare_markers(spark, texts)
+
+
+flows = st.lists(st.sampled_from([*FLOW_KEYS, "name: x", "n: {on: x, jobs: {a: b}}", "n: [jobs, {permissions: x}]", "n: 'jobs: {a: b}, on: x'", 'n: "}, on: x"', "n: a:b", "n: {# on: x\n}"]), max_size=6, unique_by=lambda e: re.sub("[^a-z].*", "", e.strip("\"'"), flags=re.S))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(flows, st.sampled_from([", ", ",", "\n, ", ",\n"]), st.sampled_from(["", "# {on: x}\n", "---\n", "--- ", "  "])), min_size=1, max_size=30))
+def test_required_markers_of_flow_roots_match_a_yaml_parse(spark, parts):
+    _compare_markers(spark, [f"{head}{{{sep.join(entries)}}}\n" for entries, sep, head in parts])
+
+
+def _compare_markers(spark, texts):
+    from strata.operators import text as T
+
     expected = {i: _expected(t) for i, t in enumerate(texts)}
     rows = [(i, t) for i, t in enumerate(texts) if expected[i] is not None]
     if not rows:
@@ -171,7 +201,8 @@ def test_required_markers_match_a_yaml_parse(spark, docs):
     got: dict[int, set[str]] = {i: set() for i, _ in rows}
     for r in T.required_markers(df).collect():
         got[r.doc_id].add(r.rule)
-    assert got == {i: expected[i] for i, _ in rows}
+    wrong = [(t, sorted(expected[i]), sorted(got[i])) for i, t in rows if got[i] != expected[i]]
+    assert not wrong, wrong[:3]
 
 
 # ----------------------------------------------------------------------------- line rules vs Python re
@@ -218,7 +249,7 @@ def _trim(s):  # Spark trim: spaces only
     return None if s is None else s.strip(" ")
 
 
-@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(raw_rows)
 def test_clean_orders_matches_python(spark, rows):
     from strata.operators import clean_orders
@@ -248,7 +279,7 @@ SECRET_BITS = ["token", "=", ": ", " ", "ghp_" + "a" * 20, "sk-" + "b" * 20, "da
                "ſecret", "\xa0", "api-key", "passwd:", "\x1c", "\x1d", "\x1e", "\x1f", "\x85"]
 
 
-@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.lists(st.sampled_from(SECRET_BITS), max_size=10).map("".join), min_size=1, max_size=8))
 def test_redaction_hits_match_python(spark, texts):
     import re
