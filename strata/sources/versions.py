@@ -86,7 +86,7 @@ def stage_version(
     return StagedVersion(layer, name, table, dict(observation.get))
 
 
-def versions(spark: SparkSession, cfg: LayerConfig, layer: str, name: str) -> list[str]:
+def layer_versions(spark: SparkSession, cfg: LayerConfig, layer: str, name: str) -> list[str]:
     """Qualified names of all versions of a layer table, oldest first."""
     found = spark.sql(f"SHOW TABLES IN {quoted(cfg.namespace(layer))} LIKE '{name.lower()}{_MARK}*'")
     # One row for each version: the current one, the one before, and what lost jobs left.
@@ -109,7 +109,7 @@ def publish_version(spark: SparkSession, cfg: LayerConfig, staged: StagedVersion
     if spark.catalog.tableExists(fqn) and spark.catalog.getTable(fqn).tableType != "VIEW":
         spark.sql(f"ALTER TABLE {quoted(fqn)} RENAME TO {quoted(f'{fqn}{_MARK}0')}")
     spark.sql(f"CREATE OR REPLACE VIEW {quoted(fqn)} AS SELECT * FROM {quoted(staged.table)}")
-    older = [v for v in versions(spark, cfg, staged.layer, staged.name) if v.lower() < staged.table.lower()]
+    older = [v for v in layer_versions(spark, cfg, staged.layer, staged.name) if v.lower() < staged.table.lower()]
     for version in older[: max(0, len(older) - keep)]:
         spark.sql(f"DROP TABLE IF EXISTS {quoted(version)}")
     return fqn

@@ -42,7 +42,7 @@ def test_job_lost_between_write_and_publish_leaves_silver_whole(spark, layers, m
     cfg, root = layers
     M.run_bronze(spark, cfg, "B-1", _land(spark, root, seed_feed(spark)), root)
     M.run_silver(spark, cfg, "B-1")
-    before, held = _rows(spark, cfg), V.versions(spark, cfg, "silver", M.SILVER_TABLE)
+    before, held = _rows(spark, cfg), V.layer_versions(spark, cfg, "silver", M.SILVER_TABLE)
     assert len(before) == 500 and len(held) == 1
     running = read_layer(spark, cfg, "silver", M.SILVER_TABLE)
 
@@ -57,7 +57,7 @@ def test_job_lost_between_write_and_publish_leaves_silver_whole(spark, layers, m
     with pytest.raises(Killed):
         M.run_silver(spark, cfg, "B-2")
     monkeypatch.undo()
-    left = V.versions(spark, cfg, "silver", M.SILVER_TABLE)
+    left = V.layer_versions(spark, cfg, "silver", M.SILVER_TABLE)
     assert len(left) == 2 and spark.read.table(left[1]).count() == 500  # written whole, and unseen
     assert _rows(spark, cfg) == before
 
@@ -65,8 +65,8 @@ def test_job_lost_between_write_and_publish_leaves_silver_whole(spark, layers, m
     after = _rows(spark, cfg)
     assert len(after) == 500 and after != before
     M.run_silver(spark, cfg, "B-3")
-    assert left[1] not in V.versions(spark, cfg, "silver", M.SILVER_TABLE)  # what the lost job left is gone
-    assert len(V.versions(spark, cfg, "silver", M.SILVER_TABLE)) == 2
+    assert left[1] not in V.layer_versions(spark, cfg, "silver", M.SILVER_TABLE)  # what the lost job left is gone
+    assert len(V.layer_versions(spark, cfg, "silver", M.SILVER_TABLE)) == 2
     assert running.columns == read_layer(spark, cfg, "silver", M.SILVER_TABLE).columns
 
 
@@ -98,7 +98,7 @@ def test_strict_gate_audits_the_files_and_discards_them(spark, layers, feed):
     M.run_bronze(spark, cfg, "B", _land(spark, root, feed(order("a"), order("b", customer=""))), root)
     with pytest.raises(QualityGateError, match="rejection rate 50.00%"):
         M.run_silver(spark, cfg, "B")
-    assert _rows(spark, cfg) == before and len(V.versions(spark, cfg, "silver", M.SILVER_TABLE)) == 1
+    assert _rows(spark, cfg) == before and len(V.layer_versions(spark, cfg, "silver", M.SILVER_TABLE)) == 1
 
 
 def test_files_that_lack_rows_are_not_published(spark, layers):
@@ -110,7 +110,7 @@ def test_files_that_lack_rows_are_not_published(spark, layers):
         V.check_version(staged, 9)
     assert not spark.catalog.tableExists(cfg.table("silver", "t"))
     V.discard_version(spark, staged)
-    assert V.versions(spark, cfg, "silver", "t") == []
+    assert V.layer_versions(spark, cfg, "silver", "t") == []
 
 
 def test_schema_and_partitions_may_change_with_a_version(spark, layers):
@@ -129,16 +129,16 @@ def test_plain_table_of_the_name_becomes_a_version(spark, layers):
     spark.range(3).write.saveAsTable(cfg.table("gold", "t"))
     write_layer(spark.range(4), cfg, "gold", "t")
     assert read_layer(spark, cfg, "gold", "t").count() == 4
-    assert V.versions(spark, cfg, "gold", "t")[0] == cfg.table("gold", "t__v0")
+    assert V.layer_versions(spark, cfg, "gold", "t")[0] == cfg.table("gold", "t__v0")
     write_layer(spark.range(5), cfg, "gold", "t")
-    assert cfg.table("gold", "t__v0") not in V.versions(spark, cfg, "gold", "t")
+    assert cfg.table("gold", "t__v0") not in V.layer_versions(spark, cfg, "gold", "t")
 
 
 def test_versions_of_one_name_are_not_those_of_another(spark, layers):
     cfg, _ = layers
     for name in ("t", "t2", "a_t"):
         write_layer(spark.range(1), cfg, "gold", name)
-    assert len(V.versions(spark, cfg, "gold", "t")) == 1
+    assert len(V.layer_versions(spark, cfg, "gold", "t")) == 1
 
 
 def test_schema_locations_are_quoted(spark):
