@@ -23,12 +23,15 @@ CONTRACTS = {
     "op6_token_counts": {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
     "op7_embedding_dedup": {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"},
     "op10_suffix_dedup": {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
+    "op11_token_alignment": {"doc_id": "bigint", **dict.fromkeys(("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"), "bigint"), "groups_sha256": "string"},
+    "op12_periodic_runs": {"doc_id": "bigint", **dict.fromkeys(("n_runs", "start", "length", "period", "exponent_milli"), "bigint"), "runs_sha256": "string", "collapsed_sha256": "string"},
+    "op13_url_filter": {"page_id": "bigint", **dict.fromkeys(("host", "path", "rule", "verdict"), "string")},
 }
 
 
 def test_each_operator_has_one_query():
     numbers = collections.Counter(name.split("_")[0] for name in QUERIES)
-    assert numbers == {f"op{n}": 1 for n in range(1, 11)}
+    assert numbers == {f"op{n}": 1 for n in range(1, 14)}
     assert set(queries()) > {*QUERIES, "pipeline"} and set(oracle_sql()) > set(ORACLES)
 
 
@@ -37,7 +40,7 @@ def test_queries_return_what_their_contract_says(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
     types = dict(df.dtypes)
     assert {c: types.get(c) for c in CONTRACTS[name]} == CONTRACTS[name]
-    source = table(spark, SF_SMALL, "embeddings" if "vec_id" in types else "documents")
+    source = table(spark, SF_SMALL, next((t for c, t in (("vec_id", "embeddings"), ("page_id", "pages")) if c in types), "documents"))
     assert df.count() == source.count()
 
 
