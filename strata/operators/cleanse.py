@@ -81,10 +81,11 @@ def derive_amount(df: DataFrame) -> DataFrame:
     )
 
 
-def clean_orders(df: DataFrame, tie_breakers: Sequence[str] = ORDER_TIE_BREAKERS) -> DataFrame:
+def clean_orders(df: DataFrame, tie_breakers: Sequence[str] = ORDER_TIE_BREAKERS, spread: bool = True) -> DataFrame:
     """Raw or bronze orders -> silver: one valid, normalised row per ``order_id``.
 
     The latest ``order_ts`` wins (NULL times last). Audit columns pass through.
+    ``spread``: see ``deduplicate_latest``.
     """
     prepared = derive_amount(valid_orders(normalise_orders(df)))
-    return deduplicate_latest(prepared, keys=["order_id"], order_by="order_ts", tie_breakers=tie_breakers)
+    return deduplicate_latest(prepared, keys=["order_id"], order_by="order_ts", tie_breakers=tie_breakers, spread=spread)

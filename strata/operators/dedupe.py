@@ -16,6 +16,7 @@ def deduplicate_latest(
     keys: Sequence[str],
     order_by: str,
     tie_breakers: Sequence[str] = (),
+    spread: bool = True,
 ) -> DataFrame:
     """One row per ``keys`` combination: the one with the greatest ``order_by``.
 
@@ -27,9 +28,17 @@ def deduplicate_latest(
     partial ``WindowGroupLimit`` before the shuffle and a final one after it,
     so a key holding a large share of the rows sends at most one row per map
     task across the network.
+
+    That partial limit sorts all rows of its task. A scan task holds as many
+    as its split does, which a compressed file multiplies, so the rows are
+    first rebalanced on key and ordering: AQE sizes those partitions, and
+    splits the ones that many equal rows fill. ``spread=False`` leaves that
+    shuffle out, for rows that come straight from a shuffle anyway.
     """
     if not keys:
         raise ValueError("deduplicate_latest needs the columns that make up a key")
+    if spread:
+        df = df.hint("rebalance", *dict.fromkeys([*keys, order_by, *tie_breakers]))
     ordering = [F.col(order_by).desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in tie_breakers]
     window = Window.partitionBy(*keys).orderBy(*ordering)
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == F.lit(1)).drop(_RANK)

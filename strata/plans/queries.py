@@ -77,7 +77,8 @@ CORPUS_RULES = T.LINE_RULES + (
 
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_orders(orders_feed(spark, sf_dir))
+    # The feed comes out of its joins' shuffle.
+    return clean_orders(orders_feed(spark, sf_dir), spread=False)
 
 
 def _gold(spark: SparkSession, sf_dir: str, sort: bool = True) -> DataFrame:

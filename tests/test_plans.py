@@ -46,6 +46,20 @@ def test_dedup_limits_each_key_before_the_shuffle(spark):
     assert 0 <= partial < exchange
 
 
+def test_dedup_never_sorts_whole_scan_tasks(spark, tmp_path):
+    from strata.operators import deduplicate_latest
+
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "key string, at int, v string").write.parquet(path)
+    rows = deduplicate_latest(spark.read.parquet(path), ["key"], "at", tie_breakers=["v"])
+    lines = _plan(rows).splitlines()
+    partial = next(i for i, line in enumerate(lines) if "WindowGroupLimit" in line and "Partial" in line)
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line)
+    # AQE sizes the partitions that the partial limit sorts.
+    assert any("REBALANCE_PARTITIONS" in line for line in lines[partial:scan]), lines
+    assert sorted(map(tuple, rows.collect())) == [("a", 2, "y"), ("b", 1, "z")]
+
+
 def test_gold_scan_reads_only_needed_columns(spark):
     plan = _formatted(queries()["daily_country_sales"](spark, SF_SMALL))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
