@@ -24,6 +24,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -99,18 +100,24 @@ class Pieces:
         upper = (self.hashes >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
         self.starts = np.searchsorted(upper, np.arange((1 << _BUCKET_BITS) + 1)).astype(np.int32)
         self.deepest = int(np.diff(self.starts).max())
+        self.filled = np.diff(self.starts) > 0
         self.hashes = np.concatenate([self.hashes, np.zeros(self.deepest, np.uint64)])
         self.weights = np.concatenate([self.weights, np.zeros(self.deepest)])
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """The weight of the piece with each hash, 0 where there is none."""
-        at = self.starts[(hashes >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)]
-        out = np.zeros(len(hashes))
+        self.ids = np.array([self.table[n][0][0] for n in names] + [-1] * self.deepest, np.int32)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the hashes belong to a piece, with the pieces' weights and ids."""
+        bucket = (hashes >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
+        places = np.flatnonzero(self.filled[bucket])  # most hashes meet an empty bucket
+        wanted, at = hashes[places], self.starts[bucket[places]]
+        found = np.full(len(places), -1, np.int64)
         for _ in range(self.deepest):
-            hit = self.hashes[at] == hashes
-            out[hit] = self.weights[at[hit]]
+            hit = self.hashes[at] == wanted
+            found[hit] = at[hit]
             at += 1
-        return out
+        hit = found >= 0
+        found = found[hit]
+        return places[hit], self.weights[found], self.ids[found]
 
     def spell(self, atom: str, cuts: Sequence[int]) -> tuple[int, ...]:
         """The ids of the path that steps to ``cuts``."""
@@ -139,7 +146,8 @@ class Pieces:
 class Solved:
     """The lattices of atoms of one length, as arrays.
 
-    ``weight[a, i, j]`` belongs to the piece from ``i`` to ``j + 1``; ``mass``
+    ``weight[a, i, j]`` and ``piece[a, i, j]`` (its id; -1 for bytes) belong
+    to the piece from ``i`` to ``j + 1``; ``mass``
     and ``best`` are the weights of all paths to the end and of the best
     one; ``to`` is where the best one steps.
     """
@@ -149,16 +157,20 @@ class Solved:
         codes = np.frombuffer("".join(atoms).encode("utf-32-le", "replace"), np.uint32).reshape(-1, n).astype(np.uint64)
         rows = len(codes)
         self.weight = np.zeros((rows, n, n))
-        for i in range(n):
-            h = np.zeros(rows, np.uint64)
-            for j in range(i, min(n, i + pieces.longest)):
-                h = h * np.uint64(_FACTOR) + codes[:, j] + np.uint64(1)
-                self.weight[:, i, j] = pieces.find((h ^ (h >> np.uint64(29))) * np.uint64(_MIX))
-            bare = np.flatnonzero(self.weight[:, i, i] == 0.0)
-            if len(bare):
-                c = codes[bare, i]
-                size = 1 + (c >= 0x80).astype(int) + (c >= 0x800) + (c >= 0x10000)
-                self.weight[bare, i, i] = np.exp(pieces.byte_logp * size + _SCALE)
+        self.piece = np.full((rows, n, n), -1, np.int32)
+        # All substrings of one length at once.
+        h = np.zeros((rows, n), np.uint64)
+        for size in range(1, min(n, pieces.longest) + 1):
+            h = h[:, : n - size + 1] * np.uint64(_FACTOR) + codes[:, size - 1 :] + np.uint64(1)
+            at, weights, ids = pieces.find(((h ^ (h >> np.uint64(29))) * np.uint64(_MIX)).ravel())
+            a, i = np.divmod(at, n - size + 1)
+            self.weight[a, i, i + size - 1] = weights
+            self.piece[a, i, i + size - 1] = ids
+        a, i = np.nonzero(np.diagonal(self.weight, axis1=1, axis2=2) == 0.0)
+        if len(a):
+            c = codes[a, i]
+            size = 1 + (c >= 0x80).astype(int) + (c >= 0x800) + (c >= 0x10000)
+            self.weight[a, i, i] = np.exp(pieces.byte_logp * size + _SCALE)
         self.mass, self.best = np.ones((rows, n + 1)), np.ones((rows, n + 1))
         self.to = np.zeros((rows, n), np.int64)
         for i in range(n - 1, -1, -1):
@@ -168,26 +180,28 @@ class Solved:
             self.best[:, i] = ways[np.arange(rows), k]
             self.to[:, i] = i + 1 + k
 
-    def paths(self) -> list[tuple[int, ...]]:
-        """The best path of each atom, as the ends of its pieces."""
-        out = []
-        for to in self.to.tolist():
-            path, i = [], 0
-            while i < self.length:
-                i = to[i]
-                path.append(i)
-            out.append(tuple(path))
-        return out
+    def best_paths(self) -> tuple[np.ndarray, np.ndarray]:
+        """The best path of each atom: its cuts, and by their first characters its pieces' ids (-2: no piece starts there)."""
+        rows, n = self.to.shape
+        cuts, ids = np.zeros((rows, n + 1), bool), np.full((rows, n), -2, np.int32)
+        live, at = np.arange(rows), np.zeros(rows, np.int64)
+        while len(live):
+            end = self.to[live, at]
+            ids[live, at] = self.piece[live, at, end - 1]
+            cuts[live, end] = True
+            on = end < n
+            live, at = live[on], end[on]
+        return cuts, ids
 
-    def pick(self, rows: np.ndarray, u: np.ndarray) -> tuple[list[tuple[int, ...]], np.ndarray]:
-        """The path of each row whose interval holds ``u``, and its log probability.
+    def pick(self, rows: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The path of each row whose interval holds ``u``: cuts and ids as ``best_paths`` gives them, and its log probability.
 
         At every position the best path's piece comes first, so that path
         has the interval from 0 to its probability, and any path an interval
         of its probability's length.
         """
         n, count = self.length, len(rows)
-        cuts = np.zeros((count, n + 1), bool)
+        cuts, ids = np.zeros((count, n + 1), bool), np.full((count, n), -2, np.int32)
         logp = np.zeros(count)
         live, at, u = np.arange(count), np.zeros(count, np.int64), u.copy()
         while len(live):
@@ -212,23 +226,37 @@ class Solved:
             u[live] = np.clip((here - start) / width, 0.0, 1.0)
             logp[live] += np.log(width)
             cuts[live, step + 1] = True
+            ids[live, i] = self.piece[a, i, step]
             at[live] = step + 1
             live = live[step + 1 < n]
-        ends = [[] for _ in range(count)]
-        for row, end in zip(*(x.tolist() for x in np.nonzero(cuts))):
-            ends[row].append(end)
-        return [tuple(e) for e in ends], logp
+        return cuts, ids, logp
+
+
+def ends_of(cuts: np.ndarray) -> tuple[int, ...]:
+    return tuple(np.flatnonzero(cuts).tolist())
+
+
+def joined(pieces: Pieces, atoms: Sequence[str], cuts: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows one after another, and how many each row has; ``cuts`` and ``ids`` as ``best_paths`` gives them."""
+    rows = np.flatnonzero((ids == -1).any(axis=1))
+    if not len(rows):
+        starts = ids >= 0
+        return ids[starts], starts.sum(axis=1)
+    # A row with characters that are no piece is spelled by itself.
+    spelled = dict(zip(rows.tolist(), (pieces.spell(atoms[r], ends_of(cuts[r])) for r in rows.tolist())))
+    every = [np.array(spelled[r], np.int32) if r in spelled else row[row >= 0] for r, row in enumerate(ids)]
+    return np.concatenate(every), np.fromiter(map(len, every), np.int64, len(every))
 
 
 def by_length(atoms: list[str]) -> Iterator[list[int]]:
     """The atoms' places, in groups of one length and bounded size."""
-    groups: dict[int, list[int]] = {}
-    for place, atom in enumerate(atoms):
-        groups.setdefault(len(atom), []).append(place)
-    for n, places in sorted(groups.items()):
-        size = max(1, _CELLS // (n * n))
-        for at in range(0, len(places), size):
-            yield places[at : at + size]
+    lengths = np.fromiter(map(len, atoms), np.int64, len(atoms))
+    order = np.argsort(lengths, kind="stable")
+    for places in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1):
+        if len(places):
+            size = max(1, _CELLS // int(lengths[places[0]]) ** 2)
+            for at in range(0, len(places), size):
+                yield places[at : at + size].tolist()
 
 
 class Lattice:
@@ -317,22 +345,50 @@ class Lattice:
 
 
 class _Numbers(dict):
-    """Atom -> its number; atoms that are new are listed as they are first asked for."""
+    """Atom -> its number; ``names`` lists the atoms in the order in which they were first asked for."""
 
     def __init__(self):
-        self.new: list[str] = []
+        self.names: list[str] = []
 
     def __missing__(self, atom: str) -> int:
         number = self[atom] = len(self)
-        self.new.append(atom)
+        self.names.append(atom)
         return number
 
 
+class _Picks:
+    """Paths drawn for a batch of texts, by number: log probabilities, ids in one array, and the cuts."""
+
+    def __init__(self):
+        self.logp, self.begin, self.count = np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
+        self.cuts: list[Sequence[np.ndarray]] = []
+        self.first = [0]
+
+    def add(self, logp: np.ndarray, count: np.ndarray, ids: np.ndarray, cuts: Sequence[np.ndarray]) -> np.ndarray:
+        """The numbers of the paths, whose ids stand one after another."""
+        numbers = len(self.logp) + np.arange(len(logp))
+        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(count) - count])
+        self.logp, self.count = np.concatenate([self.logp, logp]), np.concatenate([self.count, count])
+        self.ids = np.concatenate([self.ids, ids])
+        self.cuts.append(cuts)
+        self.first.append(len(self.logp))
+        return numbers
+
+    def path(self, number: int) -> tuple[int, ...]:
+        """The ends of the path's pieces."""
+        group = bisect_right(self.first, number) - 1
+        return ends_of(self.cuts[group][number - self.first[group]])
+
+
 @dataclass
 class _Text:
-    """One text's search: its atoms, what is known of them, samples found and sets still queued."""
+    """One text's search: its atoms' numbers, what is known of them, samples found and sets still queued.
+
+    The steps of a sample that leave their best paths are two arrays, steps
+    in order and the numbers of their picks.
+    """
 
-    atoms: list[str]
     numbers: np.ndarray
     best: np.ndarray
     single: np.ndarray
@@ -342,6 +398,18 @@ class _Text:
     serial: int = 0
 
 
+_NONE = np.zeros(0, np.int64)
+
+
+def _grown(values: np.ndarray, need: int) -> np.ndarray:
+    """``values``, or a copy with room for ``need``."""
+    if need <= len(values):
+        return values
+    out = np.zeros(max(need, 2 * len(values)), values.dtype)
+    out[: len(values)] = values
+    return out
+
+
 class Sampler:
     """The worker's solved atoms, and the search over texts as chains of them."""
 
@@ -351,123 +419,176 @@ class Sampler:
 
     def forget(self) -> None:
         self.number = _Numbers()
-        self.ids: list[tuple[int, ...]] = []
+        # Of each atom: log probability and ids of its best path, and whether it has no other.
+        self.known = 0
         self.logp = np.zeros(1 << 14)
         self.single = np.zeros(1 << 14, bool)
-        self.solved: dict[str, tuple[Solved, int]] = {}
-
-    def _learn(self) -> None:
-        """Best paths of the new atoms, those of one length at a time."""
-        atoms, self.number.new = self.number.new, []
-        first, need = len(self.ids), len(self.ids) + len(atoms)
-        while need > len(self.logp):
-            self.logp, self.single = np.resize(self.logp, 2 * len(self.logp)), np.resize(self.single, 2 * len(self.single))
-        self.ids += [()] * len(atoms)
+        self.begin, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.ids, self.used = np.zeros(1 << 15, np.int32), 0
+        self._drop()
+
+    def _drop(self) -> None:
+        """Lattices are kept for one batch only; ``place`` is an atom's group in ``solved`` plus one, and its row there."""
+        self.solved: list[Solved] = []
+        self.place = np.zeros((len(self.logp), 2), np.int32)
+
+    def _learn(self) -> int:
+        """Best paths of the new atoms, those of one length at a time; the longest one's length."""
+        first, need = self.known, len(self.number)
+        atoms = self.number.names[first:need]
+        for name in ("logp", "single", "begin", "count"):
+            setattr(self, name, _grown(getattr(self, name), need))
+        if len(self.place) < need:
+            self.place = np.zeros((len(self.logp), 2), np.int32)
+        self.known = need
         for places in by_length(atoms):
             group = [atoms[p] for p in places]
+            at = first + np.array(places)
             if len(group[0]) > _SHORT:
-                for p, atom in zip(places, group):
+                for p, atom in zip(at.tolist(), group):
                     lattice = Lattice(self.pieces, atom)
-                    self.ids[first + p] = self.pieces.spell(atom, lattice.best)
-                    self.logp[first + p], self.single[first + p] = lattice.logp_best, lattice.ways == 1
+                    self.logp[p], self.single[p] = lattice.logp_best, lattice.ways == 1
+                    ids = np.array(self.pieces.spell(atom, lattice.best), np.int32)
+                    self._store(np.array([p]), ids, np.array([len(ids)]))
                 continue
-            solved = self._keep(group)
-            at = first + np.array(places)
+            solved = self._keep(at, group)
             self.logp[at] = np.log(solved.best[:, 0] / solved.mass[:, 0])
             self.single[at] = solved.best[:, 0] == solved.mass[:, 0]
-            for p, atom, path in zip(places, group, solved.paths()):
-                self.ids[first + p] = self.pieces.spell(atom, path)
-
-    def _pick(self, atoms: list[str], u: np.ndarray) -> list[tuple[tuple[int, ...], float]]:
-        """The path that each atom's ``u`` points to, and its log probability."""
-        out: list = [None] * len(atoms)
-        unknown = [a for a in dict.fromkeys(atoms) if a not in self.solved and len(a) <= _SHORT]
-        for places in by_length(unknown):
-            self._keep([unknown[p] for p in places])
-        together: dict[int, list[int]] = {}
-        for p, atom in enumerate(atoms):
-            if len(atom) > _SHORT:
-                out[p] = Lattice(self.pieces, atom).pick(float(u[p]))
+            self._store(at, *joined(self.pieces, group, *solved.best_paths()))
+        return max(map(len, atoms), default=0)
+
+    def _store(self, at: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        """Keeps the ids of the best paths of the atoms ``at``."""
+        self.ids = _grown(self.ids, self.used + len(ids))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.begin[at], self.count[at] = self.used + np.cumsum(count) - count, count
+        self.used += len(ids)
+
+    def _pick(self, picks: _Picks, numbers: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The path that each atom's ``u`` points to, as a number in ``picks``."""
+        if not len(numbers):
+            return _NONE
+        out = np.zeros(len(numbers), np.int64)
+        names = self.number.names
+        unknown = np.unique(numbers[self.place[numbers, 0] == 0])
+        for places in by_length(atoms := [names[n] for n in unknown.tolist()]):
+            if len(atoms[places[0]]) <= _SHORT:
+                self._keep(unknown[places], [atoms[p] for p in places])
+        place, row = self.place[numbers].T
+        order = np.argsort(place, kind="stable")
+        for places in np.split(order, np.flatnonzero(np.diff(place[order])) + 1):
+            group = [names[n] for n in numbers[places].tolist()]
+            if place[places[0]]:
+                cuts, ids, logp = self.solved[place[places[0]] - 1].pick(row[places], u[places])
+                ids, count = joined(self.pieces, group, cuts, ids)
+                out[places] = picks.add(logp, count, ids, cuts)
             else:
-                together.setdefault(id(self.solved[atom][0]), []).append(p)
-        for places in together.values():
-            rows = np.array([self.solved[atoms[p]][1] for p in places])
-            paths, logp = self.solved[atoms[places[0]]][0].pick(rows, u[places])
-            for p, path, lp in zip(places, paths, logp.tolist()):
-                out[p] = (path, lp)
+                out[places] = self._add(picks, group, [Lattice(self.pieces, atom).pick(float(u[p])) for p, atom in zip(places.tolist(), group)])
         return out
 
-    def _keep(self, group: list[str]) -> Solved:
+    def _add(self, picks: _Picks, atoms: list[str], paths: list[tuple[tuple[int, ...], float]]) -> np.ndarray:
+        """The numbers in ``picks`` of paths that come with their log probabilities."""
+        if not atoms:
+            return _NONE
+        cuts, spelled = [], []
+        for atom, (path, _) in zip(atoms, paths):
+            cuts.append(np.zeros(len(atom) + 1, bool))
+            cuts[-1][list(path)] = True
+            spelled.append(self.pieces.spell(atom, path))
+        count = np.fromiter(map(len, spelled), np.int64, len(spelled))
+        return picks.add(np.array([logp for _, logp in paths]), count, np.fromiter(chain.from_iterable(spelled), np.int32, int(count.sum())), cuts)
+
+    def _keep(self, numbers: np.ndarray, group: list[str]) -> Solved:
         """Solves atoms of one length and keeps their lattices until the batch is done."""
         solved = Solved(self.pieces, group)
-        self.solved.update((atom, (solved, row)) for row, atom in enumerate(group))
+        self.solved.append(solved)
+        self.place[numbers, 0], self.place[numbers, 1] = len(self.solved), np.arange(len(group))
         return solved
 
-    def topk(self, texts: list[str], k: int, rngs: list[np.random.Generator]) -> list[list[tuple[list[int], float, float, float]]]:
+    def topk(self, texts: list[str], k: int, rngs: list[np.random.Generator]) -> list[list[tuple[np.ndarray, float, float, float]]]:
         """For each text at most ``k`` distinct segmentations: ids, log probability, perturbed value, inclusion probability."""
         if len(self.number) > self.cache:
             self.forget()
-        chains = [_ATOM.findall(_SPACE + t.replace(" ", _SPACE)) if t else [] for t in texts]
-        chained = [np.fromiter(map(self.number.__getitem__, atoms), np.int64, len(atoms)) for atoms in chains]
-        longest = max(map(len, self.number.new), default=0)
-        self._learn()
+        chains = (_ATOM.findall(_SPACE + t.replace(" ", _SPACE)) if t else [] for t in texts)
+        chained = [np.array(list(map(self.number.__getitem__, atoms)), np.int64) for atoms in chains]
+        longest = self._learn()
         states = []
-        for atoms, numbers, rng in zip(chains, chained, rngs):
-            state = _Text(atoms, numbers, self.logp[numbers], self.single[numbers], rng)
+        for numbers, rng in zip(chained, rngs):
+            state = _Text(numbers, self.logp[numbers], self.single[numbers], rng)
             # A set: steps before `at` are fixed as in `base`, the paths in `without` are excluded at `at`.
-            state.queue.append((-float(rng.gumbel()), 0, 0, {}, ()))
+            state.queue.append((-float(rng.gumbel()), 0, 0, (_NONE, _NONE), ()))
             states.append(state)
+        picks = _Picks()
         for _ in range(k):
-            self._round(states, k)
-        out = []
-        for s in states:
-            threshold = -s.queue[0][0] if s.queue else -math.inf
-            plain = list(map(self.ids.__getitem__, s.numbers.tolist()))
-            rows = []
-            for chosen, total, value in s.found:
-                ids = plain.copy()
-                for step, (path, _) in chosen.items():
-                    ids[step] = self.pieces.spell(s.atoms[step], path)
+            self._round(states, k, picks)
+        out: list = [[] for _ in states]
+        for nth in range(k):
+            some = [i for i, s in enumerate(states) if len(s.found) > nth]
+            for i, ids in zip(some, self._spelled(picks, [(states[i].numbers, *states[i].found[nth][0]) for i in some])):
+                s = states[i]
+                _, total, value = s.found[nth]
+                threshold = -s.queue[0][0] if s.queue else -math.inf
                 inclusion = 1.0 if threshold == -math.inf else -math.expm1(-math.exp(min(total - threshold, 700.0)))
-                rows.append((list(chain.from_iterable(ids)), total, value, inclusion))
-            out.append(rows)
-        self.solved = {}
+                out[i].append((ids, total, value, inclusion))
+        self._drop()
         if longest > _SHORT:  # not worth the memory
             self.forget()
         return out
 
-    def _round(self, states: list[_Text], k: int) -> None:
+    def _spelled(self, picks: _Picks, samples: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+        """The ids of each sample: its atoms' numbers, and the steps that leave their best paths with their picks."""
+        if not samples:
+            return []
+        sizes = np.array([len(numbers) for numbers, _, _ in samples])
+        numbers = np.concatenate([numbers for numbers, _, _ in samples])
+        begin, count = self.begin[numbers], self.count[numbers]
+        steps = np.concatenate([steps + base for base, (_, steps, _) in zip((np.cumsum(sizes) - sizes).tolist(), samples)])
+        picked = np.concatenate([picked for _, _, picked in samples])
+        begin[steps], count[steps] = self.used + picks.begin[picked], picks.count[picked]
+        ends = np.cumsum(count)
+        where = np.repeat(begin - (ends - count), count) + np.arange(int(count.sum()))
+        ids = np.concatenate([self.ids[: self.used], picks.ids])[where]
+        return np.split(ids, np.concatenate(([0], ends))[np.cumsum(sizes)[:-1]])
+
+    def _round(self, states: list[_Text], k: int, picks: _Picks) -> None:
         """The next sample of every text that has one left."""
         work, atoms, uniforms = [], [], []
+        drawn_atoms, drawn = [], []
         for s in states:
             while s.queue:
-                bound, _, at, base, without = heapq.heappop(s.queue)
-                chosen = {step: c for step, c in base.items() if step < at}
+                bound, _, at, (steps, picked), without = heapq.heappop(s.queue)
+                kept = int(np.searchsorted(steps, at))
+                base = (steps[:kept], picked[:kept])
                 excluded, free, lattice = [], at, None
                 if without:
-                    lattice = Lattice(self.pieces, s.atoms[at])
+                    atom = self.number.names[s.numbers[at]]
+                    lattice = Lattice(self.pieces, atom)
                     excluded = [lattice.best if p is None else p for p in without]
-                    drawn = lattice.sample(excluded, s.rng.random)
-                    if drawn is None:  # nothing but rounding errors was left
+                    taken = lattice.sample(excluded, s.rng.random)
+                    if taken is None:  # nothing but rounding errors was left
                         continue
-                    chosen[at], free = drawn, at + 1
-                u = s.rng.random(len(s.atoms) - free)
+                    drawn_atoms.append(atom)
+                    drawn.append(taken)
+                    free = at + 1
+                u = s.rng.random(len(s.numbers) - free)
                 odd = np.flatnonzero((u >= np.exp(s.best[free:])) & ~s.single[free:])
-                steps = (odd + free).tolist()
-                work.append((s, -bound, at, chosen, excluded, lattice, steps))
-                atoms += [s.atoms[step] for step in steps]
+                work.append((s, -bound, at, base, excluded, lattice, odd + free))
+                atoms.append(s.numbers[odd + free])
                 uniforms.append(u[odd])
                 break
-        picked = iter(self._pick(atoms, np.concatenate(uniforms)) if atoms else [])
-        for s, value, at, chosen, excluded, lattice, steps in work:
-            chosen.update(zip(steps, picked))
-            self._split(s, k, value, at, chosen, excluded, lattice)
-
-    def _split(self, s: _Text, k: int, value: float, at: int, chosen: dict, excluded: list, lattice: Lattice | None) -> None:
+        taken = iter(self._add(picks, drawn_atoms, drawn).tolist())
+        every = self._pick(picks, np.concatenate(atoms), np.concatenate(uniforms)) if atoms else _NONE
+        end = 0
+        for s, value, at, (steps, picked), excluded, lattice, odd in work:
+            start, end = end, end + len(odd)
+            here = (np.array([at]), np.array([next(taken)])) if lattice else (_NONE, _NONE)
+            chosen = (np.concatenate([steps, here[0], odd]), np.concatenate([picked, here[1], every[start:end]]))
+            self._split(s, k, value, at, chosen, excluded, lattice, picks)
+
+    def _split(self, s: _Text, k: int, value: float, at: int, chosen: tuple, excluded: list, lattice: Lattice | None, picks: _Picks) -> None:
         """Records a sample and queues the sets that leave it at one step each."""
         logps = s.best.copy()
-        for step, (_, lp) in chosen.items():
-            logps[step] = lp
+        logps[chosen[0]] = picks.logp[chosen[1]]
         total = float(logps.sum())
         s.found.append((chosen, total, value))
         rest = -np.expm1(logps[at:])
@@ -487,7 +608,8 @@ class Sampler:
         take = np.argpartition(-maxima, want - 1)[:want] if len(maxima) > want else np.arange(len(maxima))
         for t in take.tolist():
             step = at + int(steps[t])
-            path = chosen[step][0] if step in chosen else None  # None: the best one
+            i = int(np.searchsorted(chosen[0], step))
+            path = picks.path(int(chosen[1][i])) if i < len(chosen[0]) and chosen[0][i] == step else None  # None: the best one
             s.serial += 1
             heapq.heappush(s.queue, (-float(maxima[t]), s.serial, step, chosen, (*excluded, path) if step == at else (path,)))
 
@@ -555,7 +677,7 @@ def sample_segmentations(
     def sample(sampler: Sampler, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         seeds, texts = batch["seed"].to_pylist(), batch["text"].to_pylist()
         for at, end in slices([len(t) for t in texts]):
-            sizes, columns = [], ([], [], [], [])
+            sizes, columns = [], ([np.zeros(0, np.int32)], [], [], [])
             part = [decode(t) for t in texts[at:end]]
             rngs = [np.random.Generator(np.random.Philox(key=[xxhash.xxh3_64_intdigest(name.encode(), seed), 0])) for name in seeds[at:end]]
             for samples in sampler.topk(part, k, rngs):
@@ -563,9 +685,8 @@ def sample_segmentations(
                 for row in samples:
                     for column, value in zip(columns, row):
                         column.append(value)
-            lengths = np.concatenate(([0], np.cumsum([len(x) for x in columns[0]]))).astype(np.int32)
-            flat = pa.array(np.fromiter(chain.from_iterable(columns[0]), np.int32, int(lengths[-1])))
-            ids = pa.ListArray.from_arrays(pa.array(lengths), flat)
+            lengths = np.cumsum([len(x) for x in columns[0]]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(columns[0])))
             structs = pa.StructArray.from_arrays([ids, *(pa.array(c, pa.float64()) for c in columns[1:])], [n for n, _ in fields])
             offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch[key].slice(at, end - at), pa.ListArray.from_arrays(offsets, structs)], [key, "samples"])

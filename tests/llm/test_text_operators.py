@@ -278,6 +278,26 @@ def test_all_segmentations_of_a_small_lattice_are_found(pieces):
     assert {tuple(g[0]) for g in got} == set(every) and all(g[3] == 1.0 for g in got)
 
 
+def test_runs_are_looked_up_by_length_and_spelled_from_arrays(pieces, monkeypatch):
+    runs = ["▁segmentation", "▁unt€rschied!", "▁aaaaaaaaaaaa", "▁中文字中文字中文字中文字"]
+    calls, find = [], sentencepiece_topk.Pieces.find
+    monkeypatch.setattr(sentencepiece_topk.Pieces, "find", lambda self, hashes: calls.append(len(hashes)) or find(self, hashes))
+    solved = sentencepiece_topk.Solved(pieces, runs)
+    assert len(calls) <= len(runs[0])  # not one for each substring
+    lattices = [sentencepiece_topk.Lattice(pieces, run) for run in runs]
+    for u in (None, np.array([0.999, 0.2, 0.9, 0.99])):
+        cuts, ids = solved.best_paths() if u is None else solved.pick(np.arange(4), u)[:2]
+        flat, counts = sentencepiece_topk.joined(pieces, runs, cuts, ids)
+        paths = [sentencepiece_topk.ends_of(c) for c in cuts]
+        assert [x for run, path in zip(runs, paths) for x in pieces.spell(run, path)] == flat.tolist()
+        assert counts.sum() == len(flat)
+        if u is None:
+            assert paths == [lattice.best for lattice in lattices]
+        else:
+            logp = solved.pick(np.arange(4), u)[2]
+            assert all(abs(lattice.path_logp(path) - lp) < 1e-9 for lattice, path, lp in zip(lattices, paths, logp))
+
+
 def test_segmentations_decode_to_the_text(spark):
     texts = [None, "", " ", "a  b ", "Ünïcödé 中文字 😀\n\ttabs", "a" * 3000, "word " * 4000, "▁x"]
     df = docs_of(spark, texts + texts)
