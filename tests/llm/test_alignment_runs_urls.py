@@ -313,6 +313,21 @@ def test_url_query_stays_native(spark):
     assert not re.search("Python|Pandas|Arrow|CartesianProduct", plan)
 
 
+def test_url_joins_never_broadcast_what_grows(spark, monkeypatch):
+    def plan(df):
+        return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+
+    plans, write = [], url_filter.scratch
+    monkeypatch.setattr(url_filter, "scratch", lambda df, label: plans.append(plan(df)) or write(df, label))
+    # Tables this small would all be broadcast if Spark chose.
+    verdicts = url_filter.url_verdicts(spark.createDataFrame([(i, u) for i, u in enumerate(URLS)], "page_id bigint, url string"))
+    assert verdicts.count() == len(URLS)
+    plans.append(plan(verdicts))
+    # One join for each longer context, one with the ratios, two back to the pages.
+    assert sum(p.count("SortMergeJoin") for p in plans) == url_filter.ORDER + 3
+    assert not any("Broadcast" in p for p in plans)
+
+
 def test_urls_without_rules_long_and_empty(spark):
     schema = "page_id bigint, url string"
     pages = spark.createDataFrame([(1, "http://a.com/x"), (None, None), (2, "http://a.com/" + "p" * 200_000)], schema)
