@@ -1,7 +1,7 @@
 """Bronze audit columns and the silver cleansing steps.
 
-``clean_orders`` = normalise -> validate -> derive amount/date -> keep the
-latest row per ``order_id``. Each step is also public on its own.
+``clean_orders`` = normalise -> validate -> keep the latest row per
+``order_id`` -> derive amount/date. Each step is also public on its own.
 """
 
 from __future__ import annotations
@@ -85,7 +85,12 @@ def clean_orders(df: DataFrame, tie_breakers: Sequence[str] = ORDER_TIE_BREAKERS
     """Raw or bronze orders -> silver: one valid, normalised row per ``order_id``.
 
     The latest ``order_ts`` wins (NULL times last). Audit columns pass through.
-    ``spread``: see ``deduplicate_latest``.
+    ``spread``: see ``deduplicate_latest``. Amount and date are derived from
+    the kept rows, so that they are not shuffled, unless they break ties.
     """
-    prepared = derive_amount(valid_orders(normalise_orders(df)))
-    return deduplicate_latest(prepared, keys=["order_id"], order_by="order_ts", tie_breakers=tie_breakers, spread=spread)
+    valid = valid_orders(normalise_orders(df))
+    early = not {"gross_amount", "order_date"}.isdisjoint(c.lower() for c in tie_breakers)
+    kept = deduplicate_latest(
+        derive_amount(valid) if early else valid, keys=["order_id"], order_by="order_ts", tie_breakers=tie_breakers, spread=spread
+    )
+    return kept if early else derive_amount(kept)

@@ -30,7 +30,7 @@ from strata.operators import quality as Q
 from strata.operators import text as T
 from strata.plans import medallion as M
 from strata.schemas import RAW_COLUMNS
-from strata.session import scratch_path
+from strata.session import released_shuffles, scratch_path
 from strata.sources.feeds import load, load_text, log_lines, orders_feed, workflow_texts
 from strata.sources.files import (
     number_lines,
@@ -86,13 +86,19 @@ def _gold(spark: SparkSession, sf_dir: str, sort: bool = True) -> DataFrame:
     return daily_country_sales(_clean(spark, sf_dir), sort=sort, unique_orders=True)
 
 
-def _feed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed written once, for queries that read it several times."""
-    path = scratch_path(spark, "feed")
-    orders_feed(spark, sf_dir).write.parquet(path)
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once and read back, for queries that read it several times."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    with released_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.parquet(path)
 
 
+def _feed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(orders_feed(spark, sf_dir), "feed")
+
+
 def _unique(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
@@ -166,9 +172,7 @@ def q_table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = preset("qa")
     feed = _feed_table(spark, sf_dir)
-    path = scratch_path(spark, "silver")
-    clean_orders(feed).write.parquet(path)
-    clean = spark.read.parquet(path)
+    clean = _stored(clean_orders(feed), "silver")
     return Q.table_row_counts(
         {
             cfg.table("bronze", M.BRONZE_TABLE): feed,
@@ -228,7 +232,8 @@ def q_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     cfg = preset("qa")
     feed = _feed_table(spark, sf_dir)
-    clean = clean_orders(feed)
+    # Profile and gold count read it; cleansing would shuffle all rows for each.
+    clean = _stored(clean_orders(feed), "silver")
     batch = F.lit(BATCH_ID).alias("batch_id")
     report = Q.profile(feed, clean)
     bronze_line = M.metric_record(
@@ -316,7 +321,8 @@ def q_stage_metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metric lines of a batch that runs twice, read from the table that keeps each once."""
     cfg = LayerConfig(env="qa").with_prefix(_unique("mt"))
     ensure_schemas(spark, cfg, scratch_path(spark, "metrics"))
-    lines = q_stage_metrics(spark, sf_dir)
+    # Three writes read the lines; they are made once.
+    lines = _stored(q_stage_metrics(spark, sf_dir), "lines")
     table = cfg.table("gold", "run_metrics")
     for _ in range(2):
         M.write_metrics(lines, table, BATCH_ID)

@@ -2,7 +2,7 @@
 
 Library operators never set session options. Only ``local_session`` (used by
 tests and the bench) configures one; on a cluster the caller's session is used
-as it is.
+as it is, but for one option while a step writes (``released_shuffles``).
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +19,8 @@ _CHECKPOINT_CONF = "spark.checkpoint.dir"
 # Explicit choice of the session's owner: "true" rebalances the scans of the
 # text queries. Unset means no. Never inferred from the data.
 SPREAD_CONF = "spark.strata.spreadScans"
+# Spark's option (4.1) to delete shuffle files with the query that wrote them.
+_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "strata") -> SparkSession:
@@ -77,3 +81,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/strata-{label}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that end inside it take their shuffle files with them.
+
+    Else those stay until the driver happens to collect its garbage, and the
+    disk holds the shuffles of all steps of a job at once. Meant for writes:
+    what they shuffle is never read again. The session's own setting is put
+    back afterwards.
+    """
+    before = spark.conf.get(_CLEANUP_CONF, None)
+    spark.conf.set(_CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP_CONF)
+        else:
+            spark.conf.set(_CLEANUP_CONF, before)

@@ -117,6 +117,62 @@ def test_the_feed_is_joined_once(spark, name):
     assert "lineitem.parquet" not in _plan(queries()[name](spark, SF_SMALL))
 
 
+@pytest.mark.parametrize("name", ["table_row_counts", "stage_metrics"])
+def test_orders_are_cleansed_once(spark, name):
+    # The clean rows are written once before; what is left reads that table.
+    assert "Window" not in _plan(queries()[name](spark, SF_SMALL))
+
+
+def test_metric_lines_are_made_once_for_all_writes(spark, monkeypatch):
+    from strata.plans import medallion
+
+    plans, write = [], medallion.write_metrics
+    monkeypatch.setattr(medallion, "write_metrics", lambda lines, *args: plans.append(_plan(lines)) or write(lines, *args))
+    assert queries()["stage_metrics_table"](spark, SF_SMALL).count() == 4
+    assert len(plans) == 3 and not any("Exchange" in p or "Aggregate" in p for p in plans)
+
+
+def test_amounts_are_not_shuffled_to_find_the_latest(spark, feed):
+    from strata.operators import clean_orders
+    from tests.conftest import order
+
+    rows = feed(order("k1"), order("k1", price=3.0), order("k2"))
+    plan = _plan(clean_orders(rows))
+    last = plan.index("Exchange")  # the plan is printed from its end
+    assert "gross_amount" in plan[:last] and "gross_amount" not in plan[last:]
+    # Derived columns that break ties must be there before: the smaller amount stays.
+    kept = clean_orders(rows, tie_breakers=["gross_amount", "Order_Date"]).orderBy("order_id")
+    assert kept.columns == clean_orders(rows).columns
+    assert [(r.order_id, r.gross_amount) for r in kept.collect()] == [("k1", 9.0), ("k2", 9.0)]
+
+
+def test_released_shuffles_leave_no_files_and_the_option_as_it_was(spark, tmp_path):
+    import time
+
+    from strata.session import _CLEANUP_CONF, released_shuffles
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {str(b) for b in disk.getAllBlocks().mkString("\n").split("\n") if str(b).startswith("shuffle_")}
+
+    for before in (None, "false"):
+        if before:
+            spark.conf.set(_CLEANUP_CONF, before)
+        held = files()
+        try:
+            with released_shuffles(spark):
+                spark.range(1000).hint("rebalance", "id").write.parquet(str(tmp_path / f"rows-{before}"))
+            assert spark.conf.get(_CLEANUP_CONF, None) == before
+        finally:
+            spark.conf.unset(_CLEANUP_CONF)
+        for _ in range(100):  # deleted by another thread
+            if not (left := files() - held):
+                break
+            time.sleep(0.1)
+        assert not left
+
+
 def test_log_lines_are_read_once(spark):
     assert _plan(queries()["metrics_report"](spark, SF_SMALL)).count("events.parquet") == 1
 
