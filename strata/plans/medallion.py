@@ -1,9 +1,10 @@
 """The bronze, silver and gold steps and their metrics lines.
 
 * bronze: contract CSV scan of the landing folder + audit columns -> table.
-* silver: bronze table -> ``clean_orders`` -> staged version partitioned by
-  ``order_date`` -> quality gate on its files -> published. A strict failure,
-  or a job lost on the way, leaves the silver table as it was.
+* silver: bronze table -> ``clean_orders`` -> written as they come -> staged
+  version partitioned by ``order_date`` -> quality gate on its files ->
+  published. A strict failure, or a job lost on the way, leaves the silver
+  table as it was.
 * gold: silver table -> ``daily_country_sales`` -> table.
 
 Each step ends with one ``ETL_METRICS {json}`` line. Row counts of written
@@ -27,11 +28,12 @@ from strata.operators.marts import daily_country_sales
 from strata.operators.quality import apply_gate, profile, verdict
 from strata.sources.files import read_raw_csv
 from strata.sources.tables import ensure_schemas, read_layer
-from strata.sources.versions import check_version, discard_version, publish_version, quoted, stage_version
+from strata.sources.versions import check_version, discard_version, discard_versions, publish_version, quoted, stage_version
 
 # Table names, the metrics marker, and the fields of each line below.
 BRONZE_TABLE = "orders_raw"
 SILVER_TABLE = "orders_clean"
+KEPT_TABLE = "orders_kept"
 GOLD_TABLE = "daily_country_sales"
 METRICS_MARKER = "ETL_METRICS "
 
@@ -126,8 +128,16 @@ def run_silver(
     log: Callable[[str], None] = print,
 ) -> StepResult:
     bronze = read_layer(spark, cfg, "bronze", BRONZE_TABLE)
-    staged = stage_version(clean_orders(bronze), cfg, "silver", SILVER_TABLE, partition_by=["order_date"])
+    # Written as they come first: the shuffles of the cleansing are gone before
+    # the partitioned write shuffles all rows again.
+    discard_versions(spark, cfg, "silver", KEPT_TABLE)
+    kept = stage_version(clean_orders(bronze), cfg, "silver", KEPT_TABLE)
     try:
+        staged = stage_version(kept.read(spark), cfg, "silver", SILVER_TABLE, partition_by=["order_date"])
+    finally:
+        discard_version(spark, kept)
+    try:
+        check_version(staged, kept.rows)
         # The audit reads one column of the files that are to be published.
         report = profile(bronze, staged.read(spark))
         decided = verdict(report, cfg.max_rejection_rate, cfg.fail_on_violation, cfg.env, keep_counts=True).first()

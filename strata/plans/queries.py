@@ -209,7 +209,7 @@ def q_layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_medallion_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "e2e")
-    landing = write_raw_csv(orders_feed(spark, sf_dir), f"{root}/landing/orders")
+    landing = write_raw_csv(orders_feed(spark, sf_dir), f"{root}/landing/orders", compression="gzip")
     cfg = preset("qa", catalog=None).with_prefix(_unique("e2e"))
     M.run_all(spark, cfg, BATCH_ID, source_path=landing, location_root=root)
     return read_layer(spark, cfg, "gold", M.GOLD_TABLE)

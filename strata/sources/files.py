@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.functions.columns import EXTRA_LINE_BREAKS, python_lines
 from strata.schemas import RAW_ORDERS
-from strata.session import scratch_path
+from strata.session import released_shuffles, scratch_path
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: StructType = RAW_ORDERS) -> DataFrame:
@@ -77,19 +77,28 @@ def rejection_report(raw: DataFrame, schema: StructType = RAW_ORDERS) -> DataFra
     return names.join(counts, "column", "left").select("column", F.coalesce("rejected", F.lit(0).cast("bigint")).alias("rejected"), "example")
 
 
-def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+# One task reads a compressed file whole, so none holds more rows than this.
+ROWS_PER_COMPRESSED_FILE = 2_000_000
+
+
+def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> str:
     """Write ``df`` as CSV with a header, keeping leading/trailing blanks intact.
 
     The CSV writer trims values by default; the two whitespace options keep
     padded keys such as ``' ORD-1'`` byte-exact for a later contract scan.
+    With ``compression`` (``gzip``, ...) the scan reads the same rows from
+    files of a bounded number of rows each.
     """
-    (
+    writer = (
         df.write.mode(mode)
         .option("header", "true")
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
-        .csv(path)
     )
+    if compression:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", ROWS_PER_COMPRESSED_FILE)
+    with released_shuffles(df.sparkSession):
+        writer.csv(path)
     return path
 
 

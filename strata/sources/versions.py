@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import LayerConfig
+from strata.session import released_shuffles
 
 _MARK = "__v"
 
@@ -68,10 +69,11 @@ def stage_version(
     """Write ``df`` as the next version of a layer table, unseen under the layer's name.
 
     Row count and ``measures`` (aggregates) come from an ``Observation`` in
-    the stage that writes, not from another job. With ``partition_by`` the
-    rows are first rebalanced on those columns: every task then writes few
-    partition folders, and AQE splits a partition value that holds a large
-    share of the rows over several tasks instead of one.
+    the stage that writes, not from another job, and its shuffle files go
+    with the write. With ``partition_by`` the rows are first rebalanced on
+    those columns: every task then writes few partition folders, and AQE
+    splits a partition value that holds a large share of the rows over
+    several tasks instead of one.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
@@ -82,7 +84,8 @@ def stage_version(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     table = cfg.table(layer, _version_name(name))
-    writer.saveAsTable(table)
+    with released_shuffles(df.sparkSession):
+        writer.saveAsTable(table)
     return StagedVersion(layer, name, table, dict(observation.get))
 
 
@@ -118,3 +121,9 @@ def publish_version(spark: SparkSession, cfg: LayerConfig, staged: StagedVersion
 def discard_version(spark: SparkSession, staged: StagedVersion) -> None:
     """Drop a staged version that is not to be published."""
     spark.sql(f"DROP TABLE IF EXISTS {quoted(staged.table)}")
+
+
+def discard_versions(spark: SparkSession, cfg: LayerConfig, layer: str, name: str) -> None:
+    """Drop all versions of a table that is never published: what lost jobs left of it."""
+    for version in layer_versions(spark, cfg, layer, name):
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(version)}")

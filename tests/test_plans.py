@@ -146,31 +146,110 @@ def test_amounts_are_not_shuffled_to_find_the_latest(spark, feed):
     assert [(r.order_id, r.gross_amount) for r in kept.collect()] == [("k1", 9.0), ("k2", 9.0)]
 
 
-def test_released_shuffles_leave_no_files_and_the_option_as_it_was(spark, tmp_path):
+def _left_shuffle_files(spark, write, kept=False):
+    """Shuffle files that ``write`` leaves; waits for those that another thread deletes, unless some are to be kept."""
     import time
 
-    from strata.session import _CLEANUP_CONF, released_shuffles
-
     disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
     def files():
-        return {str(b) for b in disk.getAllBlocks().mkString("\n").split("\n") if str(b).startswith("shuffle_")}
-
-    for before in (None, "false"):
-        if before:
-            spark.conf.set(_CLEANUP_CONF, before)
-        held = files()
-        try:
-            with released_shuffles(spark):
-                spark.range(1000).hint("rebalance", "id").write.parquet(str(tmp_path / f"rows-{before}"))
+        return {b for b in disk.getAllBlocks().mkString("\n").split("\n") if b.startswith("shuffle_")}
+
+    held = files()
+    write()
+    for _ in range(1 if kept else 100):
+        if not (left := files() - held):
+            break
+        time.sleep(0.1)
+    return left
+
+
+def test_released_shuffles_leave_no_files_and_the_option_as_it_was(spark, tmp_path):
+    from strata.session import _CLEANUP_CONF, released_shuffles
+
+    def write(name):
+        spark.range(1000).hint("rebalance", "id").write.parquet(str(tmp_path / name))
+
+    def released(name):
+        with released_shuffles(spark):
+            write(name)
+
+    assert _left_shuffle_files(spark, lambda: write("plain"), kept=True)
+    try:
+        for before in (None, "false"):
+            if before:
+                spark.conf.set(_CLEANUP_CONF, before)
+            assert not _left_shuffle_files(spark, lambda name=str(before): released(name))
             assert spark.conf.get(_CLEANUP_CONF, None) == before
-        finally:
-            spark.conf.unset(_CLEANUP_CONF)
-        for _ in range(100):  # deleted by another thread
-            if not (left := files() - held):
-                break
-            time.sleep(0.1)
-        assert not left
+    finally:
+        spark.conf.unset(_CLEANUP_CONF)
+
+
+def test_layer_and_landing_writes_leave_no_shuffle_files(spark, tmp_path):
+    import uuid
+
+    from strata.config import LayerConfig
+    from strata.session import scratch_path
+    from strata.sources import ensure_schemas, write_raw_csv
+    from strata.sources.versions import stage_version
+
+    cfg = LayerConfig(env="qa").with_prefix(f"sh_{uuid.uuid4().hex[:8]}")
+    ensure_schemas(spark, cfg, scratch_path(spark, "test-shuffles"))
+    rows = spark.range(1000).selectExpr("id", "id % 3 AS part").hint("rebalance", "id")
+    assert not _left_shuffle_files(spark, lambda: stage_version(rows, cfg, "silver", "t", partition_by=["part"]))
+    assert not _left_shuffle_files(spark, lambda: write_raw_csv(rows, str(tmp_path / "landing")))
+
+
+def test_partitioned_silver_write_reads_rows_that_are_stored(spark, monkeypatch):
+    import uuid
+
+    from strata.config import LayerConfig
+    from strata.plans import medallion as M
+    from strata.session import scratch_path
+    from strata.sources import read_layer, seed_feed, write_raw_csv
+    from strata.sources.versions import layer_versions, stage_version
+
+    root = scratch_path(spark, "test-kept")
+    cfg = LayerConfig(env="qa").with_prefix(f"kp_{uuid.uuid4().hex[:8]}")
+    M.run_bronze(spark, cfg, "B", write_raw_csv(seed_feed(spark), f"{root}/landing"), root)
+    stage_version(spark.range(3), cfg, "silver", M.KEPT_TABLE)  # as a lost job leaves it
+    plans = {}
+
+    def staged(df, cfg, layer, name, partition_by=None, measures=None):
+        plans[bool(partition_by)] = _plan(df)
+        return stage_version(df, cfg, layer, name, partition_by, measures)
+
+    monkeypatch.setattr(M, "stage_version", staged)
+    M.run_silver(spark, cfg, "B")
+    # The cleansing shuffles are over, and gone, when the partitioned write begins to shuffle.
+    assert "Window" in plans[False] and "Exchange" not in plans[True]
+    assert read_layer(spark, cfg, "silver", M.SILVER_TABLE).count() == 500
+    assert layer_versions(spark, cfg, "silver", M.KEPT_TABLE) == []
+
+    def broken(df, cfg, layer, name, partition_by=None, measures=None):
+        if partition_by:
+            raise RuntimeError("disk lost")
+        return stage_version(df, cfg, layer, name, partition_by, measures)
+
+    monkeypatch.setattr(M, "stage_version", broken)
+    with pytest.raises(RuntimeError, match="disk lost"):
+        M.run_silver(spark, cfg, "B")
+    assert layer_versions(spark, cfg, "silver", M.KEPT_TABLE) == []
+    assert read_layer(spark, cfg, "silver", M.SILVER_TABLE).count() == 500
+
+
+def test_compressed_landing_holds_the_same_rows_in_bounded_files(spark, tmp_path, monkeypatch):
+    import glob
+
+    from strata.sources import files, read_raw_csv, seed_feed
+
+    feed = seed_feed(spark).coalesce(1)
+    monkeypatch.setattr(files, "ROWS_PER_COMPRESSED_FILE", 100)
+    packed = files.write_raw_csv(feed, str(tmp_path / "packed"), compression="gzip")
+    plain = files.write_raw_csv(feed, str(tmp_path / "plain"))
+    assert len(glob.glob(f"{packed}/*.csv.gz")) == 6 and len(glob.glob(f"{plain}/*.csv")) == 1
+    back = [sorted(map(tuple, read_raw_csv(spark, path).collect()), key=str) for path in (packed, plain)]
+    assert back[0] == back[1] and len(back[0]) == 502
 
 
 def test_log_lines_are_read_once(spark):
